@@ -31,9 +31,11 @@ def try_parse_datetime(c) -> Column:
 
 
 def _point_part(c, group: int, digits: int) -> Column:
+    # regexp_extract gives "" when the text does not match; try_cast turns
+    # that into NULL. Each step references the previous one once, so the
+    # expression never repeats the regex when Catalyst inlines it.
     text = F.regexp_extract(_col(c), POINT_PATTERN, group)
-    value = F.round(F.when(text != "", text).try_cast("double"), digits)
-    return normalize_zero(value)
+    return normalize_zero(F.round(text.try_cast("double"), digits))
 
 
 def point_x(c, digits: int = 2) -> Column:
@@ -47,9 +49,8 @@ def point_y(c, digits: int = 2) -> Column:
 
 
 def normalize_zero(c) -> Column:
-    """Map -0.0 to 0.0 so equal coordinates have one key."""
-    c = _col(c)
-    return F.when(c == 0.0, F.lit(0.0)).otherwise(c)
+    """Map -0.0 to 0.0 (IEEE: -0.0 + 0.0 = 0.0) so equal points share a key."""
+    return _col(c) + F.lit(0.0)
 
 
 def strip_text(c) -> Column:

@@ -2,12 +2,15 @@
 
 Adds ``time_range_id`` (half-hour bucket 1..48) and the four rounded
 coordinates, types ``datetime`` and strips the two names. Every step is a
-narrow, built-in expression: no shuffle, no Python.
+narrow, built-in expression: no shuffle, no Python. Each parsed value is
+one chain of expressions referenced once, so when Catalyst inlines it into
+later filters or projections the text is not parsed repeatedly.
 
 Bad or missing values (``on_error``):
 
-* ``"fail"`` (default): the job raises on the first bad row, before any
-  table is written by the caller (a failed job commits no files).
+* ``"fail"`` (default): a bad or missing datetime or point raises when the
+  value is computed (``coalesce(value, raise_error(...))``), failing the
+  job before the caller writes anything (a failed job commits no files).
 * ``"quarantine"``: rows are kept with a ``reject_reason``; use
   :func:`split_rejects` to separate accepted and rejected rows.
 """
@@ -26,32 +29,20 @@ from triploom.functions import (
 CLEAN_COLUMNS = ["time_range_id", "origin_x", "origin_y",
                  "destination_x", "destination_y"]
 ON_ERROR = ("fail", "quarantine")
+POINTS = (("origin_x", point_x, "origin_coord"), ("origin_y", point_y, "origin_coord"),
+          ("destination_x", point_x, "destination_coord"),
+          ("destination_y", point_y, "destination_coord"))
 
 
-def _reasons(df: DataFrame) -> tuple[Column, Column, Column]:
-    """(datetime value, list of reasons, typed-datetime validity)."""
-    dt_type = df.schema["datetime"].dataType
-    raw_dt = F.col("datetime")
-    if isinstance(dt_type, T.StringType):
-        valid_dt = try_parse_datetime(raw_dt).isNotNull()
-        # to_timestamp_ntz keeps wall-clock time in any session zone; it only
-        # runs on rows known to parse, so it never raises here.
-        dt_value = F.when(valid_dt, parse_datetime(raw_dt))
-    else:
-        valid_dt = raw_dt.isNotNull()
-        dt_value = raw_dt.cast("timestamp_ntz")
-    reason = F.concat_ws("; ", F.filter(F.array(
-        F.when(raw_dt.isNull(), F.lit("datetime missing"))
-         .when(~valid_dt, F.lit("datetime unparseable")),
-        F.when(F.col("origin_coord").isNull(), F.lit("origin_coord missing"))
-         .when(point_x("origin_coord").isNull() | point_y("origin_coord").isNull(),
-               F.lit("origin_coord unparseable")),
-        F.when(F.col("destination_coord").isNull(), F.lit("destination_coord missing"))
-         .when(point_x("destination_coord").isNull()
-               | point_y("destination_coord").isNull(),
-               F.lit("destination_coord unparseable")),
-    ), lambda r: r.isNotNull()))
-    return dt_value, reason, valid_dt
+def _is_text(df: DataFrame) -> bool:
+    return isinstance(df.schema["datetime"].dataType, T.StringType)
+
+
+def _or_fail(value: Column, what: str, raw: str) -> Column:
+    """``value``, or a raised error naming the raw text when it is NULL."""
+    text = F.coalesce(F.col(raw).cast("string"), F.lit("NULL"))
+    return F.coalesce(value, F.raise_error(
+        F.concat(F.lit(f"bad trip record: {what} missing or unparseable: "), text)))
 
 
 def clean_trips(df: DataFrame, on_error: str = "fail") -> DataFrame:
@@ -63,29 +54,37 @@ def clean_trips(df: DataFrame, on_error: str = "fail") -> DataFrame:
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
-    dt_value, reason, _ = _reasons(df)
-    out = df.withColumn("reject_reason", F.when(reason != "", reason))
-    if on_error == "quarantine":
-        # keep the text as read, for the reject table
-        out = out.withColumn("datetime_raw", F.col("datetime").cast("string"))
+    text = _is_text(df)
+    names = {"region": strip_text("region"), "datasource": strip_text("datasource")}
     if on_error == "fail":
-        bad = F.col("reject_reason").isNotNull()
-        # raise_error aborts the task (and job) on the first bad row.
-        dt_value = F.when(bad, F.raise_error(F.concat(
-            F.lit("bad trip record: "), F.col("reject_reason"), F.lit(" in "),
-            F.to_json(F.struct(*[F.col(c) for c in df.columns]))))).otherwise(dt_value)
-    out = (out
-           .withColumn("datetime", dt_value)
-           .withColumn("region", strip_text("region"))
-           .withColumn("datasource", strip_text("datasource"))
-           .withColumn("time_range_id", half_hour_bucket("datetime"))
-           .withColumn("origin_x", point_x("origin_coord"))
-           .withColumn("origin_y", point_y("origin_coord"))
-           .withColumn("destination_x", point_x("destination_coord"))
-           .withColumn("destination_y", point_y("destination_coord")))
-    if on_error == "fail":
-        out = out.drop("reject_reason")
-    return out
+        # ANSI parsing raises on bad text itself; coalesce catches NULLs
+        # (missing text, or bad text with ANSI off).
+        dt = parse_datetime("datetime") if text else F.col("datetime").cast("timestamp_ntz")
+        typed = df.withColumns({**names, "datetime": _or_fail(dt, "datetime", "datetime")})
+        typed = typed.withColumns({c: _or_fail(fn(src), src, src) for c, fn, src in POINTS})
+        return typed.withColumn("time_range_id", half_hour_bucket("datetime")) \
+                    .select(*df.columns, *CLEAN_COLUMNS)
+    # quarantine: NULL for what does not parse, and the reasons
+    if text:
+        # try_to_timestamp only tests validity: it goes through the session
+        # zone, while to_timestamp_ntz keeps the wall-clock time as written
+        dt = F.when(try_parse_datetime("datetime").isNotNull(), parse_datetime("datetime"))
+    else:
+        dt = F.col("datetime").cast("timestamp_ntz")
+    typed = df.withColumns({**names, "datetime_raw": F.col("datetime").cast("string"),
+                            "datetime": dt,
+                            **{c: fn(src) for c, fn, src in POINTS}})
+    reason = F.concat_ws(
+        "; ",
+        F.when(F.col("datetime_raw").isNull(), F.lit("datetime missing"))
+         .when(F.col("datetime").isNull(), F.lit("datetime unparseable")),
+        *[F.when(F.col(src).isNull(), F.lit(f"{src} missing"))
+           .when(F.col(x).isNull() | F.col(y).isNull(), F.lit(f"{src} unparseable"))
+          for src, x, y in (("origin_coord", "origin_x", "origin_y"),
+                            ("destination_coord", "destination_x", "destination_y"))])
+    return (typed.withColumn("reject_reason", F.when(reason != "", reason))
+            .withColumn("time_range_id", half_hour_bucket("datetime"))
+            .select(*df.columns, *CLEAN_COLUMNS, "reject_reason", "datetime_raw"))
 
 
 def split_rejects(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -3,8 +3,9 @@
 ``row_number()`` over a window without ``partitionBy`` would move every key
 to one task. Instead the distinct keys are range-partitioned and sorted
 within each partition; each row's position in its partition is recorded;
-the set is materialised in the shared checkpoint folder (range bounds come
-from sampling, so a recomputation could place rows differently); the
+the set is written once as a table in the shared checkpoint folder (range
+bounds come from sampling, so a recomputation could place rows
+differently); the
 per-partition row counts — one number per partition — give each
 partition's offset; and the ids follow as ``start + offset + position``.
 No task ever holds more than one range partition of keys.
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from triploom.session import ensure_checkpoint_dir
+from triploom.session import materialize
 
 
 @dataclass
@@ -33,17 +34,15 @@ def assign_dense_ids(keys: DataFrame, key_cols: list[str], start_after: int = 0,
     """Number distinct ``keys`` 1, 2, ... (plus ``start_after``) in key order.
 
     ``keys`` must not repeat a key. Returns ``id`` first, then the key
-    columns, as a DataFrame backed by a reliable checkpoint.
+    columns, as a DataFrame over the stored, numbered keys.
     """
-    spark = keys.sparkSession
-    ensure_checkpoint_dir(spark)
     cols = [F.col(c) for c in key_cols]
-    tagged = (keys.select(*key_cols)
-              .repartitionByRange(*cols)
-              .sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    tagged = materialize(keys.select(*key_cols)
+                         .repartitionByRange(*cols)
+                         .sortWithinPartitions(*cols)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_pos", F.monotonically_increasing_id()),
+                         "dense-ids")
     # one row per partition: bounded by the partition count, not the data,
     # so the running sum over it (one task) and its broadcast stay small.
     counts = (tagged.groupBy("_pid")

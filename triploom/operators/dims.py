@@ -15,6 +15,7 @@ chosen by AQE from the measured size).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,28 +129,80 @@ class StarDims:
 
 @dataclass
 class Conformed:
-    """Dimensions after the batch, the members it added, and the lookup
-    from a trip's points and time range to its coord_time id."""
+    """Dimensions after the batch, the members it added, the lookup from a
+    trip's points and time range to its coord_time id, and the batch's
+    per-file row counts."""
 
     dims: StarDims
     added: StarDims
     coord_time_map: DataFrame
+    file_counts: DataFrame | None = None
+
+
+# grouping sets of the member pass; grouping_id sets one bit per column
+# left out of a set, in the order of MEMBER_COLS
+MEMBER_COLS = ["region", "datasource", *TUPLE_COLS, "source_file"]
+MEMBER_SETS = {"region": ["region"], "datasource": ["datasource"],
+               "tuple": TUPLE_COLS, "file": ["source_file"]}
+
+
+def _gid(cols: list[str]) -> int:
+    n = len(MEMBER_COLS)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(MEMBER_COLS) if c not in cols)
+
+
+def batch_members(trips: DataFrame) -> DataFrame:
+    """Every member set of a batch from one scan and one shuffle.
+
+    Grouping sets over (region), (datasource), (tuple) and (source file):
+    rows are expanded per set and aggregated map-side before the shuffle,
+    so a hot member costs one row per task. The result — distinct names,
+    distinct tuples and per-file counts — is written once and read by all
+    dimension steps.
+    """
+    t = trips
+    if "source_file" not in t.columns:
+        t = t.withColumn("source_file", F.lit(None).cast("string"))
+    rejected = (F.col("reject_reason").isNotNull().cast("long")
+                if "reject_reason" in t.columns else F.lit(0).cast("long"))
+    t = t.select(strip_text("region").alias("region"),
+                 strip_text("datasource").alias("datasource"),
+                 *TUPLE_COLS, "source_file", rejected.alias("_rejected"))
+    if "reject_reason" in trips.columns:
+        # only accepted rows add members; rejected ones are only counted
+        keep = F.col("_rejected") == 0
+        t = t.withColumns({c: F.when(keep, F.col(c)) for c in MEMBER_COLS[:-1]})
+    sets = [MEMBER_SETS[k] for k in ("region", "datasource", "tuple", "file")]
+    return (t.groupingSets(sets, *MEMBER_COLS)
+            .agg(F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("rows_in"),
+                 F.sum("_rejected").alias("rows_rejected")))
 
 
 def conform_dims(trips: DataFrame, base: StarDims | None = None) -> Conformed:
     """Grow the four dimensions with the members of a cleaned batch."""
+    from triploom.session import materialize
+
     spark = trips.sparkSession
     base = base or StarDims.empty(spark)
-    region = dim_upsert(base.region, name_members(trips, "region"), ["description"])
-    source = dim_upsert(base.datasource, name_members(trips, "datasource"),
-                        ["description"])
-    coord = dim_upsert(base.coord, point_members(trips), ["x", "y"])
-    ids = tuple_ids(trip_tuples(trips), coord.all)
+    members = materialize(batch_members(trips), "batch-members")
+
+    def of(kind: str) -> DataFrame:
+        return members.filter(F.col("_gid") == _gid(MEMBER_SETS[kind]))
+
+    names = {k: of(k).select(F.col(k).alias("description"))
+             .filter(F.col("description").isNotNull()) for k in ("region", "datasource")}
+    tuples = of("tuple").select(*TUPLE_COLS).filter(
+        reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in TUPLE_COLS]))
+    region = dim_upsert(base.region, names["region"], ["description"])
+    source = dim_upsert(base.datasource, names["datasource"], ["description"])
+    coord = dim_upsert(base.coord, point_members(tuples), ["x", "y"])
+    ids = tuple_ids(tuples, coord.all)
     # equal tuples <=> equal coord-id triples, so the triples are distinct
     coord_time = dim_upsert(base.coord_time, ids.select(*CT_KEYS), CT_KEYS)
     ct = lookup(coord_time.all).withColumnRenamed("id", "coord_time_id")
     ct_map = ids.join(ct, CT_KEYS).select(*TUPLE_COLS, "coord_time_id")
+    files = of("file").select("source_file", "rows_in", "rows_rejected")
     return Conformed(
         StarDims(region.all, source.all, coord.all, coord_time.all),
         StarDims(region.new, source.new, coord.new, coord_time.new),
-        ct_map)
+        ct_map, files)

@@ -72,14 +72,17 @@ def weekly_avg_bbox(trips: DataFrame, x_a=None, y_a=None, x_b=None, y_b=None,
     """One row ``weekly_avg_trips_bb``: average weekly hits inside the box.
 
     Corners are any two opposite corners; blank or missing counts as 0.
-    One narrow pass (box filter + per-trip contribution) and one tiny
-    aggregation shuffle of (week, partial sum) rows.
+    Every trip adds its hit count (0 outside) to its week in one map-side
+    aggregation; weeks whose sum is 0 had no hit and are dropped, which is
+    the same as filtering trips first (a hit always adds at least 1) but
+    keeps the coordinates computed once per row instead of inlined into a
+    row filter. The shuffle carries one (week, partial sum) row per task.
     """
     box = Box.from_corners(x_a, y_a, x_b, y_b)
-    contrib, hit = endpoint_contribution(box, count)
-    per_week = (trips.filter(hit)
-                .groupBy(*week_key(ts_col, week))
-                .agg(F.sum(contrib).alias("num_trips")))
+    contrib, _ = endpoint_contribution(box, count)
+    per_week = (trips.groupBy(*week_key(ts_col, week))
+                .agg(F.sum(contrib).alias("num_trips"))
+                .filter(F.col("num_trips") > 0))
     return per_week.agg(
         F.coalesce(F.avg("num_trips"), F.lit(0.0)).alias("weekly_avg_trips_bb"))
 

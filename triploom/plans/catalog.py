@@ -14,7 +14,11 @@ from triploom.operators import (
     weekly_avg_by_region, weekly_avg_by_region_star, weekly_trip_counts,
 )
 from triploom.operators.audit import coord_time_fanout_audit
-from triploom.operators.dims import StarDims, conform_dims as _conform
+from triploom.operators.dims import (
+    CT_KEYS, build_dim, conform_dims as _conform, name_members, point_members,
+    trip_tuples, tuple_ids,
+)
+from triploom.session import materialize
 from triploom.operators.output import to_json_rows
 from triploom.plans.oracle_sql import BOX, SECOND_LOAD_FROM
 from triploom.sources.fixture import order_trips, trips_from_tables
@@ -47,21 +51,24 @@ def _dims(spark, sf_dir):
 
 
 def q_region_dim(spark, sf_dir):
-    return _dims(spark, sf_dir).region.df
+    return build_dim(name_members(_trips(spark, sf_dir), "region"), ["description"]).df
 
 
 def q_datasource_dim(spark, sf_dir):
-    return _dims(spark, sf_dir).datasource.df
+    return build_dim(name_members(_trips(spark, sf_dir), "datasource"),
+                     ["description"]).df
 
 
 def q_coord_dim(spark, sf_dir):
-    trips = _trips(spark, sf_dir)
-    from triploom.operators.dims import build_dim, point_members
-    return build_dim(point_members(trips), ["x", "y"]).df
+    return build_dim(point_members(_trips(spark, sf_dir)), ["x", "y"]).df
 
 
 def q_coord_time_dim(spark, sf_dir):
-    return _dims(spark, sf_dir).coord_time.df
+    """coord_time from the batch's distinct tuples and the coord dimension
+    built from those tuples' points (not from the whole trip set again)."""
+    tuples = materialize(trip_tuples(_trips(spark, sf_dir)), "tuples")
+    coord = build_dim(point_members(tuples), ["x", "y"])
+    return build_dim(tuple_ids(tuples, coord).select(*CT_KEYS), CT_KEYS).df
 
 
 def q_dim_upsert(spark, sf_dir):

@@ -1,7 +1,9 @@
 """Batch ingest: trip files (or any raw-trip frame) into the star tables.
 
 One call is one batch: clean -> grow the dimensions -> build the fact ->
-write the batch's partitions (dimensions before the fact) -> log. Every
+write the batch's partitions (dimensions before the fact) -> log. The
+batch is scanned twice: once for all member sets and per-file counts, once
+for the fact; nothing of it is cached. Every
 row-level step runs on the executors; the driver only passes batch ids and
 scalar counts. Loading the same files twice appends their trips twice, as
 a batch load should; use the file stream for load-once semantics.
@@ -9,7 +11,6 @@ a batch load should; use the file stream for load-once semantics.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,45 +36,38 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
     if batch_id is None:
         batch_id = next_batch_id(spark, root)
     cleaned = clean_trips(raw, on_error=on_error)
-    # the batch is read by several steps (members, fact, log); keep it once
-    cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if on_error == "quarantine":
-            accepted, rejected = split_rejects(cleaned)
-            write_batch(rejected.select("region", "origin_coord", "destination_coord",
-                                        "datetime", "datasource", "reject_reason"),
-                        root, "rejects", batch_id)
-        else:
-            accepted, rejected = cleaned, None
-        conformed = conform_dims(accepted, read_dims(spark, root, before_batch=batch_id))
-        added = conformed.added
-        write_batch(added.region.df, root, "region", batch_id)
-        write_batch(added.datasource.df, root, "datasource", batch_id)
-        write_batch(added.coord.df, root, "coord", batch_id)
-        write_batch(added.coord_time.df, root, "coord_time", batch_id)
-        write_batch(trip_fact(accepted, conformed), root, "trip", batch_id)
-        log = _log_rows(cleaned, on_error, added, origin,
-                        batch_id if origin_batch is None else origin_batch)
-        write_batch(log, root, "ingest_log", batch_id)
-    finally:
-        cleaned.unpersist()
+    if on_error == "quarantine":
+        accepted, rejected = split_rejects(cleaned)
+        write_batch(rejected.select("region", "origin_coord", "destination_coord",
+                                    "datetime", "datasource", "reject_reason"),
+                    root, "rejects", batch_id)
+    else:
+        accepted = cleaned
+    # one pass over the batch collects every member set and the per-file
+    # counts; a second pass builds the fact
+    conformed = conform_dims(cleaned, read_dims(spark, root, before_batch=batch_id))
+    added = conformed.added
+    write_batch(added.region.df, root, "region", batch_id)
+    write_batch(added.datasource.df, root, "datasource", batch_id)
+    write_batch(added.coord.df, root, "coord", batch_id)
+    write_batch(added.coord_time.df, root, "coord_time", batch_id)
+    write_batch(trip_fact(accepted, conformed), root, "trip", batch_id)
+    log = _log_rows(conformed, origin, batch_id if origin_batch is None else origin_batch)
+    write_batch(log, root, "ingest_log", batch_id)
     return batch_id
 
 
-def _log_rows(cleaned: DataFrame, on_error: str, added, origin: str,
-              origin_batch: int) -> DataFrame:
-    rejected = (F.col("reject_reason").isNotNull().cast("long")
-                if on_error == "quarantine" else F.lit(0).cast("long"))
-    return (cleaned.groupBy("source_file")
-            .agg(F.count(F.lit(1)).alias("rows_in"), F.sum(rejected).alias("rows_rejected"))
-            .select(F.lit(origin).alias("origin"),
-                    F.lit(origin_batch).cast("long").alias("origin_batch"),
-                    "source_file", "rows_in", "rows_rejected",
-                    F.lit(added.region.rows).cast("long").alias("new_regions"),
-                    F.lit(added.datasource.rows).cast("long").alias("new_datasources"),
-                    F.lit(added.coord.rows).cast("long").alias("new_coords"),
-                    F.lit(added.coord_time.rows).cast("long").alias("new_coord_times"),
-                    F.current_timestamp().alias("committed_at")))
+def _log_rows(conformed, origin: str, origin_batch: int) -> DataFrame:
+    added = conformed.added
+    return conformed.file_counts.select(
+        F.lit(origin).alias("origin"),
+        F.lit(origin_batch).cast("long").alias("origin_batch"),
+        "source_file", "rows_in", "rows_rejected",
+        F.lit(added.region.rows).cast("long").alias("new_regions"),
+        F.lit(added.datasource.rows).cast("long").alias("new_datasources"),
+        F.lit(added.coord.rows).cast("long").alias("new_coords"),
+        F.lit(added.coord_time.rows).cast("long").alias("new_coord_times"),
+        F.current_timestamp().alias("committed_at"))
 
 
 def ingest_progress(spark: SparkSession, root: str) -> DataFrame:
