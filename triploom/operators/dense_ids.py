@@ -9,6 +9,12 @@ differently); the
 per-partition row counts — one number per partition — give each
 partition's offset; and the ids follow as ``start + offset + position``.
 No task ever holds more than one range partition of keys.
+
+Small key sets take a shorter route, decided by an exact count: at most
+``triploom.denseIds.singleTaskMaxRows`` keys (default one million) are
+numbered by one ordered ``row_number()`` in a single task. Over distinct
+keys that numbering is a pure function of the key set, so it needs no
+materialisation; the bound keeps the single task small.
 """
 
 from __future__ import annotations
@@ -29,6 +35,14 @@ class Numbered:
     rows: int
 
 
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
+def single_task_max_rows(spark) -> int:
+    return int(spark.conf.get("triploom.denseIds.singleTaskMaxRows",
+                              str(SINGLE_TASK_MAX_ROWS)))
+
+
 def assign_dense_ids(keys: DataFrame, key_cols: list[str], start_after: int = 0,
                      id_col: str = "id") -> Numbered:
     """Number distinct ``keys`` 1, 2, ... (plus ``start_after``) in key order.
@@ -37,7 +51,14 @@ def assign_dense_ids(keys: DataFrame, key_cols: list[str], start_after: int = 0,
     columns, as a DataFrame over the stored, numbered keys.
     """
     cols = [F.col(c) for c in key_cols]
-    tagged = materialize(keys.select(*key_cols)
+    spark = keys.sparkSession
+    keys = keys.select(*key_cols)
+    total = keys.count()
+    if total <= single_task_max_rows(spark):
+        rank = F.row_number().over(Window.orderBy(*cols))
+        return Numbered(keys.select((rank + start_after).cast("int").alias(id_col),
+                                    *key_cols), total)
+    tagged = materialize(keys
                          .repartitionByRange(*cols)
                          .sortWithinPartitions(*cols)
                          .withColumn("_pid", F.spark_partition_id())
