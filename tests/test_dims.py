@@ -67,3 +67,22 @@ def test_two_batches_equal_one_batch(spark):
     after = {tuple(r[1:]): r[0] for r in b.dims.coord_time.df.collect()}
     assert all(after[k] == v for k, v in first.items())
     assert sorted(after.values()) == list(range(1, len(after) + 1))
+
+
+def test_salted_lookup_equals_broadcast(spark, conf):
+    hot = [("A", pt(1, 2), pt(3, 4), f"2018-05-28 09:{m:02d}:00", "s") for m in range(20)]
+    nulls = [(None, pt(1, 2), pt(3, 4), T, None)] * 15
+    other = [(r, pt(i, 1), pt(1, i), T, "t") for i, r in enumerate("BCDEFG")]
+    t = trips(spark, hot + nulls + other).withColumn("k", F.monotonically_increasing_id())
+    c = conform_dims(t)
+    expected = sorted((tuple(r) for r in trip_fact(t, c, keep=("k",)).collect()), key=repr)
+    conf("triploom.dim.broadcastMaxRows", 0)
+    conf("triploom.skew.hotKeyRows", 4)
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    c2 = conform_dims(t)
+    fact = trip_fact(t, c2, keep=("k",))
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
+    assert sorted((tuple(r) for r in fact.collect()), key=repr) == expected
+    assert len(expected) == 41

@@ -130,13 +130,15 @@ class StarDims:
 @dataclass
 class Conformed:
     """Dimensions after the batch, the members it added, the lookup from a
-    trip's points and time range to its coord_time id, and the batch's
-    per-file row counts."""
+    trip's points and time range to its coord_time id, and exact row counts
+    of the batch: per file, per member (``key_counts``) and in total."""
 
     dims: StarDims
     added: StarDims
-    coord_time_map: DataFrame
+    coord_time_map: Numbered
     file_counts: DataFrame | None = None
+    key_counts: dict[str, DataFrame] | None = None
+    total_rows: int | None = None
 
 
 # grouping sets of the member pass; grouping_id sets one bit per column
@@ -191,8 +193,12 @@ def conform_dims(trips: DataFrame, base: StarDims | None = None) -> Conformed:
 
     names = {k: of(k).select(F.col(k).alias("description"))
              .filter(F.col("description").isNotNull()) for k in ("region", "datasource")}
-    tuples = of("tuple").select(*TUPLE_COLS).filter(
-        reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in TUPLE_COLS]))
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in TUPLE_COLS])
+    tuples = of("tuple").select(*TUPLE_COLS).filter(complete)
+    # exact sizes from the stored member table: one small job
+    sizes = {r["_gid"]: (r["n"], r["rows"]) for r in members.groupBy("_gid").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rows_in").alias("rows")).collect()}
+    n_tuples, total = sizes.get(_gid(MEMBER_SETS["tuple"]), (0, 0))
     region = dim_upsert(base.region, names["region"], ["description"])
     source = dim_upsert(base.datasource, names["datasource"], ["description"])
     coord = dim_upsert(base.coord, point_members(tuples), ["x", "y"])
@@ -202,7 +208,10 @@ def conform_dims(trips: DataFrame, base: StarDims | None = None) -> Conformed:
     ct = lookup(coord_time.all).withColumnRenamed("id", "coord_time_id")
     ct_map = ids.join(ct, CT_KEYS).select(*TUPLE_COLS, "coord_time_id")
     files = of("file").select("source_file", "rows_in", "rows_rejected")
+    key_counts = {"region": of("region").select("region", "rows_in"),
+                  "datasource": of("datasource").select("datasource", "rows_in"),
+                  "tuple": of("tuple").filter(complete).select(*TUPLE_COLS, "rows_in")}
     return Conformed(
         StarDims(region.all, source.all, coord.all, coord_time.all),
         StarDims(region.new, source.new, coord.new, coord_time.new),
-        ct_map, files)
+        Numbered(ct_map, n_tuples), files, key_counts, total)
