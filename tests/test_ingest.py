@@ -104,3 +104,27 @@ def test_strict_rejects_other_files(spark, workdir):
     assert read_trips(spark, folder).count() == 1
     with pytest.raises(ValueError):
         read_trips(spark, folder, strict=True)
+
+
+def test_live_weekly_counts_watermark(spark, workdir):
+    from triploom.streaming.weekly_live import current_weekly_counts, start_weekly_counts
+
+    landing, out, ckpt = (os.path.join(workdir, n) for n in ("landing", "weekly", "ckpt"))
+
+    def land(rows):
+        spark.createDataFrame(rows, RAW_COLS).write.mode("append") \
+            .option("header", True).csv(landing)
+        q = start_weekly_counts(spark, landing, out, ckpt, watermark="7 days")
+        q.awaitTermination()
+        assert q.exception() is None
+
+    land([("A", pt(1, 2), pt(3, 4), "2024-03-04 08:00:00", "s"),    # Monday
+          ("A", pt(1, 2), pt(3, 4), "2024-03-10 23:59:00", "s"),    # Sunday
+          (" A ", pt(1, 2), pt(3, 4), "2024-03-20 10:00:00", "s")])  # next-next week
+    # watermark is now 2024-03-13 10:00: the first trip is late and dropped,
+    # the second is within it and counted
+    land([("A", pt(1, 2), pt(3, 4), "2024-03-01 10:00:00", "s"),
+          ("A", pt(1, 2), pt(3, 4), "2024-03-19 09:00:00", "s")])
+    got = {(r.region, str(r.week_start.date())): r.num_trips
+           for r in current_weekly_counts(spark, out).collect()}
+    assert got == {("A", "2024-03-04"): 2, ("A", "2024-03-18"): 2}

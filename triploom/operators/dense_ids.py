@@ -29,10 +29,12 @@ from triploom.session import materialize
 
 @dataclass
 class Numbered:
-    """Keys with their ids, and how many there are."""
+    """Keys with their ids, how many there are, and (when known) the
+    largest id."""
 
     df: DataFrame
     rows: int
+    max_id: int | None = None
 
 
 SINGLE_TASK_MAX_ROWS = 1_000_000

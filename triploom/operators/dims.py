@@ -96,7 +96,8 @@ def dim_upsert(base: Numbered, members: DataFrame, key_cols: list[str]) -> Upser
     """
     spark = members.sparkSession
     if base.rows:
-        base_max = base.df.agg(F.max("id")).first()[0] or 0
+        base_max = base.max_id if base.max_id is not None else (
+            base.df.agg(F.max("id")).first()[0] or 0)
         new_keys = members.join(lookup(base).select(*key_cols), key_cols, "left_anti")
     else:
         base_max, new_keys = 0, members

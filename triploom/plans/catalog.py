@@ -153,7 +153,9 @@ def q_by_region_json(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    from triploom.plans.ingest_checks import q_batch_ingest, q_ingest_progress, q_stream_ingest
+    from triploom.plans.ingest_checks import (
+        q_batch_ingest, q_ingest_progress, q_stream_ingest, q_stream_weekly_counts,
+    )
     return {
         "clean_trips": q_clean_trips,
         "time_range_assign": q_time_range_assign,
@@ -180,4 +182,5 @@ def queries() -> dict[str, Query]:
         "batch_ingest": q_batch_ingest,
         "stream_ingest": q_stream_ingest,
         "ingest_progress": q_ingest_progress,
+        "stream_weekly_counts": q_stream_weekly_counts,
     }

@@ -20,6 +20,7 @@ from triploom.session import scratch_path
 from triploom.sources.fixture import trips_from_tables
 from triploom.sources.warehouse import read_table
 from triploom.streaming.ingest import stream_ingest
+from triploom.streaming.weekly_live import current_weekly_counts, start_weekly_counts
 
 
 def write_trip_csv(spark: SparkSession, sf_dir: str, folder: str) -> tuple[str, str]:
@@ -80,3 +81,19 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ingest_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_progress(spark, _stream_twice(spark, sf_dir)).drop("committed_at")
+
+
+def q_stream_weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live weekly counts: land load 1, run; land load 2, run; read the view."""
+    work = scratch_path(spark, "stream-weekly")
+    load1, load2 = write_trip_csv(spark, sf_dir, os.path.join(work, "files"))
+    landing = os.path.join(work, "landing")
+    out, ckpt = os.path.join(work, "weekly"), os.path.join(work, "checkpoint")
+    for load in (load1, load2):
+        spark.read.option("header", True).csv(load) \
+            .write.mode("append").option("header", True).csv(landing)
+        q = start_weekly_counts(spark, landing, out, ckpt)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    return current_weekly_counts(spark, out)

@@ -1,3 +1,6 @@
-"""Incremental ingest with Structured Streaming."""
+"""Incremental ingest and live weekly counts with Structured Streaming."""
 
 from triploom.streaming.ingest import stream_ingest  # noqa: F401
+from triploom.streaming.weekly_live import (  # noqa: F401
+    current_weekly_counts, start_weekly_counts, weekly_counts_stream,
+)
