@@ -46,16 +46,16 @@ def single_task_max_rows(spark) -> int:
 
 
 def assign_dense_ids(keys: DataFrame, key_cols: list[str], start_after: int = 0,
-                     id_col: str = "id") -> Numbered:
+                     id_col: str = "id", rows: int | None = None) -> Numbered:
     """Number distinct ``keys`` 1, 2, ... (plus ``start_after``) in key order.
 
-    ``keys`` must not repeat a key. Returns ``id`` first, then the key
-    columns, as a DataFrame over the stored, numbered keys.
+    ``keys`` must not repeat a key. ``rows`` is their exact count when the
+    caller already knows it. Returns ``id`` first, then the key columns.
     """
     cols = [F.col(c) for c in key_cols]
     spark = keys.sparkSession
     keys = keys.select(*key_cols)
-    total = keys.count()
+    total = keys.count() if rows is None else rows
     if total <= single_task_max_rows(spark):
         rank = F.row_number().over(Window.orderBy(*cols))
         return Numbered(keys.select((rank + start_after).cast("int").alias(id_col),

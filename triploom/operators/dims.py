@@ -86,13 +86,15 @@ class Upsert:
     new: Numbered
 
 
-def dim_upsert(base: Numbered, members: DataFrame, key_cols: list[str]) -> Upsert:
+def dim_upsert(base: Numbered, members: DataFrame, key_cols: list[str],
+               member_rows: int | None = None) -> Upsert:
     """Add the members of ``members`` missing from ``base``.
 
     New ids start at ``max(base.id) + 1`` (1 for an empty base) and follow
     key order. The new keys are found with an anti join on the key columns
     (never a full outer join); ``base`` is broadcast only under the size
-    limit.
+    limit. ``member_rows``, the exact member count if known, saves a count
+    when the base is empty.
     """
     spark = members.sparkSession
     if base.rows:
@@ -101,7 +103,8 @@ def dim_upsert(base: Numbered, members: DataFrame, key_cols: list[str]) -> Upser
         new_keys = members.join(lookup(base).select(*key_cols), key_cols, "left_anti")
     else:
         base_max, new_keys = 0, members
-    new = assign_dense_ids(new_keys, key_cols, start_after=base_max)
+    new = assign_dense_ids(new_keys, key_cols, start_after=base_max,
+                           rows=None if base.rows else member_rows)
     if not base.rows:
         return Upsert(new, new)
     everything = base.df.select("id", *key_cols).unionByName(new.df)
@@ -196,16 +199,27 @@ def conform_dims(trips: DataFrame, base: StarDims | None = None) -> Conformed:
              .filter(F.col("description").isNotNull()) for k in ("region", "datasource")}
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in TUPLE_COLS])
     tuples = of("tuple").select(*TUPLE_COLS).filter(complete)
-    # exact sizes from the stored member table: one small job
-    sizes = {r["_gid"]: (r["n"], r["rows"]) for r in members.groupBy("_gid").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("rows_in").alias("rows")).collect()}
-    n_tuples, total = sizes.get(_gid(MEMBER_SETS["tuple"]), (0, 0))
-    region = dim_upsert(base.region, names["region"], ["description"])
-    source = dim_upsert(base.datasource, names["datasource"], ["description"])
+    # exact sizes from the stored member table (one row per grouping set):
+    # non-null members per set and rows in the batch, in one small job
+    present = {"region": F.col("region").isNotNull(),
+               "datasource": F.col("datasource").isNotNull(), "tuple": complete}
+    sizes = {r["_gid"]: r for r in members.groupBy("_gid").agg(
+        F.sum("rows_in").alias("rows"),
+        *[F.count_if(cond).alias(k) for k, cond in present.items()]).collect()}
+
+    def size(kind: str, field: str) -> int:
+        row = sizes.get(_gid(MEMBER_SETS[kind]))
+        return (row[field] or 0) if row is not None else 0
+
+    n_tuples, total = size("tuple", "tuple"), size("tuple", "rows")
+    region = dim_upsert(base.region, names["region"], ["description"],
+                        size("region", "region"))
+    source = dim_upsert(base.datasource, names["datasource"], ["description"],
+                        size("datasource", "datasource"))
     coord = dim_upsert(base.coord, point_members(tuples), ["x", "y"])
     ids = tuple_ids(tuples, coord.all)
     # equal tuples <=> equal coord-id triples, so the triples are distinct
-    coord_time = dim_upsert(base.coord_time, ids.select(*CT_KEYS), CT_KEYS)
+    coord_time = dim_upsert(base.coord_time, ids.select(*CT_KEYS), CT_KEYS, n_tuples)
     ct = lookup(coord_time.all).withColumnRenamed("id", "coord_time_id")
     ct_map = ids.join(ct, CT_KEYS).select(*TUPLE_COLS, "coord_time_id")
     files = of("file").select("source_file", "rows_in", "rows_rejected")

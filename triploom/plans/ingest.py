@@ -11,6 +11,8 @@ a batch load should; use the file stream for load-once semantics.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +49,13 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
     # counts; a second pass builds the fact
     conformed = conform_dims(cleaned, read_dims(spark, root, before_batch=batch_id))
     added = conformed.added
-    write_batch(added.region.df, root, "region", batch_id)
-    write_batch(added.datasource.df, root, "datasource", batch_id)
-    write_batch(added.coord.df, root, "coord", batch_id)
-    write_batch(added.coord_time.df, root, "coord_time", batch_id)
+    # the four dimension partitions are independent jobs: submit them
+    # together, and write the fact only once all of them are committed
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        done = [pool.submit(write_batch, getattr(added, name).df, root, name, batch_id)
+                for name in ("region", "datasource", "coord", "coord_time")]
+        for f in done:
+            f.result()
     write_batch(trip_fact(accepted, conformed), root, "trip", batch_id)
     log = _log_rows(conformed, origin, batch_id if origin_batch is None else origin_batch)
     write_batch(log, root, "ingest_log", batch_id)

@@ -24,22 +24,32 @@ from triploom.streaming.weekly_live import current_weekly_counts, start_weekly_c
 
 
 def write_trip_csv(spark: SparkSession, sf_dir: str, folder: str) -> tuple[str, str]:
-    """Write the raw trips as two loads of trip CSV files; return both folders."""
-    raw = trips_from_tables(spark, sf_dir).select(
-        "region", "origin_coord", "destination_coord",
-        F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime_text"),
-        "datasource", "datetime")
+    """Write the raw trips as trip CSV files in two loads (first week, rest),
+    with one partitioned write; return both load folders."""
     cut = F.lit(SECOND_LOAD_FROM).cast("timestamp_ntz")
-    loads = []
-    for name, cond in (("load1", F.col("datetime") < cut),
-                       ("load2", F.col("datetime") >= cut)):
-        path = os.path.join(folder, name)
-        (raw.filter(cond).drop("datetime")
-         .withColumnRenamed("datetime_text", "datetime")
-         .select("region", "origin_coord", "destination_coord", "datetime", "datasource")
-         .write.option("header", True).csv(path))
-        loads.append(path)
-    return loads[0], loads[1]
+    raw = trips_from_tables(spark, sf_dir)
+    (raw.select("region", "origin_coord", "destination_coord",
+                F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
+                "datasource",
+                F.when(F.col("datetime") < cut, "1").otherwise("2").alias("load"))
+     .write.partitionBy("load").option("header", True).csv(folder))
+    return os.path.join(folder, "load=1"), os.path.join(folder, "load=2")
+
+
+def land_files(spark: SparkSession, src: str, landing: str) -> None:
+    """Move the CSV files of ``src`` into ``landing`` by rename, the way
+    files arrive in a landing folder (each appears whole, at once)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_path = jvm.org.apache.hadoop.fs.Path(src)
+    fs = src_path.getFileSystem(conf)
+    dst = jvm.org.apache.hadoop.fs.Path(landing)
+    fs.mkdirs(dst)
+    for status in fs.listStatus(src_path):
+        name = status.getPath().getName()
+        if name.endswith(".csv"):
+            fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(
+                dst, f"{os.path.basename(src.rstrip('/'))}-{name}"))
 
 
 def _region_metric(spark: SparkSession, root: str) -> DataFrame:
@@ -66,8 +76,7 @@ def _stream_twice(spark: SparkSession, sf_dir: str) -> str:
     ckpt = os.path.join(work, "checkpoint")
     for load in (load1, load2, None):
         if load is not None:
-            spark.read.option("header", True).csv(load) \
-                .write.mode("append").option("header", True).csv(landing)
+            land_files(spark, load, landing)
         q = stream_ingest(spark, landing, root, ckpt)
         q.awaitTermination()
         if q.exception():
@@ -90,8 +99,7 @@ def q_stream_weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = os.path.join(work, "landing")
     out, ckpt = os.path.join(work, "weekly"), os.path.join(work, "checkpoint")
     for load in (load1, load2):
-        spark.read.option("header", True).csv(load) \
-            .write.mode("append").option("header", True).csv(landing)
+        land_files(spark, load, landing)
         q = start_weekly_counts(spark, landing, out, ckpt)
         q.awaitTermination()
         if q.exception():

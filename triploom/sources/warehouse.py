@@ -52,13 +52,23 @@ def table_path(root: str, name: str) -> str:
     return os.path.join(root, name)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs(spark, path)
     return fs.exists(hpath)
 
 
+def _create_empty(spark: SparkSession, path: str) -> None:
+    """An empty table is an empty folder; every read passes its schema."""
+    fs, hpath = _fs(spark, path)
+    fs.mkdirs(hpath)
+
+
 def init_warehouse(spark: SparkSession, root: str) -> dict[str, tuple[bool, str]]:
     """Create the tables that do not exist yet; seed ``time_range`` when it
     is created. Returns ``{table: (created, message)}``."""
@@ -69,15 +79,14 @@ def init_warehouse(spark: SparkSession, root: str) -> dict[str, tuple[bool, str]
             out[name] = (False, f"Table {name} already exists.")
             continue
         if name == "time_range":
-            time_range_dim(spark).write.parquet(path)
+            time_range_dim(spark).coalesce(1).write.parquet(path)
         else:
-            (spark.createDataFrame([], _with_batch(schema))
-             .write.partitionBy("batch_id").parquet(path))
+            _create_empty(spark, path)
         out[name] = (True, f"Table {name} was created successfully.")
-    for name, schema in (("ingest_log", INGEST_LOG), ("rejects", _with_batch(REJECTS))):
+    for name in ("ingest_log", "rejects"):
         path = table_path(root, name)
         if not _exists(spark, path):
-            spark.createDataFrame([], schema).write.partitionBy("batch_id").parquet(path)
+            _create_empty(spark, path)
     return out
 
 
