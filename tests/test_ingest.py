@@ -128,3 +128,21 @@ def test_live_weekly_counts_watermark(spark, workdir):
     got = {(r.region, str(r.week_start.date())): r.num_trips
            for r in current_weekly_counts(spark, out).collect()}
     assert got == {("A", "2024-03-04"): 2, ("A", "2024-03-18"): 2}
+
+
+def test_stream_epoch_replay_maps_to_same_batch(spark, workdir):
+    from triploom.streaming.ingest import _batch_for
+
+    root = os.path.join(workdir, "wh")
+    df = spark.createDataFrame([("A", pt(1, 2), pt(3, 4), T, "s")], RAW_COLS)
+    init_warehouse(spark, root)
+    ingest(spark, df, root)                                   # batch 0, from a batch load
+    origin = "stream:/ckpt"
+    b = _batch_for(spark, root, origin, 0)
+    assert b == 1
+    ingest(spark, df, root, batch_id=b, origin=origin, origin_batch=0)
+    # the same epoch again (a replay after a failure) maps to batch 1 again
+    assert _batch_for(spark, root, origin, 0) == 1
+    ingest(spark, df, root, batch_id=1, origin=origin, origin_batch=0)
+    assert read_table(spark, root, "trip").count() == 2
+    assert _batch_for(spark, root, origin, 1) == 2

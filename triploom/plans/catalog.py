@@ -19,7 +19,7 @@ from triploom.operators.dims import (
     trip_tuples, tuple_ids,
 )
 from triploom.session import materialize
-from triploom.operators.output import to_json_rows
+from triploom.operators.output import scalar_text, to_json_rows
 from triploom.plans.oracle_sql import BOX, SECOND_LOAD_FROM
 from triploom.sources.fixture import order_trips, trips_from_tables
 
@@ -148,6 +148,11 @@ def q_coord_time_fanout_audit(spark, sf_dir):
     return coord_time_fanout_audit(_trips(spark, sf_dir))
 
 
+def q_weekly_avg_bbox_text(spark, sf_dir):
+    """The box metric as the text the result edge returns."""
+    return scalar_text(weekly_avg_bbox(_trips(spark, sf_dir), *BOX), "weekly_avg_trips_bb")
+
+
 def q_by_region_json(spark, sf_dir):
     return to_json_rows(weekly_avg_by_region(_trips(spark, sf_dir)))
 
@@ -179,6 +184,7 @@ def queries() -> dict[str, Query]:
         "weekly_avg_bbox_empty": q_weekly_avg_bbox_empty,
         "coord_time_fanout_audit": q_coord_time_fanout_audit,
         "by_region_json": q_by_region_json,
+        "weekly_avg_bbox_text": q_weekly_avg_bbox_text,
         "batch_ingest": q_batch_ingest,
         "stream_ingest": q_stream_ingest,
         "ingest_progress": q_ingest_progress,

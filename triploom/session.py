@@ -24,6 +24,26 @@ SESSION_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, ~100 TB of
+# input). Input splits of 256 MB keep scan tasks in the tens of thousands;
+# shuffles start with many partitions and AQE coalesces them towards the
+# advisory size, so a partition fits executor memory without tuning per
+# query; a shuffle partition over 256 MB and 5x the median is split by the
+# skew-join handling; sides AQE measures under 64 MB are broadcast.
+CLUSTER_CONF = {
+    **{k: v for k, v in SESSION_CONF.items() if not k.startswith("spark.ui")},
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "triploom") -> SparkSession:
     """Local session for tests and benches (never used on a cluster)."""

@@ -58,11 +58,15 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever file system it names."""
     fs, hpath = _fs(spark, path)
     return fs.exists(hpath)
 
 
+_exists = path_exists
+
+
 def _create_empty(spark: SparkSession, path: str) -> None:
     """An empty table is an empty folder; every read passes its schema."""
     fs, hpath = _fs(spark, path)

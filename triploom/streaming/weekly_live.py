@@ -14,14 +14,13 @@ holds one row per (region, open week), not per trip.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from triploom.operators.clean import clean_trips
 from triploom.sources.csv_trips import stream_trips
+from triploom.sources.warehouse import path_exists
 
 WEEK = "7 days"
 MONDAY_OFFSET = "4 days"
@@ -74,9 +73,9 @@ def start_weekly_counts(spark: SparkSession, landing: str, out: str, checkpoint:
 
 def current_weekly_counts(spark: SparkSession, out: str) -> DataFrame:
     """The latest count of every (region, week) in the changelog."""
-    if not os.path.exists(out.removeprefix("file:")) and "://" not in out:
-        return spark.createDataFrame([], "region string, week_start timestamp_ntz, "
-                                         "num_trips long")
-    log = spark.read.parquet(out)
+    schema = "region string, week_start timestamp_ntz, num_trips long, epoch long"
+    if not path_exists(spark, out):
+        return spark.createDataFrame([], schema).drop("epoch")
+    log = spark.read.schema(schema).parquet(out)
     return (log.groupBy("region", "week_start")
             .agg(F.max_by("num_trips", "epoch").alias("num_trips")))
