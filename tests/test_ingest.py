@@ -146,3 +146,17 @@ def test_stream_epoch_replay_maps_to_same_batch(spark, workdir):
     ingest(spark, df, root, batch_id=1, origin=origin, origin_batch=0)
     assert read_table(spark, root, "trip").count() == 2
     assert _batch_for(spark, root, origin, 1) == 2
+
+
+def test_ingest_leaves_no_scratch_tables(spark, workdir):
+    from triploom.session import ensure_checkpoint_dir
+
+    ckpt = ensure_checkpoint_dir(spark).removeprefix("file:")
+
+    def scratch():
+        return sorted(n for n in os.listdir(ckpt) if n.startswith(("batch-members", "dense-ids")))
+
+    before = scratch()
+    df = spark.createDataFrame([("A", pt(1, 2), pt(3, 4), T, "s")], RAW_COLS)
+    ingest(spark, df, os.path.join(workdir, "wh"))
+    assert scratch() == before

@@ -9,7 +9,8 @@ Lookups into a dimension are broadcast only when its row count — known
 exactly, since every dimension here is built through ``Numbered`` or read
 with a count — is at most ``triploom.dim.broadcastMaxRows`` (default one
 million); above that the join is left to Spark (sort-merge, or a broadcast
-chosen by AQE from the measured size).
+chosen by AQE from the measured size). The fact's lookups add salting of
+hot keys on top (:mod:`triploom.operators.skew`).
 """
 
 from __future__ import annotations
@@ -96,7 +97,6 @@ def dim_upsert(base: Numbered, members: DataFrame, key_cols: list[str],
     limit. ``member_rows``, the exact member count if known, saves a count
     when the base is empty.
     """
-    spark = members.sparkSession
     if base.rows:
         base_max = base.max_id if base.max_id is not None else (
             base.df.agg(F.max("id")).first()[0] or 0)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from triploom.operators.clean import clean_trips, split_rejects
 from triploom.operators.dims import conform_dims
 from triploom.operators.fact import trip_fact
+from triploom.session import scratch_scope
 from triploom.sources.csv_trips import read_trips
 from triploom.sources.warehouse import (
     init_warehouse, next_batch_id, read_dims, read_table, write_batch,
@@ -37,28 +38,29 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
         raw = raw.withColumn("source_file", F.lit(None).cast("string"))
     if batch_id is None:
         batch_id = next_batch_id(spark, root)
-    cleaned = clean_trips(raw, on_error=on_error)
-    if on_error == "quarantine":
-        accepted, rejected = split_rejects(cleaned)
-        write_batch(rejected.select("region", "origin_coord", "destination_coord",
-                                    "datetime", "datasource", "reject_reason"),
-                    root, "rejects", batch_id)
-    else:
-        accepted = cleaned
-    # one pass over the batch collects every member set and the per-file
-    # counts; a second pass builds the fact
-    conformed = conform_dims(cleaned, read_dims(spark, root, before_batch=batch_id))
-    added = conformed.added
-    # the four dimension partitions are independent jobs: submit them
-    # together, and write the fact only once all of them are committed
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        done = [pool.submit(write_batch, getattr(added, name).df, root, name, batch_id)
-                for name in ("region", "datasource", "coord", "coord_time")]
-        for f in done:
-            f.result()
-    write_batch(trip_fact(accepted, conformed), root, "trip", batch_id)
-    log = _log_rows(conformed, origin, batch_id if origin_batch is None else origin_batch)
-    write_batch(log, root, "ingest_log", batch_id)
+    with scratch_scope(spark):
+        cleaned = clean_trips(raw, on_error=on_error)
+        if on_error == "quarantine":
+            accepted, rejected = split_rejects(cleaned)
+            write_batch(rejected.select("region", "origin_coord", "destination_coord",
+                                        "datetime", "datasource", "reject_reason"),
+                        root, "rejects", batch_id)
+        else:
+            accepted = cleaned
+        # one pass over the batch collects every member set and the per-file
+        # counts; a second pass builds the fact
+        conformed = conform_dims(cleaned, read_dims(spark, root, before_batch=batch_id))
+        added = conformed.added
+        # the four dimension partitions are independent jobs: submit them
+        # together, and write the fact only once all of them are committed
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            done = [pool.submit(write_batch, getattr(added, name).df, root, name, batch_id)
+                    for name in ("region", "datasource", "coord", "coord_time")]
+            for f in done:
+                f.result()
+        write_batch(trip_fact(accepted, conformed), root, "trip", batch_id)
+        log = _log_rows(conformed, origin, batch_id if origin_batch is None else origin_batch)
+        write_batch(log, root, "ingest_log", batch_id)
     return batch_id
 
 

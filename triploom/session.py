@@ -3,9 +3,11 @@ checkpoint folder that lineage cuts are written to."""
 
 from __future__ import annotations
 
+import contextvars
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,10 +89,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_SCOPE: contextvars.ContextVar[list | None] = contextvars.ContextVar(
+    "triploom_scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the tables ``materialize`` writes inside the block when it
+    ends; only for blocks whose results are fully written before exit."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPE.reset(token)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            hpath = jvm.org.apache.hadoop.fs.Path(p)
+            hpath.getFileSystem(conf).delete(hpath, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     read it back: the lineage is cut, later reuse reads stored rows (not a
     recomputation that could differ), and lost executors cost no rework."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
