@@ -81,7 +81,10 @@ def test_random_boxes_match_brute_force(fixture_trips):
                 _brute_force(rows, box, count))
 
 
-def test_star_equals_flat(fixture_trips):
+@pytest.mark.parametrize("broadcast_max", [None, 0])
+def test_star_equals_flat(fixture_trips, conf, broadcast_max):
+    if broadcast_max is not None:
+        conf("triploom.dim.broadcastMaxRows", broadcast_max)
     c = conform_dims(fixture_trips)
     fact = trip_fact(fixture_trips, c)
     flat = sorted(tuple(r) for r in weekly_avg_by_region(fixture_trips).collect())

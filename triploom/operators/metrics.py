@@ -144,19 +144,34 @@ def weekly_avg_bbox_star(trip: DataFrame, coord_time: DataFrame, coord: DataFram
                          count: str = "endpoints", week: str = "week") -> DataFrame:
     """Box metric from the star tables.
 
-    The box filter reaches the ``coord`` scan; the members touching it are
-    found by semi-joins; the fact is first reduced to
-    (coord_time_id, week, trips) rows by a map-side aggregation, so the join
-    to the hit list never moves one row per trip.
+    The box filter reaches the ``coord`` scan and the members touching the
+    box are found by semi-joins on the dimensions. Then, by their exact
+    number:
+
+    * at most ``triploom.dim.broadcastMaxRows`` members (the usual case for
+      a box): the hit list is broadcast and the fact is filtered by it in
+      the scan stage, so only matching trips reach the weekly aggregation
+      and the fact is never shuffled;
+    * more: the fact is first reduced map-side to (coord_time_id, week, n)
+      rows and those are joined to the hit list, so no per-trip row is
+      shuffled to a join.
     """
+    from triploom.operators.dims import broadcast_max_rows
+
     if count not in COUNT_MODES:
         raise ValueError(f"count must be one of {COUNT_MODES}")
     box = Box.from_corners(x_a, y_a, x_b, y_b)
     hits = _box_hits(coord_time, coord, box, count)
-    per_member = (trip.groupBy("coord_time_id", *week_key("datetime", week))
-                  .agg(F.count("*").alias("n")))
-    per_week = (per_member.join(hits, "coord_time_id")
-                .groupBy(*_week_cols(week))
-                .agg(F.sum(F.col("n") * F.col("hits")).alias("num_trips")))
+    n_hits = hits.count()
+    if n_hits <= broadcast_max_rows(trip.sparkSession):
+        per_week = (trip.join(F.broadcast(hits), "coord_time_id")
+                    .groupBy(*week_key("datetime", week))
+                    .agg(F.sum("hits").alias("num_trips")))
+    else:
+        per_member = (trip.groupBy("coord_time_id", *week_key("datetime", week))
+                      .agg(F.count("*").alias("n")))
+        per_week = (per_member.join(hits, "coord_time_id")
+                    .groupBy(*_week_cols(week))
+                    .agg(F.sum(F.col("n") * F.col("hits")).alias("num_trips")))
     return per_week.agg(
         F.coalesce(F.avg("num_trips"), F.lit(0.0)).alias("weekly_avg_trips_bb"))
