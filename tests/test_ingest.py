@@ -160,3 +160,28 @@ def test_ingest_leaves_no_scratch_tables(spark, workdir):
     df = spark.createDataFrame([("A", pt(1, 2), pt(3, 4), T, "s")], RAW_COLS)
     ingest(spark, df, os.path.join(workdir, "wh"))
     assert scratch() == before
+
+
+def test_landing_progress_and_clean_source(spark, workdir):
+    from triploom.plans.ingest import landing_progress
+    from triploom.plans.ingest_checks import land_files
+
+    load1, load2 = write_trip_csv(spark, SF["0.001"], os.path.join(workdir, "files"))
+    landing, root, ckpt = (os.path.join(workdir, n) for n in ("landing", "wh", "ckpt"))
+    archive = os.path.join(workdir, "archive")
+    land_files(spark, load1, landing)
+    before = landing_progress(spark, landing, root).collect()
+    assert before and all(r.percent == 0 for r in before)
+    q = stream_ingest(spark, landing, root, ckpt, clean_source="archive", archive_dir=archive)
+    q.awaitTermination()
+    done = landing_progress(spark, landing, root).collect()
+    assert all(r.percent == 100 and r.batch_id == 0 for r in done)
+    assert sum(r.rows_in for r in done) == read_table(spark, root, "trip").count()
+    land_files(spark, load2, landing)
+    q = stream_ingest(spark, landing, root, ckpt, clean_source="archive", archive_dir=archive)
+    q.awaitTermination()
+    assert read_table(spark, root, "trip").count() == 1000
+    # committed files leave the landing folder (the source moves them in a
+    # later micro-batch than the one that read them)
+    left = {os.path.basename(r.source_file) for r in landing_progress(spark, landing, root).collect()}
+    assert not {os.path.basename(r.source_file) for r in done} & left

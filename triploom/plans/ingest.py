@@ -22,7 +22,8 @@ from triploom.operators.fact import trip_fact
 from triploom.session import scratch_scope
 from triploom.sources.csv_trips import read_trips
 from triploom.sources.warehouse import (
-    init_warehouse, next_batch_id, read_dims, read_table, write_batch,
+    INGEST_LOG, init_warehouse, next_batch_id, path_exists, read_dims, read_table,
+    table_path, write_batch,
 )
 
 
@@ -86,3 +87,24 @@ def ingest_progress(spark: SparkSession, root: str) -> DataFrame:
                     "new_coord_times", "committed_at",
                     F.lit(100).alias("percent"))
             .orderBy("batch_id", "source_file"))
+
+
+def landing_progress(spark: SparkSession, landing: str, root: str) -> DataFrame:
+    """Per CSV file now in the landing folder: 100 % with its batch and row
+    counts once committed, 0 % while it waits. The listing is file metadata
+    (what the file source itself lists); the join to the log runs on Spark."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(landing)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().toString() for st in fs.listStatus(path)
+             if st.isFile() and st.getPath().getName().endswith(".csv")] \
+        if fs.exists(path) else []
+    files = spark.createDataFrame([(n,) for n in names], "source_file string")
+    key = lambda c: F.try_parse_url(F.col(c), F.lit("PATH"))
+    log = (read_table(spark, root, "ingest_log") if path_exists(
+        spark, table_path(root, "ingest_log")) else spark.createDataFrame([], INGEST_LOG))
+    log = log.select(key("source_file").alias("_k"), "batch_id", "rows_in", "rows_rejected")
+    return (files.withColumn("_k", key("source_file")).join(log, "_k", "left")
+            .select("source_file", "batch_id", "rows_in", "rows_rejected",
+                    F.when(F.col("batch_id").isNotNull(), 100).otherwise(0).alias("percent"))
+            .orderBy("source_file"))
