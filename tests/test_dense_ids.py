@@ -31,3 +31,11 @@ def test_empty(spark, conf):
     assert assign_dense_ids(empty, ["k", "g"]).rows == 0
     conf("triploom.denseIds.singleTaskMaxRows", 0)
     assert assign_dense_ids(empty, ["k", "g"]).df.count() == 0
+
+
+def test_range_partition_path_with_coalescing(spark, conf):
+    conf("triploom.denseIds.singleTaskMaxRows", 0)
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    conf("spark.sql.shuffle.partitions", 64)
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", 2048)
+    _check(assign_dense_ids(_keys(spark, 20000), ["k", "g"], start_after=100), 100, 20000)
