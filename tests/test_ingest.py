@@ -185,3 +185,20 @@ def test_landing_progress_and_clean_source(spark, workdir):
     # later micro-batch than the one that read them)
     left = {os.path.basename(r.source_file) for r in landing_progress(spark, landing, root).collect()}
     assert not {os.path.basename(r.source_file) for r in done} & left
+
+
+def test_quarantine_keeps_malformed_lines(spark, workdir):
+    folder = os.path.join(workdir, "in")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write("region,origin_coord,destination_coord,datetime,datasource\n")
+        f.write(f'A,"{pt(1, 2)}","{pt(3, 4)}",{T},s\n')
+        f.write('B,"POINT (1 2)"\n')
+    root = os.path.join(workdir, "wh")
+    with pytest.raises(Exception):
+        ingest(spark, folder, os.path.join(workdir, "strict"))
+    ingest(spark, folder, root, on_error="quarantine")
+    assert read_table(spark, root, "trip").count() == 1
+    rej = read_table(spark, root, "rejects").collect()
+    assert len(rej) == 1 and rej[0].reject_reason.startswith("malformed line")
+    assert rej[0].raw_line == 'B,"POINT (1 2)"'

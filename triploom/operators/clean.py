@@ -74,8 +74,10 @@ def clean_trips(df: DataFrame, on_error: str = "fail") -> DataFrame:
     typed = df.withColumns({**names, "datetime_raw": F.col("datetime").cast("string"),
                             "datetime": dt,
                             **{c: fn(src) for c, fn, src in POINTS}})
+    malformed = (F.when(F.col("_corrupt_record").isNotNull(), F.lit("malformed line"))
+                 if "_corrupt_record" in df.columns else F.lit(None).cast("string"))
     reason = F.concat_ws(
-        "; ",
+        "; ", malformed,
         F.when(F.col("datetime_raw").isNull(), F.lit("datetime missing"))
          .when(F.col("datetime").isNull(), F.lit("datetime unparseable")),
         *[F.when(F.col(src).isNull(), F.lit(f"{src} missing"))

@@ -33,8 +33,9 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
     """Load one batch; ``source`` is a path (or list) of CSV files or a raw
     trip DataFrame. Returns the batch id written."""
     init_warehouse(spark, root)
-    raw = read_trips(spark, source, with_file=True) if isinstance(source, (str, list)) \
-        else source
+    raw = read_trips(spark, source, with_file=True,
+                     keep_malformed=on_error == "quarantine") \
+        if isinstance(source, (str, list)) else source
     if "source_file" not in raw.columns:
         raw = raw.withColumn("source_file", F.lit(None).cast("string"))
     if batch_id is None:
@@ -43,9 +44,13 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
         cleaned = clean_trips(raw, on_error=on_error)
         if on_error == "quarantine":
             accepted, rejected = split_rejects(cleaned)
+            line = (F.col("_corrupt_record") if "_corrupt_record" in rejected.columns
+                    else F.lit(None).cast("string"))
             write_batch(rejected.select("region", "origin_coord", "destination_coord",
-                                        "datetime", "datasource", "reject_reason"),
+                                        "datetime", "datasource", "reject_reason",
+                                        line.alias("raw_line")),
                         root, "rejects", batch_id)
+            accepted = accepted.drop("_corrupt_record")
         else:
             accepted = cleaned
         # one pass over the batch collects every member set and the per-file

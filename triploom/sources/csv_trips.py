@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from triploom.schema import RAW_TRIP
 
@@ -16,18 +17,29 @@ CSV_OPTIONS = {
 }
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_trips(spark: SparkSession, path, with_file: bool = False,
-               strict: bool = False) -> DataFrame:
+               strict: bool = False, keep_malformed: bool = False) -> DataFrame:
     """Read every ``*.csv`` under ``path`` (a folder, file or list of them).
 
     Files are split into ``spark.sql.files.maxPartitionBytes`` pieces and
     read in parallel. ``with_file`` adds the source file path from the
     file metadata. ``strict`` fails when the folder holds non-CSV files.
+    A malformed line fails the read, unless ``keep_malformed``: then it is
+    kept with its text in ``_corrupt_record`` (for the reject table).
     """
     paths = [path] if isinstance(path, str) else list(path)
     if strict:
         _check_only_csv(spark, paths)
-    df = spark.read.schema(RAW_TRIP).options(**CSV_OPTIONS).csv(paths)
+    reader = spark.read.options(**CSV_OPTIONS)
+    if keep_malformed:
+        schema = T.StructType(RAW_TRIP.fields + [T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    else:
+        schema = RAW_TRIP
+    df = reader.schema(schema).csv(paths)
     if with_file:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df

@@ -41,6 +41,7 @@ INGEST_LOG = T.StructType([
 
 REJECTS = T.StructType(S.RAW_TRIP.fields + [
     T.StructField("reject_reason", T.StringType(), True),
+    T.StructField("raw_line", T.StringType(), True),
 ])
 
 
