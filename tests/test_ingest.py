@@ -202,3 +202,32 @@ def test_quarantine_keeps_malformed_lines(spark, workdir):
     rej = read_table(spark, root, "rejects").collect()
     assert len(rej) == 1 and rej[0].reject_reason.startswith("malformed line")
     assert rej[0].raw_line == 'B,"POINT (1 2)"'
+
+
+def test_failed_batch_is_invisible_and_replaced(spark, workdir, monkeypatch):
+    import triploom.plans.ingest as I
+
+    root = os.path.join(workdir, "wh")
+    first = spark.createDataFrame([("A", pt(1, 2), pt(3, 4), T, "s")], RAW_COLS)
+    ingest(spark, first, root)
+    real = I.write_batch
+
+    def failing(df, root_, name, batch_id):
+        if name == "trip":
+            raise RuntimeError("executor lost while writing the fact")
+        return real(df, root_, name, batch_id)
+
+    second = spark.createDataFrame([("B", pt(5, 6), pt(7, 8), T, "t")], RAW_COLS)
+    monkeypatch.setattr(I, "write_batch", failing)
+    with pytest.raises(RuntimeError):
+        ingest(spark, second, root)
+    monkeypatch.setattr(I, "write_batch", real)
+    # the half-written batch 1 (its new dimension members) is not visible
+    assert read_dims(spark, root).region.rows == 1
+    assert read_table(spark, root, "region", committed_only=False).count() == 2
+    # the next batch takes id 1 again and replaces the orphan partitions
+    assert ingest(spark, second, root) == 1
+    dims = read_dims(spark, root)
+    assert (dims.region.rows, dims.datasource.rows, dims.coord.rows) == (2, 2, 4)
+    assert read_table(spark, root, "region", committed_only=False).count() == 2
+    assert read_table(spark, root, "trip").count() == 2

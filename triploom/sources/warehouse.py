@@ -96,8 +96,16 @@ def init_warehouse(spark: SparkSession, root: str) -> dict[str, tuple[bool, str]
 
 
 def read_table(spark: SparkSession, root: str, name: str,
-               before_batch: int | None = None) -> DataFrame:
-    """A star table; with ``before_batch``, only rows of earlier batches."""
+               before_batch: int | None = None, committed_only: bool = True) -> DataFrame:
+    """A star table; with ``before_batch``, only rows of earlier batches.
+
+    The ingest log is the commit record: a batch's partitions count only
+    once its log rows are written, which is the last step of a batch. So a
+    batch that failed half-way (or is still being written) is invisible,
+    and its partitions are overwritten by the next batch, which gets the
+    same id. The filter is a semi-join on ``batch_id``, which also lets
+    dynamic partition pruning skip such partitions.
+    """
     if name == "time_range":
         return spark.read.schema(S.TIME_RANGE).parquet(table_path(root, name))
     schema = INGEST_LOG if name == "ingest_log" else _with_batch(
@@ -105,9 +113,17 @@ def read_table(spark: SparkSession, root: str, name: str,
     df = spark.read.schema(schema).parquet(table_path(root, name))
     if before_batch is not None:
         df = df.filter(F.col("batch_id") < before_batch)
+    if committed_only and name != "ingest_log":
+        df = df.join(committed_batches(spark, root), "batch_id", "left_semi")
     return df
 
 
+def committed_batches(spark: SparkSession, root: str) -> DataFrame:
+    """Ids of the batches whose log rows are written."""
+    return (spark.read.schema(INGEST_LOG).parquet(table_path(root, "ingest_log"))
+            .select("batch_id").distinct())
+
+
 def read_dims(spark: SparkSession, root: str,
               before_batch: int | None = None) -> StarDims:
     """The four growing dimensions with their exact row counts and largest
