@@ -231,3 +231,13 @@ def test_failed_batch_is_invisible_and_replaced(spark, workdir, monkeypatch):
     assert (dims.region.rows, dims.datasource.rows, dims.coord.rows) == (2, 2, 4)
     assert read_table(spark, root, "region", committed_only=False).count() == 2
     assert read_table(spark, root, "trip").count() == 2
+
+
+def test_header_must_name_the_columns(spark, workdir):
+    folder = os.path.join(workdir, "swapped")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write("origin_coord,region,destination_coord,datetime,datasource\n")
+        f.write(f'"{pt(1, 2)}",A,"{pt(3, 4)}",{T},s\n')
+    with pytest.raises(Exception):
+        read_trips(spark, folder).collect()
