@@ -241,3 +241,22 @@ def test_header_must_name_the_columns(spark, workdir):
         f.write(f'"{pt(1, 2)}",A,"{pt(3, 4)}",{T},s\n')
     with pytest.raises(Exception):
         read_trips(spark, folder).collect()
+
+
+def test_large_path_ingest_leaves_no_scratch_tables(spark, workdir, conf):
+    from triploom.session import ensure_checkpoint_dir
+
+    conf("triploom.denseIds.singleTaskMaxRows", 0)
+    ckpt = ensure_checkpoint_dir(spark).removeprefix("file:")
+
+    def scratch():
+        return sorted(n for n in os.listdir(ckpt) if n.startswith(("batch-members", "dense-ids")))
+
+    before = scratch()
+    rows = [(r, pt(i, 2), pt(3, i), T, "s") for i, r in enumerate("ABCD")]
+    root = os.path.join(workdir, "wh")
+    ingest(spark, spark.createDataFrame(rows, RAW_COLS), root)
+    ingest(spark, spark.createDataFrame(rows[:1] + [("E", pt(9, 9), pt(8, 8), T, "t")],
+                                        RAW_COLS), root)
+    assert scratch() == before
+    assert sorted(r.id for r in read_table(spark, root, "region").collect()) == [1, 2, 3, 4, 5]

@@ -15,6 +15,8 @@ hot keys on top (:mod:`triploom.operators.skew`).
 
 from __future__ import annotations
 
+import contextvars
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -212,11 +214,18 @@ def conform_dims(trips: DataFrame, base: StarDims | None = None) -> Conformed:
         return (row[field] or 0) if row is not None else 0
 
     n_tuples, total = size("tuple", "tuple"), size("tuple", "rows")
-    region = dim_upsert(base.region, names["region"], ["description"],
-                        size("region", "region"))
-    source = dim_upsert(base.datasource, names["datasource"], ["description"],
-                        size("datasource", "datasource"))
-    coord = dim_upsert(base.coord, point_members(tuples), ["x", "y"])
+    # the three upserts are independent Spark jobs: submit them together
+    # (each in a copy of this context, so scratch tables stay scoped)
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        def submit(*args):
+            return pool.submit(contextvars.copy_context().run, dim_upsert, *args)
+
+        region_f = submit(base.region, names["region"], ["description"],
+                          size("region", "region"))
+        source_f = submit(base.datasource, names["datasource"], ["description"],
+                          size("datasource", "datasource"))
+        coord_f = submit(base.coord, point_members(tuples), ["x", "y"])
+        region, source, coord = region_f.result(), source_f.result(), coord_f.result()
     ids = tuple_ids(tuples, coord.all)
     # equal tuples <=> equal coord-id triples, so the triples are distinct
     coord_time = dim_upsert(base.coord_time, ids.select(*CT_KEYS), CT_KEYS, n_tuples)
