@@ -26,7 +26,12 @@ def parse_datetime(c) -> Column:
 
 
 def try_parse_datetime(c) -> Column:
-    """Text -> TIMESTAMP_NTZ, NULL when the text does not parse."""
+    """NULL when the text does not parse; use it as a validity test only.
+
+    ``try_to_timestamp`` reads the text in the session time zone, so in a
+    zone with daylight saving a wall-clock time inside the spring gap comes
+    back shifted; take the value from :func:`parse_datetime`.
+    """
     return F.try_to_timestamp(_col(c), F.lit(DATETIME_FORMAT)).cast("timestamp_ntz")
 
 
