@@ -55,7 +55,11 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
             accepted = cleaned
         # one pass over the batch collects every member set and the per-file
         # counts; a second pass builds the fact
-        conformed = conform_dims(cleaned, read_dims(spark, root, before_batch=batch_id))
+        # the first batch of a warehouse grows empty dimensions
+        base = (read_dims(spark, root, before_batch=batch_id) if batch_id > 0
+                and read_table(spark, root, "ingest_log").filter(
+                    F.col("batch_id") < batch_id).limit(1).count() else None)
+        conformed = conform_dims(cleaned, base)
         added = conformed.added
         # the four dimension partitions are independent jobs: submit them
         # together, and write the fact only once all of them are committed
