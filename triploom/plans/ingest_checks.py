@@ -100,7 +100,7 @@ def q_stream_weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ckpt = os.path.join(work, "weekly"), os.path.join(work, "checkpoint")
     for load in (load1, load2):
         land_files(spark, load, landing)
-        q = start_weekly_counts(spark, landing, out, ckpt)
+        q = start_weekly_counts(spark, landing, out, ckpt, state_partitions=8)
         q.awaitTermination()
         if q.exception():
             raise q.exception()

@@ -53,8 +53,15 @@ def weekly_counts_stream(trips: DataFrame, watermark: str = "14 days",
 
 def start_weekly_counts(spark: SparkSession, landing: str, out: str, checkpoint: str,
                         watermark: str = "14 days", available_now: bool = True,
-                        processing_time: str | None = None) -> StreamingQuery:
-    """Keep ``out`` (a changelog table) up to date from the landing folder."""
+                        processing_time: str | None = None,
+                        state_partitions: int | None = None) -> StreamingQuery:
+    """Keep ``out`` (a changelog table) up to date from the landing folder.
+
+    ``state_partitions`` sets the number of state-store partitions when the
+    query first starts (it is then fixed by the checkpoint). The state is
+    one row per (region, open week), so a few partitions fit any input
+    size; the session's shuffle partition count is used when not given.
+    """
     counts = weekly_counts_stream(clean_trips(stream_trips(spark, landing)), watermark)
 
     def write(batch: DataFrame, epoch: int) -> None:
@@ -68,7 +75,15 @@ def start_weekly_counts(spark: SparkSession, landing: str, out: str, checkpoint:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, saved)
 
 
 def current_weekly_counts(spark: SparkSession, out: str) -> DataFrame:
