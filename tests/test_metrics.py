@@ -23,7 +23,9 @@ def bbox(df, *corners, **kw):
 
 @pytest.fixture(scope="module")
 def fixture_trips(spark):
-    return clean_trips(trips_from_tables(spark, SF["0.001"])).cache()
+    df = clean_trips(trips_from_tables(spark, SF["0.001"])).cache()
+    yield df
+    df.unpersist()
 
 
 def test_region_goldens(fixture_trips):
