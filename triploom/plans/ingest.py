@@ -100,15 +100,14 @@ def ingest_progress(spark: SparkSession, root: str) -> DataFrame:
 
 def landing_progress(spark: SparkSession, landing: str, root: str) -> DataFrame:
     """Per CSV file now in the landing folder: 100 % with its batch and row
-    counts once committed, 0 % while it waits. The listing is file metadata
-    (what the file source itself lists); the join to the log runs on Spark."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(landing)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [st.getPath().toString() for st in fs.listStatus(path)
-             if st.isFile() and st.getPath().getName().endswith(".csv")] \
-        if fs.exists(path) else []
-    files = spark.createDataFrame([(n,) for n in names], "source_file string")
+    counts once committed, 0 % while it waits."""
+    if path_exists(spark, landing):
+        # Spark's file index lists the folder; selecting only the path
+        # prunes the file contents, so no file is read
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+                 .load(landing).select(F.col("path").alias("source_file")))
+    else:
+        files = spark.createDataFrame([], "source_file string")
     key = lambda c: F.try_parse_url(F.col(c), F.lit("PATH"))
     log = (read_table(spark, root, "ingest_log") if path_exists(
         spark, table_path(root, "ingest_log")) else spark.createDataFrame([], INGEST_LOG))
