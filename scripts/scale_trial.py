@@ -7,12 +7,20 @@ limits and once with limits that force the large-data paths
 (range-partitioned ids, no broadcast lookups, salted hot keys), and checks
 that both warehouses give the same metrics.
 
-usage: python scripts/scale_trial.py [SF_DIR] [N]
+With ``--skew``, a third of all trips share one (origin, destination,
+time range) tuple and have no region, and Spark's event log (written to
+the scratch folder) is read back to report, per run, the shuffle records
+read by the busiest and the median task of the heaviest stage.
+
+usage: python scripts/scale_trial.py [--skew] [SF_DIR] [N]
 """
 
 from __future__ import annotations
 
+import glob
+import json
 import os
+import statistics
 import sys
 import tempfile
 import time
@@ -34,17 +42,62 @@ FORCED = {"triploom.denseIds.singleTaskMaxRows": "0",
           "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
 
-def replicated(spark, sf_dir, n):
+def replicated(spark, sf_dir, n, skew=False):
     base = trips_from_tables(spark, sf_dir)
     ev = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).select("event_id", "user_id")
     t = base.join(ev, base.trip_key == ev.event_id).drop("event_id")
     t = t.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     eid, uid, rep = F.col("trip_key"), F.col("user_id"), F.col("rep")
-    return t.select(
+    out = t.select(
         "region",
         point_text(uid % 4 + rep * 10, eid % 5).alias("origin_coord"),
         point_text(eid % 3 + rep * 10, uid % 5).alias("destination_coord"),
-        "datetime", "datasource")
+        "datetime", "datasource", eid.alias("_e"))
+    if skew:
+        # a third of the trips: one origin, one destination, 08:15 on their
+        # own day (so one time range, weeks unchanged), and no region
+        hot = F.col("_e") % 3 == 0
+        at_815 = F.make_timestamp_ntz(F.year("datetime"), F.month("datetime"),
+                                      F.dayofmonth("datetime"), F.lit(8), F.lit(15), F.lit(0))
+        out = out.withColumns({
+            "region": F.when(~hot, F.col("region")),
+            "origin_coord": F.when(hot, F.lit("POINT (7.7 45.05)"))
+            .otherwise(F.col("origin_coord")),
+            "destination_coord": F.when(hot, F.lit("POINT (7.6 45.1)"))
+            .otherwise(F.col("destination_coord")),
+            "datetime": F.when(hot, at_815).otherwise(F.col("datetime"))})
+    return out.drop("_e")
+
+
+def busiest_stage(log_dir, after):
+    """(max, median) shuffle records read per task in the stage that read
+    the most shuffle records, over event-log lines after ``after``."""
+    per_stage = {}
+    for path in glob.glob(os.path.join(log_dir, "**"), recursive=True):
+        if not os.path.isfile(path):
+            continue
+        with open(path) as f:
+            lines = f.readlines()[after.get(path, 0):]
+        for line in lines:
+            ev = json.loads(line)
+            if ev.get("Event") != "SparkListenerTaskEnd":
+                continue
+            m = ev.get("Task Metrics") or {}
+            rec = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
+            per_stage.setdefault(ev["Stage ID"], []).append(rec)
+    if not per_stage:
+        return None
+    tasks = max(per_stage.values(), key=sum)
+    return max(tasks), statistics.median(tasks), len(tasks)
+
+
+def log_positions(log_dir):
+    out = {}
+    for path in glob.glob(os.path.join(log_dir, "**"), recursive=True):
+        if os.path.isfile(path):
+            with open(path) as f:
+                out[path] = sum(1 for _ in f)
+    return out
 
 
 def metrics(spark, root):
@@ -58,19 +111,32 @@ def metrics(spark, root):
 
 
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    n = int(sys.argv[2]) if len(sys.argv) > 2 else 10
-    spark = local_session()
+    args = sys.argv[1:]
+    skew = "--skew" in args
+    args = [a for a in args if a != "--skew"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.1"
+    n = int(args[1]) if len(args) > 1 else 10
     work = tempfile.mkdtemp(prefix="scale-trial-")
-    raw = replicated(spark, sf_dir, n)
+    log_dir = os.path.join(work, "events")
+    os.makedirs(log_dir)
+    spark = local_session(conf={"spark.eventLog.enabled": "true",
+                                "spark.eventLog.dir": "file:" + log_dir,
+                                "spark.eventLog.rolling.enabled": "false",
+                                "spark.eventLog.compress": "false"})
+    raw = replicated(spark, sf_dir, n, skew)
     results = {}
     for label, conf in (("default", {}), ("forced", FORCED)):
         for k, v in conf.items():
             spark.conf.set(k, v)
         root = os.path.join(work, label)
+        marks = log_positions(log_dir)
         t0 = time.perf_counter()
         ingest(spark, raw, root)
         took = time.perf_counter() - t0
+        busy = busiest_stage(log_dir, marks)
+        if busy:
+            print(f"{label}: heaviest stage, shuffle records per task: max {busy[0]}, "
+                  f"median {busy[1]}, tasks {busy[2]}", flush=True)
         dims = read_dims(spark, root)
         results[label] = metrics(spark, root)
         print(f"{label}: ingest {took:.1f}s, trips {read_table(spark, root, 'trip').count()}, "

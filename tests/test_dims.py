@@ -86,3 +86,17 @@ def test_salted_lookup_equals_broadcast(spark, conf):
     assert "_salt" in plan
     assert sorted((tuple(r) for r in fact.collect()), key=repr) == expected
     assert len(expected) == 41
+
+
+def test_hot_keys_get_salts_whatever_the_broadcast_limit(spark, conf):
+    from triploom.operators.skew import hot_keys
+
+    counts = spark.createDataFrame([("A", 20), ("B", 3), (None, 15)], "region string, rows_in long")
+    conf("triploom.dim.broadcastMaxRows", 0)
+    conf("triploom.skew.hotKeyRows", 4)
+    got = {r.region: r._salts for r in hot_keys(counts, ["region"], 38).collect()}
+    assert got == {"A": 5, None: 4}
+    # the list is bounded: with at most 2 hot keys, the threshold rises to 19
+    conf("triploom.skew.maxHotKeys", 2)
+    got = {r.region: r._salts for r in hot_keys(counts, ["region"], 38).collect()}
+    assert got == {"A": 2}

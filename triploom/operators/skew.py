@@ -15,8 +15,9 @@ joined to the fact:
 
 The hot threshold is ``triploom.skew.hotKeyRows`` (default 5M rows), raised
 when needed so that the hot-key list — at most total rows / threshold keys —
-stays under the broadcast limit. AQE's own skew-join split remains on as a
-second line.
+stays within ``triploom.skew.maxHotKeys`` (default 100,000 keys), which is
+what makes that list safe to broadcast. AQE's own skew-join split remains
+on as a second line.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from triploom.operators.dense_ids import Numbered
 from triploom.operators.dims import broadcast_max_rows
 
 HOT_KEY_ROWS = 5_000_000
+MAX_HOT_KEYS = 100_000
 NULL_SPREAD = 64
 
 
@@ -37,6 +39,19 @@ def hot_key_rows(spark) -> int:
     return int(spark.conf.get("triploom.skew.hotKeyRows", str(HOT_KEY_ROWS)))
 
 
+def max_hot_keys(spark) -> int:
+    return max(int(spark.conf.get("triploom.skew.maxHotKeys", str(MAX_HOT_KEYS))), 1)
+
+
+def hot_keys(key_counts: DataFrame, keys: list[str], total_rows: int) -> DataFrame:
+    """(keys, _salts) of the keys whose exact row count exceeds the hot
+    threshold, each with the number of salts that brings it under it."""
+    spark = key_counts.sparkSession
+    threshold = max(hot_key_rows(spark), -(-total_rows // max_hot_keys(spark)), 1)
+    return (key_counts.filter(F.col("rows_in") > threshold)
+            .select(*keys, F.ceil(F.col("rows_in") / threshold).cast("int").alias("_salts")))
+
+
 def lookup_join(big: DataFrame, lookup: Numbered, keys: list[str],
                 key_counts: DataFrame | None = None, total_rows: int | None = None,
                 how: str = "left") -> DataFrame:
@@ -52,12 +67,9 @@ def lookup_join(big: DataFrame, lookup: Numbered, keys: list[str],
         return big.join(F.broadcast(lookup.df), keys, how)
     if key_counts is None or total_rows is None:
         return big.join(lookup.df, keys, how)
-    threshold = max(hot_key_rows(spark), -(-total_rows // max(limit, 1)), 1)
-    hot = (key_counts.filter(F.col("rows_in") > threshold)
-           .select(*keys, F.ceil(F.col("rows_in") / threshold).cast("int").alias("_salts")))
-    # at most total_rows / threshold <= broadcast limit keys, by the choice
-    # of threshold
-    hot = F.broadcast(hot)
+    # at most total_rows / threshold <= maxHotKeys keys, by the choice of
+    # threshold: a proven bound, so the list is broadcast
+    hot = F.broadcast(hot_keys(key_counts, keys, total_rows))
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
     salted_big = (big.join(hot, keys, "left")

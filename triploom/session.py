@@ -50,12 +50,12 @@ CLUSTER_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "triploom") -> SparkSession:
+                  app: str = "triploom", conf: dict[str, str] | None = None) -> SparkSession:
     """Local session for tests and benches (never used on a cluster)."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
-    for key, value in SESSION_CONF.items():
+    for key, value in {**SESSION_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
