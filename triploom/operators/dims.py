@@ -68,15 +68,27 @@ def trip_tuples(trips: DataFrame) -> DataFrame:
     return trips.select(*TUPLE_COLS).distinct()
 
 
-def tuple_ids(tuples: DataFrame, coord: Numbered) -> DataFrame:
-    """Tuples with the coord ids of both ends."""
-    c = lookup(coord)
-    o = c.select(F.col("x").alias("origin_x"), F.col("y").alias("origin_y"),
-                 F.col("id").alias("origin_coord_id"))
-    d = c.select(F.col("x").alias("destination_x"), F.col("y").alias("destination_y"),
-                 F.col("id").alias("dest_coord_id"))
-    return (tuples.join(o, ["origin_x", "origin_y"])
-            .join(d, ["destination_x", "destination_y"]))
+def tuple_ids(tuples: DataFrame, coord: Numbered, n_tuples: int | None = None) -> DataFrame:
+    """Tuples with the coord ids of both ends.
+
+    The coord lookup is broadcast under the size limit. Above it, with the
+    tuple count known, each end is joined through the salted lookup join:
+    a hub point shared by many tuples is spread over several tasks (its
+    per-point tuple counts come from a map-side aggregate of the tuples).
+    """
+    from triploom.operators.skew import lookup_join
+
+    ends = {"origin": ("origin_x", "origin_y", "origin_coord_id"),
+            "destination": ("destination_x", "destination_y", "dest_coord_id")}
+    out = tuples
+    for x, y, id_col in ends.values():
+        side = Numbered(coord.df.select(F.col("x").alias(x), F.col("y").alias(y),
+                                        F.col("id").alias(id_col)), coord.rows)
+        counts = None
+        if n_tuples is not None and coord.rows > broadcast_max_rows(tuples.sparkSession):
+            counts = tuples.groupBy(x, y).agg(F.count(F.lit(1)).alias("rows_in"))
+        out = lookup_join(out, side, [x, y], counts, n_tuples, how="inner")
+    return out
 
 
 # --------------------------------------------------------------- upsert ---
@@ -226,7 +238,7 @@ def conform_dims(trips: DataFrame, base: StarDims | None = None) -> Conformed:
                           size("datasource", "datasource"))
         coord_f = submit(base.coord, point_members(tuples), ["x", "y"])
         region, source, coord = region_f.result(), source_f.result(), coord_f.result()
-    ids = tuple_ids(tuples, coord.all)
+    ids = tuple_ids(tuples, coord.all, n_tuples)
     # equal tuples <=> equal coord-id triples, so the triples are distinct
     coord_time = dim_upsert(base.coord_time, ids.select(*CT_KEYS), CT_KEYS, n_tuples)
     ct = lookup(coord_time.all).withColumnRenamed("id", "coord_time_id")
