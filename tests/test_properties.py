@@ -23,3 +23,25 @@ def test_point_parse_matches_python(spark, pairs):
     for (x, y), r in zip(pairs, got):
         assert r.x == round(float(x), 2) + 0.0
         assert r.y == round(float(y), 2) + 0.0
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.sets(st.tuples(st.integers(-50, 50), st.text("abc", max_size=3)),
+               min_size=1, max_size=120),
+       st.integers(0, 1000), st.booleans())
+def test_dense_ids_are_ranks_in_key_order(spark, keys, start, single_task):
+    from triploom.operators.dense_ids import assign_dense_ids
+
+    key = "triploom.denseIds.singleTaskMaxRows"
+    saved = spark.conf.get(key, None)
+    spark.conf.set(key, "1000000" if single_task else "0")
+    try:
+        df = spark.createDataFrame(sorted(keys), "k int, s string")
+        got = {(r.k, r.s): r.id for r in assign_dense_ids(df, ["k", "s"], start).df.collect()}
+    finally:
+        if saved is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, saved)
+    # Spark orders strings by bytes, like Python for these ASCII letters
+    assert got == {k: start + i + 1 for i, k in enumerate(sorted(keys))}
