@@ -20,6 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,11 +227,13 @@ def conform_dims(trips: DataFrame, base: StarDims | None = None) -> Conformed:
         return (row[field] or 0) if row is not None else 0
 
     n_tuples, total = size("tuple", "tuple"), size("tuple", "rows")
-    # the three upserts are independent Spark jobs: submit them together
-    # (each in a copy of this context, so scratch tables stay scoped)
+    # the three upserts are independent Spark jobs: submit them together,
+    # each in a copy of this context (scratch tables stay scoped) and with
+    # this thread's Spark job group and pool
+    upsert = inheritable_thread_target(spark)(dim_upsert)
     with ThreadPoolExecutor(max_workers=3) as pool:
         def submit(*args):
-            return pool.submit(contextvars.copy_context().run, dim_upsert, *args)
+            return pool.submit(contextvars.copy_context().run, upsert, *args)
 
         region_f = submit(base.region, names["region"], ["description"],
                           size("region", "region"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,9 +64,11 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
         conformed = conform_dims(cleaned, base)
         added = conformed.added
         # the four dimension partitions are independent jobs: submit them
-        # together, and write the fact only once all of them are committed
+        # together (threads inherit this thread's job group and pool), and
+        # write the fact only once all of them are committed
+        write = inheritable_thread_target(spark)(write_batch)
         with ThreadPoolExecutor(max_workers=4) as pool:
-            done = [pool.submit(write_batch, getattr(added, name).df, root, name, batch_id)
+            done = [pool.submit(write, getattr(added, name).df, root, name, batch_id)
                     for name in ("region", "datasource", "coord", "coord_time")]
             for f in done:
                 f.result()
