@@ -57,8 +57,8 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
         # stored dimensions come from earlier committed batches only; the
         # first batch of a warehouse grows empty ones
         base = (read_dims(spark, root, before_batch=batch_id) if batch_id > 0
-                and read_table(spark, root, "ingest_log").filter(
-                    F.col("batch_id") < batch_id).limit(1).count() else None)
+                and not read_table(spark, root, "ingest_log").filter(
+                    F.col("batch_id") < batch_id).isEmpty() else None)
         # one pass over the batch collects every member set and the per-file
         # counts; a second pass (the fact write) joins the ids
         conformed = conform_dims(cleaned, base)
