@@ -260,3 +260,21 @@ def test_large_path_ingest_leaves_no_scratch_tables(spark, workdir, conf):
                                         RAW_COLS), root)
     assert scratch() == before
     assert sorted(r.id for r in read_table(spark, root, "region").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_progress_counts_each_file_of_a_batch(spark, workdir):
+    folder = os.path.join(workdir, "two")
+    os.makedirs(folder)
+    header = "region,origin_coord,destination_coord,datetime,datasource\n"
+    for name, n in (("a.csv", 3), ("b.csv", 2)):
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(header)
+            for i in range(n):
+                f.write(f'R{i},"{pt(i, 2)}","{pt(3, i)}",{T},s\n')
+    root = os.path.join(workdir, "wh")
+    assert ingest(spark, folder, root) == 0
+    got = {os.path.basename(r.source_file): (r.batch_id, r.rows_in, r.percent)
+           for r in ingest_progress(spark, root).collect()}
+    assert got == {"a.csv": (0, 3, 100), "b.csv": (0, 2, 100)}
+    log = ingest_progress(spark, root).first()
+    assert (log.new_regions, log.new_datasources) == (3, 1)
