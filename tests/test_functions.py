@@ -69,3 +69,8 @@ def test_box_from_corners():
     assert Box.from_corners("", None, " ", 0) == Box(0.0, 0.0, 0.0, 0.0)
     # numeric comparison, not text comparison
     assert Box.from_corners("10.2", "1", "9.5", "2") == Box(9.5, 10.2, 1.0, 2.0)
+
+
+def test_box_rejects_non_numeric_corners():
+    with pytest.raises(ValueError):
+        Box.from_corners("north", 1, 2, 3)
