@@ -18,6 +18,13 @@ when needed so that the hot-key list — at most total rows / threshold keys —
 stays within ``triploom.skew.maxHotKeys`` (default 100,000 keys), which is
 what makes that list safe to broadcast. AQE's own skew-join split remains
 on as a second line.
+
+The salt is a hash of the whole row, so that a retried task sends every
+row to the same salt again. Rows that are identical in every column (same
+key, same time to the second, same source) therefore share one salt; a
+random salt would spread them, at the price of a nondeterministic shuffle
+that Spark can only recover by re-running whole stages. Such duplicates
+are left to AQE's skew split.
 """
 
 from __future__ import annotations
