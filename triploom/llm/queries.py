@@ -19,6 +19,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The conversation that the chat query adds: texts made of control strings.
+CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"),
+                        (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import chat
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(CONTROL_CONVERSATION, rows.schema))
+    out = chat.chat_format(rows).select(
+        "conv_id", "valid", "formatted", chat.loss_text(F.col("segments")).alias("loss"),
+        chat.read_turns(F.col("formatted")).alias("turns"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "valid")
+
+
+OP2_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM (SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                         (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+n AS (
+  SELECT *, row_number() OVER w AS k, lag(role) OVER w AS before, lead(role) OVER w AS after,
+    -- one more character for each backslash and for each control string
+    length(text) + (length(text) - length(replace(text, '', '')))
+      + len(regexp_extract_all(text,
+          '<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|\[ROLE\]|\[SAYS\]|\[/ROLE\]'))
+      + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+             ELSE 19 + length(role) END AS chars
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars,
+  bool_and(coalesce(before, 'start') || '>' || role IN (
+    'start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user')
+    AND (after IS NOT NULL OR role = 'assistant')) AS valid
+FROM n GROUP BY conv_id
+"""
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from triploom.llm import bpe
 
@@ -33,8 +84,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op9_bpe": op9_bpe}
+    return {"op2_chat": op2_chat, "op9_bpe": op9_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat": OP2_SQL}
