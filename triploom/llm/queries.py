@@ -19,6 +19,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import decontaminate as d
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = d.contamination(docs, table(spark, sf_dir, "benchmark"))
+    items = F.coalesce("_items", F.array().cast("array<string>"))
+    n_hit = F.when(F.col("_hits").isNull(), 0).otherwise(F.size("_hits")).cast("long")
+    return found.select(
+        "doc_id", F.col("_n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        F.col("_hits").isNotNull().alias("contaminated"))
+
+
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(len(w), 10) AS n,
+    array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS r(i)),
+hit AS (SELECT doc_id, i, dw.n, item FROM dw JOIN bw USING (win)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item) AS n_items,
+    string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 # The conversation that the chat query adds: texts made of control strings.
 CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"),
                         (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -84,8 +127,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_chat": op2_chat, "op9_bpe": op9_bpe}
+    return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat, "op9_bpe": op9_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": OP2_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op2_chat": OP2_SQL}
