@@ -113,6 +113,16 @@ FROM n GROUP BY conv_id
 """
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import quality_rules as q
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    judged = q.judge_documents(docs, carry=["doc_id"])
+    return judged.select("doc_id", *[F.col(f"_q_{n}").alias(n) for n in q.BASE],
+                         F.col("_q_base_failed").alias("base_failed"),
+                         F.col("_q_kept").alias("kept"), F.col("_q_distance").alias("distance"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from triploom.llm import bpe
 
@@ -127,7 +137,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat, "op9_bpe": op9_bpe}
+    return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat, "op8_quality_rules": op8_quality_rules,
+            "op9_bpe": op9_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
