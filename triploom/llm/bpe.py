@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ SPLIT_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
 ASCII_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+"
                  r"|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 # Sizes of a worker's caches; they change the speed, never the ids.
-CACHE_ENTRIES = 400_000
-PAIR_ENTRIES = 1_000_000
+CACHE_ENTRIES = 150_000
+PAIR_ENTRIES = 300_000
 CACHED_PIECE_CHARS = 40
 _START = 0xFFFFFFFF << 32   # stands before the first token of a piece
 
@@ -69,25 +70,41 @@ def read_tokenizer(path: str) -> dict:
             "merges": [(as_bytes(a), as_bytes(b)) for a, b in merges]}
 
 
-class PrefixEncoder:
-    """Encoder and decoder of one vocabulary, for use inside a task."""
+class Decoder:
+    """Decoder of one vocabulary, for use inside a task."""
+
+    def __init__(self, tables: dict):
+        self.token = {i: t for t, i in tables["vocab"].items()}
+        self.token |= {i: t.encode() for t, i in tables["added"].items()}
+
+    def decode(self, ids: bytes | None) -> str:
+        """The text of packed ids; bytes that are no UTF-8 become U+FFFD."""
+        import numpy as np
+
+        if not ids:
+            return ""
+        token = self.token
+        return b"".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode(
+            "utf-8", "replace")
+
+
+class PrefixEncoder(Decoder):
+    """Encoder of one vocabulary, for use inside a task."""
 
     def __init__(self, tables: dict):
         import ahocorasick
         import regex
 
-        self.vocab = tables["vocab"]
+        super().__init__(tables)
         self.rank = {pair: r for r, pair in enumerate(tables["merges"])}
         self.added = tables["added"]
-        self.token = {i: t for t, i in self.vocab.items()}
-        self.token |= {i: t.encode() for t, i in self.added.items()}
         self.split_ascii = re.compile(ASCII_PATTERN).findall
         self.split = regex.compile(SPLIT_PATTERN).findall
         self.at_added = (regex.compile("(" + "|".join(
             regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")").split
             if self.added else None)
         self.suffixes = ahocorasick.Automaton()
-        for t, i in self.vocab.items():
+        for t, i in tables["vocab"].items():
             # a token that BPE never builds from its own bytes is no suffix
             if self._merged(t) == [t]:
                 self.suffixes.add_word(t.decode("latin-1"), (len(t), i))
@@ -174,26 +191,16 @@ class PrefixEncoder:
         return b"".join(self.packed[self.added[p]] if k % 2 else self._text(p)
                         for k, p in enumerate(parts) if p)
 
-    def decode(self, ids: bytes | None) -> str:
-        """The text of packed ids; bytes that are no UTF-8 become U+FFFD."""
-        import numpy as np
-
-        if not ids:
-            return ""
-        token = self.token
-        return b"".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode(
-            "utf-8", "replace")
-
 
-_BUILT: dict[int, PrefixEncoder] = {}
+_BUILT: dict[tuple, Decoder] = {}
 
 
-def _encoder(shared) -> PrefixEncoder:
-    """The encoder of a broadcast vocabulary, built once per worker."""
-    if shared.id not in _BUILT:
+def _built(kind: type, shared) -> Decoder:
+    """The coder of a broadcast vocabulary, built once per worker."""
+    if (kind, shared.id) not in _BUILT:
         _BUILT.clear()
-        _BUILT[shared.id] = PrefixEncoder(shared.value)
-    return _BUILT[shared.id]
+        _BUILT[kind, shared.id] = kind(shared.value)
+    return _BUILT[kind, shared.id]
 
 
 class _Shared:
@@ -201,11 +208,7 @@ class _Shared:
 
     def __init__(self, spark: SparkSession, path: str):
         self.broadcast = spark.sparkContext.broadcast(read_tokenizer(path))
-        self.id = f"{path}:{self.broadcast._jbroadcast.id()}" \
-            if self.broadcast._jbroadcast is not None else path
-
-    def __getstate__(self):
-        return {"broadcast": self.broadcast, "id": self.id}
+        self.id = uuid.uuid4().hex
 
     @property
     def value(self):
@@ -223,18 +226,18 @@ def codec(spark: SparkSession, path: str):
     shared = _Shared(spark, path)
 
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = _encoder(shared)
+        enc = _built(PrefixEncoder, shared)
         for texts in batches:
             yield pd.Series([enc.encode(t) for t in texts], dtype=object)
 
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = _encoder(shared)
+        enc = _built(Decoder, shared)
         for ids in batches:
             yield pd.Series([enc.decode(i) for i in ids], dtype=object)
 
-    iterator = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    encode.__annotations__ = {"batches": iterator["texts"], "return": iterator["return"]}
-    decode.__annotations__ = dict(encode.__annotations__)
+    # the UDF kind is read from the hints, which are strings in this module
+    hints = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    encode.__annotations__, decode.__annotations__ = hints, hints
     return F.pandas_udf(encode, "binary"), F.pandas_udf(decode, "string")
 
 
