@@ -113,6 +113,19 @@ FROM n GROUP BY conv_id
 """
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import pii
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_spans(docs, carry=["doc_id"])
+    count = lambda k: F.size(F.filter(
+        "_p_base", lambda s: s["kind"] == pii.KINDS.index(k))).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.spans_text(F.col("_p_base")), 256).alias("base_sha256"),
+        pii.spans_text(F.col("_p_spans")).alias("spans"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from triploom.llm import quality_rules as q
 
@@ -137,7 +150,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat, "op8_quality_rules": op8_quality_rules,
+    return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat, "op5_pii": op5_pii, "op8_quality_rules": op8_quality_rules,
             "op9_bpe": op9_bpe}
 
 
