@@ -113,6 +113,14 @@ FROM n GROUP BY conv_id
 """
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import jaccard_join as j
+
+    found = j.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"),
+                        F.col("component").alias("component_id"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from triploom.llm import pii
 
@@ -150,7 +158,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat, "op5_pii": op5_pii, "op8_quality_rules": op8_quality_rules,
+    return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat, "op4_jaccard_join": op4_jaccard_join,
+            "op5_pii": op5_pii, "op8_quality_rules": op8_quality_rules,
             "op9_bpe": op9_bpe}
 
 
