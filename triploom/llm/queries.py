@@ -157,10 +157,23 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import suffix_repeats as r
+
+    found = r.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = lambda c: F.aggregate(c, F.lit(0).cast("long"),
+                              lambda a, s: a + F.get(s, 1) - F.get(s, 0))
+    text = lambda c: F.array_join(F.transform(
+        c, lambda s: F.concat_ws(":", F.get(s, 0), F.get(s, 1))), ",")
+    return found.select("doc_id", n("spans").alias("n_repeat_words"),
+                        n("removable").alias("n_removable_words"),
+                        text("spans").alias("spans"), text("removable").alias("removable"))
+
+
 def queries() -> dict[str, Query]:
     return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat, "op4_jaccard_join": op4_jaccard_join,
             "op5_pii": op5_pii, "op8_quality_rules": op8_quality_rules,
-            "op9_bpe": op9_bpe}
+            "op9_bpe": op9_bpe, "op10_suffix_repeats": op10_suffix_repeats}
 
 
 def oracle_sql() -> dict[str, str]:
