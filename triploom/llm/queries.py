@@ -113,6 +113,16 @@ FROM n GROUP BY conv_id
 """
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import langid
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(langid.fold() == 1, F.lit(False))
+    model = langid.train(docs.filter(~held_out))
+    found = langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from triploom.llm import jaccard_join as j
 
@@ -171,7 +181,8 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat, "op4_jaccard_join": op4_jaccard_join,
+    return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat,
+            "op3_language": op3_language, "op4_jaccard_join": op4_jaccard_join,
             "op5_pii": op5_pii, "op8_quality_rules": op8_quality_rules,
             "op9_bpe": op9_bpe, "op10_suffix_repeats": op10_suffix_repeats}
 
