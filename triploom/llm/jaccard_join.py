@@ -46,6 +46,7 @@ LOCAL_LEAST = 4        # a batch reports tokens with that many documents at leas
 SHARE = 1 / 2000       # of all documents: from there on a token is frequent,
 FREQUENT_LEAST = 64    # but only with that many documents
 MAX_FREQUENT = 4_000_000   # tokens in the broadcast (8 bytes each), the most frequent
+MAX_BROADCAST_IDS = 2_000_000
 BLOCK = 512            # documents a block of a cluster
 
 
@@ -154,6 +155,21 @@ def _signatures(docs: DataFrame, frequent: np.ndarray, words: int, percent: int)
               "pairs array<long>, need long")
 
 
+def _whole_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(doc_id, tokens) of the documents with the given ids. The texts are
+    not shuffled while the ids are few enough to broadcast."""
+    ids = materialize(ids.toDF("doc_id").distinct(), "ids")
+    small = ids.count() <= MAX_BROADCAST_IDS
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sets = [t.view(np.int64) for t in token_sets(b["text"], words)]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "tokens": sets})
+
+    chosen = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
+    return materialize(chosen.mapInPandas(whole, "doc_id long, tokens array<long>"), "sets")
+
+
 def _compatible(a: str, b: str, percent: int):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
@@ -266,26 +282,18 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     combos = materialize(combos.join(heads.drop("last"), "sig"), "combinations")
 
     size = nodes.select(F.col("node").alias("doc_id"), "n", "need")
-    needed = singles.select("doc_id").union(combos.select("doc_id")).distinct()
-
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            sets = [t.view(np.int64) for t in token_sets(b["text"], words)]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "tokens": sets})
-
-    sets = materialize(docs.join(needed, "doc_id", "left_semi").mapInPandas(
-        whole, "doc_id long, tokens array<long>"), "sets")
 
     def compatible(pairs: DataFrame) -> DataFrame:
-        sized = pairs.join(size.select(F.col("doc_id").alias("a"), F.col("n").alias("na"),
-                                       F.col("need").alias("need_a")), "a") \
-            .join(size.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"),
-                              F.col("need").alias("need_b")), "b")
-        return sized.filter(_compatible("na", "nb", percent))
+        sized = pairs.join(size.select(F.col("doc_id").alias("a"), F.col("n").alias("na")), "a") \
+            .join(size.select(F.col("doc_id").alias("b"), F.col("n").alias("nb")), "b")
+        return sized.filter(_compatible("na", "nb", percent)).select("a", "b")
 
     stars = singles.union(combos.select(*singles.columns)).filter("doc_id <> first").select(
         F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = materialize(_verified(compatible(stars).select("a", "b"), sets, percent), "stars")
+    stars = materialize(compatible(stars), "star-pairs")
+    sets = _whole_sets(docs, stars.select("a").union(stars.select("b")).union(
+        combos.select("doc_id")), words)
+    links = materialize(_verified(stars, sets, percent), "stars")
     found = materialize(components(links), "components")
 
     def component(rows: DataFrame) -> DataFrame:
@@ -308,7 +316,9 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
             .agg(F.count(F.lit(1)).alias("shared"),
                  F.least(F.first("need_a"), F.first("need_b")).alias("need"))
             .filter("shared >= need").select("a", "b"))
-    more = materialize(_verified(rest, sets, percent), "rest")
+    rest = materialize(rest, "rest-pairs")
+    more = materialize(_verified(rest, _whole_sets(
+        docs, rest.select("a").union(rest.select("b")), words), percent), "rest")
     of_pairs = combos.filter("doc_id <> first").select(
         F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     deep = materialize(_cluster_links(combos, of_pairs, sets, component, percent), "clusters")
