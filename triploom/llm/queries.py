@@ -144,6 +144,15 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.spans_text(F.col("_p_spans")).alias("spans"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import html_text
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.extract_text(pages, html_text.train(pages))
+    return found.select("page_id", "url", "text",
+                        F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from triploom.llm import quality_rules as q
 
@@ -183,7 +192,8 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat,
             "op3_language": op3_language, "op4_jaccard_join": op4_jaccard_join,
-            "op5_pii": op5_pii, "op8_quality_rules": op8_quality_rules,
+            "op5_pii": op5_pii, "op7_html_text": op7_html_text,
+            "op8_quality_rules": op8_quality_rules,
             "op9_bpe": op9_bpe, "op10_suffix_repeats": op10_suffix_repeats}
 
 
