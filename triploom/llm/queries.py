@@ -144,6 +144,13 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.spans_text(F.col("_p_spans")).alias("spans"))
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import quality_model
+
+    return quality_model.score_documents(table(spark, sf_dir, "documents"),
+                                         table(spark, sf_dir, "labels"), carry=["doc_id"])
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from triploom.llm import html_text
 
@@ -192,7 +199,7 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat,
             "op3_language": op3_language, "op4_jaccard_join": op4_jaccard_join,
-            "op5_pii": op5_pii, "op7_html_text": op7_html_text,
+            "op5_pii": op5_pii, "op6_quality_model": op6_quality_model, "op7_html_text": op7_html_text,
             "op8_quality_rules": op8_quality_rules,
             "op9_bpe": op9_bpe, "op10_suffix_repeats": op10_suffix_repeats}
 
