@@ -19,7 +19,8 @@ Defined results: null and empty texts have zero statistics; null metadata
 are values of their own; several labels of a document count by their mean;
 null labels are none; without labels of both classes every document gets
 the label share (0.5 without labels); repeated rows are rows; an empty table
-gives no rows; further columns are kept (``_c_`` names are reserved).
+gives no rows; further columns are kept, but for those named like results (``_c_`` names are
+reserved).
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ PENALTY = 1e-2
 KEEP = 0.5
 MAX_BROADCAST_GROUPS = 100_000
 
+RESULTS = ("text_score", "meta_score", "score", "kept")
 TEXT = ("word_length", "symbols", "bars", "upper", "digits", "stops", "variety", "repeats",
         "lines", "dup_lines", "shouts", "other")
 META = ("source", "lang", "length", "length2")
@@ -202,7 +204,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, text_col: str = "text",
                     carry: list[str] | None = None, keep: float = KEEP, **options) -> DataFrame:
     """The ``carry`` columns (all by default) of every row with text_score,
     meta_score, score (0 to 1) and kept (score at least ``keep``)."""
-    carry = list(docs.columns) if carry is None else carry
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in RESULTS]
     rows = measure(docs, labels, text_col, id_col, lang_col, source_col, chars_col,
                    label_col, carry)
     models = train(rows, **options)
@@ -219,4 +221,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, text_col: str = "text",
                                "meta_score": sigmoid(F.col("_c_meta_odds")),
                                "score": sigmoid(models[2].column())})
     return out.withColumn("kept", F.col("score") >= keep).select(
-        *carry, "text_score", "meta_score", "score", "kept")
+        *carry, *RESULTS)

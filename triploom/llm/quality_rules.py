@@ -222,7 +222,9 @@ def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     names = list(VECTOR)
     measured = measured.withColumns({f"_q_v_{n}": c for n, c in vector().items()})
     stats = [c for c in measured.columns if c.startswith("_q_")]
-    stored = materialize(measured.select(*carry, *stats), "quality-rules")
+    # carried columns travel in a struct, so that no name can clash
+    stored = materialize(measured.select(F.struct(*[F.col(f"`{c}`") for c in carry])
+                                         .alias("_q_carry"), *stats), "quality-rules")
     fit = stored.filter(~F.col("_q_base_failed")).select(
         "_q_lang", "_q_source", *[F.col(f"_q_v_{n}").alias(n) for n in names])
     groups = materialize(_groups(fit, min_group), "quality-groups")
@@ -240,7 +242,7 @@ def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     distance = F.when(~F.col("_q_base_failed"),
                       F.col("_q_d2") / F.col("scale") * words / (words + SHORT))
     return far.withColumn("_q_distance", distance).select(
-        *carry, *[c for c in stats if not c.startswith("_q_v_")], "_q_group", "_q_distance",
+        *[F.col("_q_carry").getField(c).alias(c) for c in carry], *[c for c in stats if not c.startswith("_q_v_")], "_q_group", "_q_distance",
         (~F.col("_q_base_failed") & (F.coalesce(F.col("_q_distance"), F.lit(0.0)) <= cut))
         .alias("_q_kept"))
 

@@ -196,12 +196,19 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                         text("spans").alias("spans"), text("removable").alias("removable"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {"op1_decontaminate": op1_decontaminate, "op2_chat": op2_chat,
             "op3_language": op3_language, "op4_jaccard_join": op4_jaccard_join,
             "op5_pii": op5_pii, "op6_quality_model": op6_quality_model, "op7_html_text": op7_html_text,
             "op8_quality_rules": op8_quality_rules,
-            "op9_bpe": op9_bpe, "op10_suffix_repeats": op10_suffix_repeats}
+            "op9_bpe": op9_bpe, "op10_suffix_repeats": op10_suffix_repeats,
+            "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
