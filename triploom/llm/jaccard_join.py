@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from triploom.llm.components import components
 from triploom.llm.hashing import mix, window_hashes, word_hashes
-from triploom.session import materialize
+from triploom.session import materialize, scratch_scope
 
 SHINGLE_WORDS = 4
 PERCENT = 85
@@ -155,27 +155,64 @@ def _signatures(docs: DataFrame, frequent: np.ndarray, words: int, percent: int)
               "pairs array<long>, need long")
 
 
-def _whole_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(doc_id, tokens) of the documents with the given ids. The texts are
-    not shuffled while the ids are few enough to broadcast."""
+def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with the given ids. Their texts are not shuffled while
+    the ids are few enough to broadcast."""
     ids = materialize(ids.toDF("doc_id").distinct(), "ids")
     small = ids.count() <= MAX_BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a").union(pairs.select("b"))
 
+
+def _whole_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(doc_id, tokens) of the documents with the given ids."""
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sets = [t.view(np.int64) for t in token_sets(b["text"], words)]
             yield pd.DataFrame({"doc_id": b["doc_id"], "tokens": sets})
 
-    chosen = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    return materialize(chosen.mapInPandas(whole, "doc_id long, tokens array<long>"), "sets")
+    return materialize(_chosen(docs, ids).mapInPandas(
+        whole, "doc_id long, tokens array<long>"), "sets")
+
+
+def _possible(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs that can be similar by the 16-bit prints of their tokens, a
+    quarter of the sets' size. Prints are shared at least as often as tokens,
+    but for tokens of one set that share a print, which are added."""
+    def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sets = list(token_sets(b["text"], words))
+            yield pd.DataFrame({
+                "doc_id": b["doc_id"], "n": [len(t) for t in sets],
+                "prints": [np.unique((t >> np.uint64(24)).astype(np.uint16)).view(np.int16)
+                           for t in sets]})
+
+    marks = materialize(_chosen(docs, _ends(pairs)).mapInPandas(
+        prints, "doc_id long, n long, prints array<short>"), "prints")
+    left = marks.select(F.col("doc_id").alias("a"), F.col("n").alias("na"),
+                        F.col("prints").alias("pa"))
+    right = marks.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"),
+                         F.col("prints").alias("pb"))
+    most = F.size(F.array_intersect("pa", "pb")) + F.least(
+        F.col("na") - F.size("pa"), F.col("nb") - F.size("pb"))
+    most = F.least(most, F.col("na"), F.col("nb"))
+    return materialize(
+        pairs.join(left, "a").join(right, "b").withColumn("most", most)
+        .filter(F.col("most") * 100 >= (F.col("na") + F.col("nb") - F.col("most")) * percent)
+        .select("a", "b"), "possible")
 
 
 def _compatible(a: str, b: str, percent: int):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar."""
+    pairs = _possible(pairs, docs, words, percent)
+    sets = _whole_sets(docs, _ends(pairs), words)
     left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
@@ -230,8 +267,8 @@ def _block_links(percent: int):
     return links
 
 
-def _cluster_links(pairs_index: DataFrame, stars: DataFrame, sets: DataFrame,
-                   component, percent: int) -> DataFrame:
+def _cluster_links(pairs_index: DataFrame, stars: DataFrame, docs: DataFrame,
+                   component, words: int, percent: int) -> DataFrame:
     """Links among the documents of frequent tokens: clusters of documents
     that share a combination, compared block by block."""
     cluster = components(stars.select("a", "b"))
@@ -248,7 +285,8 @@ def _cluster_links(pairs_index: DataFrame, stars: DataFrame, sets: DataFrame,
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("cluster", "doc_id", "component", "block",
                 F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    rows = placed.join(sets.select("doc_id", "tokens"), "doc_id")
+    sets = _whole_sets(docs, placed.select("doc_id"), words)
+    rows = placed.join(sets, "doc_id")
     return rows.groupBy("cluster", "i", "j").applyInPandas(_block_links(percent),
                                                            "a long, b long")
 
@@ -259,6 +297,13 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     doc_id reachable by links, its own included)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
+    with scratch_scope(docs.sparkSession) as scratch:
+        found = materialize(_components(docs, words, percent), "jaccard")
+        scratch.pop()   # only the result stays
+    return found
+
+
+def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     counted, _ = _frequent_tokens(docs, words)
     top = counted.orderBy(F.desc("n"), "token").limit(MAX_FREQUENT).select("token")
     frequent = np.sort(np.array([r[0] for r in top.toLocalIterator()], np.int64).view(np.uint64))
@@ -267,8 +312,12 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     # documents with equal sets are one node: the smallest doc_id
     nodes = materialize(signed.filter("n > 0").groupBy("h1", "h2", "n").agg(
         F.min("doc_id").alias("node"), F.first("need").alias("need")), "nodes")
-    one = signed.join(nodes.select("h1", "h2", F.col("node").alias("doc_id")),
-                      ["h1", "h2", "doc_id"], "left_semi")
+    copies = materialize(signed.select("doc_id", "h1", "h2", "n").join(
+        nodes.select("h1", "h2", "n", "node"), ["h1", "h2", "n"])
+        .filter("doc_id <> node").select("doc_id", "h1", "h2").distinct(), "copies")
+    few = copies.count() <= MAX_BROADCAST_IDS
+    one = signed.filter("n > 1").join(F.broadcast(copies) if few else copies,
+                                      ["doc_id", "h1", "h2"], "left_anti")
 
     in_bucket = Window.partitionBy("sig")
     singles = materialize(
@@ -291,9 +340,7 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     stars = singles.union(combos.select(*singles.columns)).filter("doc_id <> first").select(
         F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     stars = materialize(compatible(stars), "star-pairs")
-    sets = _whole_sets(docs, stars.select("a").union(stars.select("b")).union(
-        combos.select("doc_id")), words)
-    links = materialize(_verified(stars, sets, percent), "stars")
+    links = materialize(_verified(stars, docs, words, percent), "stars")
     found = materialize(components(links), "components")
 
     def component(rows: DataFrame) -> DataFrame:
@@ -317,11 +364,11 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
                  F.least(F.first("need_a"), F.first("need_b")).alias("need"))
             .filter("shared >= need").select("a", "b"))
     rest = materialize(rest, "rest-pairs")
-    more = materialize(_verified(rest, _whole_sets(
-        docs, rest.select("a").union(rest.select("b")), words), percent), "rest")
+    more = materialize(_verified(rest, docs, words, percent), "rest")
     of_pairs = combos.filter("doc_id <> first").select(
         F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-    deep = materialize(_cluster_links(combos, of_pairs, sets, component, percent), "clusters")
+    deep = materialize(_cluster_links(combos, of_pairs, docs, component, words,
+                                      percent), "clusters")
 
     final = components(links.union(more).union(deep))
     by_set = nodes.join(final, "node", "left").select(
