@@ -35,7 +35,7 @@ from triploom.session import local_session  # noqa: E402
 from triploom.sources.fixture import point_text, trips_from_tables  # noqa: E402
 from triploom.sources.warehouse import read_dims, read_table  # noqa: E402
 
-FORCED = {"triploom.denseIds.singleTaskMaxRows": "0",
+FORCED = {"triploom.denseIds.rowsPerTask": "1",
           "triploom.dim.broadcastMaxRows": "0",
           "triploom.skew.hotKeyRows": "20000",
           "spark.sql.autoBroadcastJoinThreshold": "-1",

@@ -22,9 +22,9 @@ def metric(spark, root):
 def test_init_creates_once_and_seeds(spark, workdir):
     root = os.path.join(workdir, "wh")
     first = init_warehouse(spark, root)
-    assert all(created for created, _ in first.values())
+    assert all(first.values())
     again = init_warehouse(spark, root)
-    assert not any(created for created, _ in again.values())
+    assert not any(again.values())
     assert read_table(spark, root, "time_range").count() == 48
     assert read_table(spark, root, "trip").count() == 0
 
@@ -106,28 +106,31 @@ def test_strict_rejects_other_files(spark, workdir):
         read_trips(spark, folder, strict=True)
 
 
-def test_live_weekly_counts_watermark(spark, workdir):
+def test_live_weekly_counts_keep_late_trips(spark, workdir):
     from triploom.streaming.weekly_live import current_weekly_counts, start_weekly_counts
 
-    landing, out, ckpt = (os.path.join(workdir, n) for n in ("landing", "weekly", "ckpt"))
+    landing, out = os.path.join(workdir, "landing"), os.path.join(workdir, "weekly")
 
-    def land(rows):
-        spark.createDataFrame(rows, RAW_COLS).write.mode("append") \
-            .option("header", True).csv(landing)
-        q = start_weekly_counts(spark, landing, out, ckpt, watermark="7 days")
+    def run(checkpoint, rows=None):
+        if rows:
+            spark.createDataFrame(rows, RAW_COLS).write.mode("append") \
+                .option("header", True).csv(landing)
+        q = start_weekly_counts(spark, landing, out, os.path.join(workdir, checkpoint))
         q.awaitTermination()
         assert q.exception() is None
+        return {(r.region, str(r.week_start.date())): r.num_trips
+                for r in current_weekly_counts(spark, out).collect()}
 
-    land([("A", pt(1, 2), pt(3, 4), "2024-03-04 08:00:00", "s"),    # Monday
-          ("A", pt(1, 2), pt(3, 4), "2024-03-10 23:59:00", "s"),    # Sunday
-          (" A ", pt(1, 2), pt(3, 4), "2024-03-20 10:00:00", "s")])  # next-next week
-    # watermark is now 2024-03-13 10:00: the first trip is late and dropped,
-    # the second is within it and counted
-    land([("A", pt(1, 2), pt(3, 4), "2024-03-01 10:00:00", "s"),
-          ("A", pt(1, 2), pt(3, 4), "2024-03-19 09:00:00", "s")])
-    got = {(r.region, str(r.week_start.date())): r.num_trips
-           for r in current_weekly_counts(spark, out).collect()}
-    assert got == {("A", "2024-03-04"): 2, ("A", "2024-03-18"): 2}
+    run("ckpt", [("A", pt(1, 2), pt(3, 4), "2024-05-10 23:59:00", "s"),
+                 (" A ", pt(1, 2), pt(3, 4), "2024-05-20 10:00:00", "s")])
+    # a back-fill two months older
+    want = {("A", "2024-05-06"): 1, ("A", "2024-05-20"): 2, ("A", "2024-03-04"): 2}
+    assert run("ckpt", [("A", pt(1, 2), pt(3, 4), "2024-03-04 00:00:00", "s"),   # Monday
+                        ("A", pt(1, 2), pt(3, 4), "2024-03-10 23:59:59", "s"),   # Sunday
+                        ("A", pt(1, 2), pt(3, 4), "2024-05-21 09:00:00", "s")]) == want
+    # a new checkpoint counts everything again, and stale epochs don't win
+    assert run("other") == want
+    assert run("ckpt") == want
 
 
 def test_stream_epoch_replay_maps_to_same_batch(spark, workdir):
@@ -246,7 +249,7 @@ def test_header_must_name_the_columns(spark, workdir):
 def test_large_path_ingest_leaves_no_scratch_tables(spark, workdir, conf):
     from triploom.session import ensure_checkpoint_dir
 
-    conf("triploom.denseIds.singleTaskMaxRows", 0)
+    conf("triploom.denseIds.rowsPerTask", 1)
     ckpt = ensure_checkpoint_dir(spark).removeprefix("file:")
 
     def scratch():
@@ -278,3 +281,169 @@ def test_progress_counts_each_file_of_a_batch(spark, workdir):
     assert got == {"a.csv": (0, 3, 100), "b.csv": (0, 2, 100)}
     log = ingest_progress(spark, root).first()
     assert (log.new_regions, log.new_datasources) == (3, 1)
+
+
+def _fail_at(monkeypatch, table):
+    import triploom.plans.ingest as I
+
+    real = I.write_batch
+
+    def failing(df, root_, name, batch_id):
+        if name == table:
+            raise RuntimeError("executor lost")
+        return real(df, root_, name, batch_id)
+
+    monkeypatch.setattr(I, "write_batch", failing)
+    return lambda: monkeypatch.setattr(I, "write_batch", real)
+
+
+@pytest.mark.parametrize("table", ["trip", "ingest_log"])
+def test_failed_batch_leaves_nothing_to_a_different_next_one(spark, workdir, monkeypatch, table):
+    root = os.path.join(workdir, "wh")
+    known = [("A", pt(1, 2), pt(3, 4), T, "s")]
+    ingest(spark, spark.createDataFrame(known, RAW_COLS), root)
+    bad = spark.createDataFrame([("B", pt(5, 6), pt(7, 8), T, "t"),
+                                 ("C", "POINT (x y)", pt(7, 8), T, "t")], RAW_COLS)
+    restore = _fail_at(monkeypatch, table)
+    with pytest.raises(RuntimeError):
+        ingest(spark, bad, root, on_error="quarantine")
+    restore()
+    # the next load adds no member and no reject
+    assert ingest(spark, spark.createDataFrame(known, RAW_COLS), root,
+                  on_error="quarantine") == 1
+    counts = {n: read_table(spark, root, n).count() for n in (
+        "region", "datasource", "coord", "coord_time", "trip", "rejects")}
+    assert counts == {"region": 1, "datasource": 1, "coord": 2, "coord_time": 1, "trip": 2,
+                      "rejects": 0}
+    # and one without any accepted trip replaces the failed one's trips
+    restore = _fail_at(monkeypatch, "ingest_log")
+    with pytest.raises(RuntimeError):
+        ingest(spark, bad, root, on_error="quarantine")
+    restore()
+    ingest(spark, bad.filter("region = 'C'"), root, on_error="quarantine")
+    assert read_table(spark, root, "trip").count() == 2
+    assert read_table(spark, root, "rejects").count() == 1
+    assert read_table(spark, root, "region").count() == 1
+
+
+def test_only_the_latest_batch_can_be_rewritten(spark, workdir):
+    root = os.path.join(workdir, "wh")
+    df = spark.createDataFrame([("A", pt(1, 2), pt(3, 4), T, "s")], RAW_COLS)
+    for _ in range(3):
+        ingest(spark, df, root)
+    for batch in (0, 1, 4):
+        with pytest.raises(ValueError):
+            ingest(spark, df, root, batch_id=batch)
+    assert ingest(spark, df, root, batch_id=2) == 2
+    assert read_table(spark, root, "trip").count() == 3
+
+
+def _land(landing, name, rows, header="region,origin_coord,destination_coord,datetime,datasource"):
+    os.makedirs(landing, exist_ok=True)
+    with open(os.path.join(landing, f".{name}"), "w") as f:
+        f.write(header + "\n" + "".join(f'{r},"{a}","{b}",{t},{s}\n' for r, a, b, t, s in rows))
+    os.rename(os.path.join(landing, f".{name}"), os.path.join(landing, name))
+
+
+def test_stream_identity_is_the_checkpoints(spark, workdir):
+    landing, root = os.path.join(workdir, "landing"), os.path.join(workdir, "wh")
+    ckpt = os.path.join(workdir, "ckpt")
+
+    def run(path, **options):
+        q = stream_ingest(spark, landing, root, path, **options)
+        q.awaitTermination()
+        assert q.exception() is None
+
+    _land(landing, "a.csv", [("A", pt(1, 2), pt(3, 4), T, "s")])
+    run(ckpt)
+    _land(landing, "b.csv", [("B", pt(5, 6), pt(7, 8), T, "s")])
+    run(ckpt + "/")                      # the same checkpoint, spelled otherwise
+    assert read_table(spark, root, "trip").count() == 2
+    os.rename(ckpt, ckpt + "-aside")     # a new checkpoint at the old path
+    _land(landing, "c.csv", [("B", pt(5, 6), pt(9, 9), T, "s")])
+    run(ckpt, max_files_per_trigger=1)
+    # it reads all files again, as batches of its own: ids stay unique
+    assert read_table(spark, root, "trip").count() == 5
+    for name, n in (("region", 2), ("coord", 5), ("coord_time", 3)):
+        ids = [r.id for r in read_table(spark, root, name).collect()]
+        assert sorted(ids) == list(range(1, n + 1)), name
+
+
+def test_stream_quarantine_and_empty_files(spark, workdir):
+    from triploom.plans.ingest import landing_progress
+
+    landing, root = os.path.join(workdir, "landing"), os.path.join(workdir, "wh")
+    _land(landing, "may [1] trips.csv", [("A", pt(1, 2), pt(3, 4), T, "s")])
+    _land(landing, "nothing.csv", [])
+    with open(os.path.join(landing, "may [1] trips.csv"), "a") as f:
+        f.write('B,"POINT (1 2)"\n')
+    assert [r.percent for r in landing_progress(spark, landing, root).collect()] == [0, 0]
+    q = stream_ingest(spark, landing, root, os.path.join(workdir, "ckpt"),
+                      on_error="quarantine")
+    q.awaitTermination()
+    assert q.exception() is None
+    assert read_table(spark, root, "trip").count() == 1
+    assert read_table(spark, root, "rejects").count() == 1
+    rows = {os.path.basename(r.source_file): (r.rows_in, r.rows_rejected, r.percent)
+            for r in landing_progress(spark, landing, root).collect()}
+    assert rows == {"may%20%5B1%5D%20trips.csv": (2, 1, 100), "nothing.csv": (0, 0, 100)}
+    # a batch of header-only files is committed, too
+    _land(landing, "void.csv", [])
+    q = stream_ingest(spark, landing, root, os.path.join(workdir, "ckpt"))
+    q.awaitTermination()
+    assert ingest_progress(spark, root).agg(F.max("batch_id")).first()[0] == 1
+
+
+def test_progress_of_a_loading_batch(spark, workdir, monkeypatch):
+    from triploom.plans.ingest import landing_progress
+
+    landing, root = os.path.join(workdir, "landing"), os.path.join(workdir, "wh")
+    _land(landing, "a.csv", [("A", pt(1, 2), pt(3, 4), T, "s")])
+    for table, percent in (("region", 10), ("trip", 60), ("ingest_log", 90)):
+        restore = _fail_at(monkeypatch, table)
+        with pytest.raises(RuntimeError):
+            ingest(spark, landing, root)
+        restore()
+        assert [r.percent for r in landing_progress(spark, landing, root).collect()] == [percent]
+    ingest(spark, landing, root)
+    assert [r.percent for r in landing_progress(spark, landing, root).collect()] == [100]
+
+
+def test_strict_ingest_refuses_other_files(spark, workdir):
+    landing = os.path.join(workdir, "landing")
+    _land(landing, "a.csv", [("A", pt(1, 2), pt(3, 4), T, "s")])
+    with open(os.path.join(landing, "notes.txt"), "w") as f:
+        f.write("x")
+    with pytest.raises(ValueError):
+        ingest(spark, landing, os.path.join(workdir, "wh"), strict=True)
+    with pytest.raises(ValueError):
+        stream_ingest(spark, landing, os.path.join(workdir, "wh2"),
+                      os.path.join(workdir, "ckpt"), strict=True)
+    assert ingest(spark, landing, os.path.join(workdir, "wh")) == 0
+
+
+def test_commit_filter_prunes_partitions_without_a_join(spark, workdir, conf):
+    root = os.path.join(workdir, "wh")
+    df = spark.createDataFrame([("A", pt(1, 2), pt(3, 4), T, "s")], RAW_COLS)
+    ingest(spark, df, root)
+    ingest(spark, df, root)
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    plan = read_table(spark, root, "trip").select("region_id", "datetime") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert "PartitionFilters: [isnotnull(batch_id" in plan
+
+
+def test_second_batch_runs_few_jobs(spark, workdir):
+    root = os.path.join(workdir, "wh")
+    ingest(spark, spark.createDataFrame(
+        [(f"R{i}", pt(i, 2), pt(3, i), T, "s") for i in range(50)], RAW_COLS), root)
+    spark.sparkContext.setJobGroup("second-batch", "second batch")
+    try:
+        ingest(spark, spark.createDataFrame(
+            [(f"R{i}", pt(i, 2), pt(3, i), T, "s") for i in range(40, 60)], RAW_COLS), root)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("second-batch")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    print("jobs", len(jobs))
+    assert len(jobs) <= 45

@@ -29,12 +29,12 @@ def test_point_parse_matches_python(spark, pairs):
 @given(st.sets(st.tuples(st.integers(-50, 50), st.text("abc", max_size=3)),
                min_size=1, max_size=120),
        st.integers(0, 1000), st.booleans())
-def test_dense_ids_are_ranks_in_key_order(spark, keys, start, single_task):
+def test_dense_ids_are_ranks_in_key_order(spark, keys, start, one_range):
     from triploom.operators.dense_ids import assign_dense_ids
 
-    key = "triploom.denseIds.singleTaskMaxRows"
+    key = "triploom.denseIds.rowsPerTask"
     saved = spark.conf.get(key, None)
-    spark.conf.set(key, "1000000" if single_task else "0")
+    spark.conf.set(key, "10000" if one_range else "7")
     try:
         df = spark.createDataFrame(sorted(keys), "k int, s string")
         got = {(r.k, r.s): r.id for r in assign_dense_ids(df, ["k", "s"], start).df.collect()}

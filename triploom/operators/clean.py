@@ -11,6 +11,9 @@ Bad or missing values (``on_error``):
 * ``"fail"`` (default): a bad or missing datetime or point raises when the
   value is computed (``coalesce(value, raise_error(...))``), failing the
   job before the caller writes anything (a failed job commits no files).
+  Only values that a query uses are computed, so a query that reads no
+  point does not notice a bad one; ``every_value=True`` checks all of them
+  on every row, whatever the query uses. An ingest computes them all.
 * ``"quarantine"``: rows are kept with a ``reject_reason``; use
   :func:`split_rejects` to separate accepted and rejected rows.
 """
@@ -45,7 +48,8 @@ def _or_fail(value: Column, what: str, raw: str) -> Column:
         F.concat(F.lit(f"bad trip record: {what} missing or unparseable: "), text)))
 
 
-def clean_trips(df: DataFrame, on_error: str = "fail") -> DataFrame:
+def clean_trips(df: DataFrame, on_error: str = "fail",
+                every_value: bool = False) -> DataFrame:
     """Typed trips from raw records.
 
     Input: ``region, origin_coord, destination_coord, datetime, datasource``
@@ -62,6 +66,9 @@ def clean_trips(df: DataFrame, on_error: str = "fail") -> DataFrame:
         dt = parse_datetime("datetime") if text else F.col("datetime").cast("timestamp_ntz")
         typed = df.withColumns({**names, "datetime": _or_fail(dt, "datetime", "datetime")})
         typed = typed.withColumns({c: _or_fail(fn(src), src, src) for c, fn, src in POINTS})
+        if every_value:
+            # a filter that reads every value: it can't be pruned
+            typed = typed.filter(F.concat_ws("", "datetime", *[c for c, _, _ in POINTS]) != "")
         return typed.withColumn("time_range_id", half_hour_bucket("datetime")) \
                     .select(*df.columns, *CLEAN_COLUMNS)
     # quarantine: NULL for what does not parse, and the reasons

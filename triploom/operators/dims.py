@@ -199,34 +199,57 @@ def batch_members(trips: DataFrame) -> DataFrame:
                  F.sum("_rejected").alias("rows_rejected")))
 
 
-def conform_dims(trips: DataFrame, base: StarDims | None = None) -> Conformed:
-    """Grow the four dimensions with the members of a cleaned batch."""
+@dataclass
+class BatchMembers:
+    """The stored member table of a batch, and its exact sizes."""
+
+    names: dict[str, DataFrame]
+    tuples: DataFrame
+    sizes: dict[str, int]
+    total_rows: int
+    file_counts: DataFrame
+    key_counts: dict[str, DataFrame]
+
+
+def read_members(trips: DataFrame) -> BatchMembers:
+    """Every member set of a cleaned batch, written once."""
     from triploom.session import materialize
 
-    spark = trips.sparkSession
-    base = base or StarDims.empty(spark)
     members = materialize(batch_members(trips), "batch-members")
 
     def of(kind: str) -> DataFrame:
         return members.filter(F.col("_gid") == _gid(MEMBER_SETS[kind]))
 
-    names = {k: of(k).select(F.col(k).alias("description"))
-             .filter(F.col("description").isNotNull()) for k in ("region", "datasource")}
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in TUPLE_COLS])
-    tuples = of("tuple").select(*TUPLE_COLS).filter(complete)
     # exact sizes from the stored member table (one row per grouping set):
     # non-null members per set and rows in the batch, in one small job
     present = {"region": F.col("region").isNotNull(),
                "datasource": F.col("datasource").isNotNull(), "tuple": complete}
-    sizes = {r["_gid"]: r for r in members.groupBy("_gid").agg(
+    found = {r["_gid"]: r for r in members.groupBy("_gid").agg(
         F.sum("rows_in").alias("rows"),
         *[F.count_if(cond).alias(k) for k, cond in present.items()]).collect()}
 
     def size(kind: str, field: str) -> int:
-        row = sizes.get(_gid(MEMBER_SETS[kind]))
+        row = found.get(_gid(MEMBER_SETS[kind]))
         return (row[field] or 0) if row is not None else 0
 
-    n_tuples, total = size("tuple", "tuple"), size("tuple", "rows")
+    tuples = of("tuple").filter(complete)
+    return BatchMembers(
+        {k: of(k).select(F.col(k).alias("description")).filter(
+            F.col("description").isNotNull()) for k in ("region", "datasource")},
+        tuples.select(*TUPLE_COLS), {k: size(k, k) for k in present}, size("tuple", "rows"),
+        of("file").select("source_file", "rows_in", "rows_rejected"),
+        {"region": of("region").select("region", "rows_in"),
+         "datasource": of("datasource").select("datasource", "rows_in"),
+         "tuple": tuples.select(*TUPLE_COLS, "rows_in")})
+
+
+def conform_dims(trips: DataFrame, base: StarDims | None = None) -> Conformed:
+    """Grow the four dimensions with the members of a cleaned batch, without
+    storing them."""
+    spark = trips.sparkSession
+    base = base or StarDims.empty(spark)
+    m = read_members(trips)
     # the three upserts are independent Spark jobs: submit them together,
     # each in a copy of this context (scratch tables stay scoped) and with
     # this thread's Spark job group and pool
@@ -235,22 +258,26 @@ def conform_dims(trips: DataFrame, base: StarDims | None = None) -> Conformed:
         def submit(*args):
             return pool.submit(contextvars.copy_context().run, upsert, *args)
 
-        region_f = submit(base.region, names["region"], ["description"],
-                          size("region", "region"))
-        source_f = submit(base.datasource, names["datasource"], ["description"],
-                          size("datasource", "datasource"))
-        coord_f = submit(base.coord, point_members(tuples), ["x", "y"])
+        region_f = submit(base.region, m.names["region"], ["description"], m.sizes["region"])
+        source_f = submit(base.datasource, m.names["datasource"], ["description"],
+                          m.sizes["datasource"])
+        coord_f = submit(base.coord, point_members(m.tuples), ["x", "y"])
         region, source, coord = region_f.result(), source_f.result(), coord_f.result()
-    ids = tuple_ids(tuples, coord.all, n_tuples)
+    n_tuples = m.sizes["tuple"]
+    # read by the upsert and by the lookup of the fact: written once
+    from triploom.session import materialize
+
+    ids = materialize(tuple_ids(m.tuples, coord.all, n_tuples), "tuple-ids")
     # equal tuples <=> equal coord-id triples, so the triples are distinct
     coord_time = dim_upsert(base.coord_time, ids.select(*CT_KEYS), CT_KEYS, n_tuples)
-    ct = lookup(coord_time.all).withColumnRenamed("id", "coord_time_id")
-    ct_map = ids.join(ct, CT_KEYS).select(*TUPLE_COLS, "coord_time_id")
-    files = of("file").select("source_file", "rows_in", "rows_rejected")
-    key_counts = {"region": of("region").select("region", "rows_in"),
-                  "datasource": of("datasource").select("datasource", "rows_in"),
-                  "tuple": of("tuple").filter(complete).select(*TUPLE_COLS, "rows_in")}
     return Conformed(
         StarDims(region.all, source.all, coord.all, coord_time.all),
         StarDims(region.new, source.new, coord.new, coord_time.new),
-        Numbered(ct_map, n_tuples), files, key_counts, total)
+        Numbered(coord_time_map(ids, coord_time.all), n_tuples),
+        m.file_counts, m.key_counts, m.total_rows)
+
+
+def coord_time_map(ids: DataFrame, coord_time: Numbered) -> DataFrame:
+    """Tuples with their coord_time id, from tuples with coord ids."""
+    ct = lookup(coord_time).withColumnRenamed("id", "coord_time_id")
+    return ids.join(ct, CT_KEYS).select(*TUPLE_COLS, "coord_time_id")

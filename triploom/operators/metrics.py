@@ -119,24 +119,24 @@ def _box_hits(coord_time: DataFrame, coord: DataFrame, box: Box,
               count: str) -> DataFrame:
     """(coord_time_id, hits): members with at least one endpoint in the box.
 
-    ``inside`` is the set of coordinates in the box (the filter reaches the
-    coord scan); each endpoint column is semi-joined against it.
+    One scan of the members; each endpoint column is left-joined to the set
+    of coordinates in the box (the filter reaches the coord scan).
     """
-    inside = coord.filter(in_box("x", "y", box)).select(F.col("id").alias("cid"))
+    inside = coord.filter(in_box("x", "y", box)).select(F.col("id").alias("_c"))
+    o = inside.select(F.col("_c").alias("_o"))
+    d = inside.select(F.col("_c").alias("_d"))
     ct = coord_time.select("id", "origin_coord_id", "dest_coord_id")
-    same = (F.col("dest_coord_id") == F.col("origin_coord_id")).cast("int")
-    o_hit = (ct.join(inside, ct.origin_coord_id == inside.cid, "left_semi")
-             .select("id", F.lit(1).alias("o"), F.lit(0).alias("d"), same.alias("same")))
-    d_hit = (ct.join(inside, ct.dest_coord_id == inside.cid, "left_semi")
-             .select("id", F.lit(0).alias("o"), F.lit(1).alias("d"), same.alias("same")))
-    flags = (o_hit.unionByName(d_hit).groupBy("id")
-             .agg(F.max("o").alias("o"), F.max("d").alias("d"),
-                  F.max("same").alias("same")))
+    both = (ct.join(o, F.col("origin_coord_id") == F.col("_o"), "left")
+            .join(d, F.col("dest_coord_id") == F.col("_d"), "left")
+            .filter(F.col("_o").isNotNull() | F.col("_d").isNotNull()))
     if count == "trips":
         hits = F.lit(1)
     else:
-        hits = F.col("o") + F.col("d") * (1 - F.col("same"))
-    return flags.select(F.col("id").alias("coord_time_id"), hits.alias("hits"))
+        # equal ends share one coord id and count once
+        apart = F.col("origin_coord_id") != F.col("dest_coord_id")
+        hits = (F.col("_o").isNotNull().cast("int")
+                + (F.col("_d").isNotNull() & apart).cast("int"))
+    return both.select(F.col("id").alias("coord_time_id"), hits.alias("hits"))
 
 
 def weekly_avg_bbox_star(trip: DataFrame, coord_time: DataFrame, coord: DataFrame,
@@ -144,34 +144,28 @@ def weekly_avg_bbox_star(trip: DataFrame, coord_time: DataFrame, coord: DataFram
                          count: str = "endpoints", week: str = "week") -> DataFrame:
     """Box metric from the star tables.
 
-    The box filter reaches the ``coord`` scan and the members touching the
-    box are found by semi-joins on the dimensions. Then, by their exact
-    number:
+    The box filter reaches the ``coord`` scan, and the members touching the
+    box are found in one scan of ``coord_time`` and written once (two
+    numbers a member), which also counts them. Then, by their exact number:
 
     * at most ``triploom.dim.broadcastMaxRows`` members (the usual case for
       a box): the hit list is broadcast and the fact is filtered by it in
       the scan stage, so only matching trips reach the weekly aggregation
       and the fact is never shuffled;
-    * more: the fact is first reduced map-side to (coord_time_id, week, n)
-      rows and those are joined to the hit list, so no per-trip row is
-      shuffled to a join.
+    * more: the fact's two columns are joined to the hit list by key, after
+      which only matching trips are left to aggregate.
     """
     from triploom.operators.dims import broadcast_max_rows
+    from triploom.session import materialize
 
     if count not in COUNT_MODES:
         raise ValueError(f"count must be one of {COUNT_MODES}")
     box = Box.from_corners(x_a, y_a, x_b, y_b)
-    hits = _box_hits(coord_time, coord, box, count)
-    n_hits = hits.count()
-    if n_hits <= broadcast_max_rows(trip.sparkSession):
-        per_week = (trip.join(F.broadcast(hits), "coord_time_id")
-                    .groupBy(*week_key("datetime", week))
-                    .agg(F.sum("hits").alias("num_trips")))
-    else:
-        per_member = (trip.groupBy("coord_time_id", *week_key("datetime", week))
-                      .agg(F.count("*").alias("n")))
-        per_week = (per_member.join(hits, "coord_time_id")
-                    .groupBy(*_week_cols(week))
-                    .agg(F.sum(F.col("n") * F.col("hits")).alias("num_trips")))
+    hits = materialize(_box_hits(coord_time, coord, box, count), "box-hits")
+    if hits.count() <= broadcast_max_rows(trip.sparkSession):
+        hits = F.broadcast(hits)
+    per_week = (trip.select("coord_time_id", "datetime").join(hits, "coord_time_id")
+                .groupBy(*week_key("datetime", week))
+                .agg(F.sum("hits").alias("num_trips")))
     return per_week.agg(
         F.coalesce(F.avg("num_trips"), F.lit(0.0)).alias("weekly_avg_trips_bb"))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triploom.functions import time_of_day, time_range_label
-from triploom.operators.dense_ids import Numbered
 from triploom.operators.dims import broadcast_max_rows
 
 # Fixed values of the seeded table: 48 ranges of 30 minutes over one day,
@@ -48,7 +47,7 @@ def time_range_assign(trips: DataFrame, ranges: DataFrame | None = None) -> Data
 def range_bucket_join(df: DataFrame, value, ranges: DataFrame, lo: str = "time_from",
                       hi: str = "time_to", id_col: str = "id",
                       bucket_width: int = 100, how: str = "inner",
-                      ranges_rows: int | None = None,
+                      bucket_rows: int | None = None,
                       out_col: str | None = None) -> DataFrame:
     """Attach ``id_col`` of the range with ``lo <= value <= hi`` to each row
     (as ``out_col``, default ``id_col``).
@@ -56,9 +55,11 @@ def range_bucket_join(df: DataFrame, value, ranges: DataFrame, lo: str = "time_f
     Ranges must not overlap. The range join is made an equi-join: each
     range is listed once per ``bucket_width`` bucket it covers, each row
     carries the bucket of its value, and the bounds are checked after the
-    equi-join. The range side is broadcast only when its row count is at
-    most ``triploom.dim.broadcastMaxRows``; a larger one is joined by
-    buckets with a shuffle, never by a nested loop.
+    equi-join. The range side, one row per range and bucket, is broadcast
+    only when it has at most ``triploom.dim.broadcastMaxRows`` rows, counted
+    after the buckets are listed (``bucket_rows`` gives that number if it is
+    known); a larger one is joined by buckets with a shuffle, never by a
+    nested loop.
     """
     value = F.col(value) if isinstance(value, str) else value
     spark = df.sparkSession
@@ -66,7 +67,7 @@ def range_bucket_join(df: DataFrame, value, ranges: DataFrame, lo: str = "time_f
                        F.col(hi).alias("_hi"))
          .withColumn("_rb", F.explode(F.sequence(
              F.floor(F.col("_lo") / bucket_width), F.floor(F.col("_hi") / bucket_width)))))
-    rows = ranges_rows if ranges_rows is not None else ranges.count()
+    rows = bucket_rows if bucket_rows is not None else r.count()
     if rows <= broadcast_max_rows(spark):
         r = F.broadcast(r)
     left = df.withColumn("_value", value).withColumn(
@@ -80,12 +81,9 @@ def range_bucket_join(df: DataFrame, value, ranges: DataFrame, lo: str = "time_f
 
 def assign_by_range_join(trips: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
     """Trips with ``time_of_day`` and ``time_range_id`` found by the range join."""
+    # a seeded range lies within one bucket of an hour
     rows = RANGES_PER_DAY if ranges is None else None
     ranges = ranges if ranges is not None else time_range_dim(trips.sparkSession)
     t = trips.withColumn("time_of_day", time_of_day("datetime"))
     return range_bucket_join(t, "time_of_day", ranges, out_col="time_range_id",
-                             ranges_rows=rows)
-
-
-def seeded(spark: SparkSession) -> Numbered:
-    return Numbered(time_range_dim(spark), RANGES_PER_DAY)
+                             bucket_rows=rows)

@@ -15,13 +15,12 @@ from triploom.operators import (
 )
 from triploom.operators.audit import coord_time_fanout_audit
 from triploom.operators.dims import (
-    CT_KEYS, build_dim, conform_dims as _conform, name_members, point_members,
-    trip_tuples, tuple_ids,
+    CT_KEYS, build_dim, name_members, point_members, trip_tuples, tuple_ids,
 )
 from triploom.operators.output import scalar_text, to_json_rows
 from triploom.plans.oracle_sql import BOX, SECOND_LOAD_FROM
 from triploom.session import materialize
-from triploom.sources.fixture import order_trips, trips_from_tables
+from triploom.sources.fixture import lineitem_points, order_trips, trips_from_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +62,13 @@ def q_coord_dim(spark, sf_dir):
     return build_dim(point_members(_trips(spark, sf_dir)), ["x", "y"]).df
 
 
+def q_line_point_dim(spark, sf_dir):
+    """A point dimension with as many members as there are line items' pairs
+    of order and part: its ids are given out over many ranges."""
+    points = lineitem_points(spark, sf_dir).distinct()
+    return build_dim(points, ["x", "y"]).df
+
+
 def q_coord_time_dim(spark, sf_dir):
     """coord_time from the batch's distinct tuples and the coord dimension
     built from those tuples' points (not from the whole trip set again)."""
@@ -75,8 +81,8 @@ def q_dim_upsert(spark, sf_dir):
     """coord_time after two loads: the first week, then the remaining days."""
     trips = _trips(spark, sf_dir)
     cut = F.lit(SECOND_LOAD_FROM).cast("timestamp_ntz")
-    first = _conform(trips.filter(F.col("datetime") < cut))
-    second = _conform(trips.filter(F.col("datetime") >= cut), base=first.dims)
+    first = conform_dims(trips.filter(F.col("datetime") < cut))
+    second = conform_dims(trips.filter(F.col("datetime") >= cut), base=first.dims)
     return second.dims.coord_time.df
 
 
@@ -130,6 +136,13 @@ def q_weekly_avg_bbox_star(spark, sf_dir):
                                 dims.coord.df, *BOX)
 
 
+def q_weekly_avg_bbox_star_trips(spark, sf_dir):
+    trips, conformed = _star(spark, sf_dir)
+    dims = conformed.dims
+    return weekly_avg_bbox_star(trip_fact(trips, conformed), dims.coord_time.df,
+                                dims.coord.df, *BOX, count="trips")
+
+
 def q_weekly_avg_bbox_trips(spark, sf_dir):
     return weekly_avg_bbox(_trips(spark, sf_dir), *BOX, count="trips")
 
@@ -159,7 +172,8 @@ def q_by_region_json(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     from triploom.plans.ingest_checks import (
-        q_batch_ingest, q_ingest_progress, q_stream_ingest, q_stream_weekly_counts,
+        q_batch_ingest, q_ingest_progress, q_quarantine_ingest, q_stream_ingest,
+        q_stream_weekly_counts,
     )
     return {
         "clean_trips": q_clean_trips,
@@ -168,6 +182,7 @@ def queries() -> dict[str, Query]:
         "region_dim": q_region_dim,
         "datasource_dim": q_datasource_dim,
         "coord_dim": q_coord_dim,
+        "line_point_dim": q_line_point_dim,
         "coord_time_dim": q_coord_time_dim,
         "dim_upsert": q_dim_upsert,
         "trip_fact": q_trip_fact,
@@ -179,6 +194,7 @@ def queries() -> dict[str, Query]:
         "endpoint_points": q_endpoint_points,
         "weekly_avg_bbox": q_weekly_avg_bbox,
         "weekly_avg_bbox_star": q_weekly_avg_bbox_star,
+        "weekly_avg_bbox_star_trips": q_weekly_avg_bbox_star_trips,
         "weekly_avg_bbox_trips": q_weekly_avg_bbox_trips,
         "weekly_avg_bbox_swapped": q_weekly_avg_bbox_swapped,
         "weekly_avg_bbox_empty": q_weekly_avg_bbox_empty,
@@ -187,6 +203,7 @@ def queries() -> dict[str, Query]:
         "weekly_avg_bbox_text": q_weekly_avg_bbox_text,
         "batch_ingest": q_batch_ingest,
         "stream_ingest": q_stream_ingest,
+        "quarantine_ingest": q_quarantine_ingest,
         "ingest_progress": q_ingest_progress,
         "stream_weekly_counts": q_stream_weekly_counts,
     }

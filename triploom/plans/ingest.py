@@ -1,16 +1,18 @@
 """Batch ingest: trip files (or any raw-trip frame) into the star tables.
 
-One call is one batch: clean -> grow the dimensions -> build the fact ->
-write the batch's partitions (dimensions before the fact) -> log. The
-batch is scanned twice: once for all member sets and per-file counts, once
-for the fact; nothing of it is cached. Every
-row-level step runs on the executors; the driver only passes batch ids and
-scalar counts. Loading the same files twice appends their trips twice, as
-a batch load should; use the file stream for load-once semantics.
+One call is one batch: clean -> member sets -> each dimension's new members,
+written and read back -> fact -> log, the commit. The batch's rows are read
+twice (member sets; fact), a third time for the rejects in quarantine mode;
+nothing of it is cached. Each stored dimension is scanned once to find the
+new members, and what the batch added is read back from its own partition.
+Every row-level step runs on the executors; the driver passes batch ids and
+scalar counts. Loading the same files twice appends their trips twice, as a
+batch load should; use the file stream for load-once semantics.
 """
 
 from __future__ import annotations
 
+import contextvars
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -18,76 +20,154 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triploom.operators.clean import clean_trips, split_rejects
-from triploom.operators.dims import conform_dims
+from triploom.operators.dense_ids import Numbered, dense_ids
+from triploom.operators.dims import (
+    CT_KEYS, Conformed, StarDims, coord_time_map, lookup, point_members, read_members,
+    tuple_ids,
+)
 from triploom.operators.fact import trip_fact
-from triploom.session import scratch_scope
-from triploom.sources.csv_trips import read_trips
+from triploom.session import materialize, scratch_scope
+from triploom.sources.csv_trips import check_only_csv, list_files, read_trips
 from triploom.sources.warehouse import (
-    INGEST_LOG, init_warehouse, next_batch_id, path_exists, read_dims, read_table,
-    table_path, write_batch,
+    GROWING, INGEST_LOG, REJECTS, LogHead, init_warehouse, log_head, path_exists,
+    read_batch, read_dims, read_table, table_path, uncommit, write_batch,
 )
 
+# How far a file is when its batch has come so far (landing_progress).
+PERCENT = {"pending": 10, "coord_time": 60, "trip": 90, "ingest_log": 100}
+
 
 def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
            batch_id: int | None = None, origin: str = "batch",
-           origin_batch: int | None = None) -> int:
+           origin_batch: int | None = None, strict: bool = False) -> int:
     """Load one batch; ``source`` is a path (or list) of CSV files or a raw
-    trip DataFrame. Returns the batch id written."""
+    trip DataFrame. Returns the batch id written.
+
+    ``batch_id`` may name the last committed batch, which is then replaced,
+    or the next one; earlier batches can't be rewritten, because later ones
+    hold ids that follow from them. ``strict`` refuses folders with other
+    than CSV files.
+    """
     init_warehouse(spark, root)
-    raw = read_trips(spark, source, with_file=True,
-                     keep_malformed=on_error == "quarantine") \
-        if isinstance(source, (str, list)) else source
+    head = log_head(spark, root)
+    files = None
+    if isinstance(source, (str, list)):
+        if strict:
+            check_only_csv(spark, source)
+        files = list_files(spark, source)
+        raw = read_trips(spark, source, with_file=True, keep_malformed=on_error == "quarantine")
+    else:
+        raw = source
     if "source_file" not in raw.columns:
         raw = raw.withColumn("source_file", F.lit(None).cast("string"))
     if batch_id is None:
-        batch_id = next_batch_id(spark, root)
+        batch_id = head.batch_id + 1
+    if not head.batch_id <= batch_id <= head.batch_id + 1 or batch_id < 0:
+        raise ValueError(f"batch {batch_id} can't be written: the last one is {head.batch_id}")
+    if batch_id == head.batch_id:
+        uncommit(spark, root, batch_id)
+        head = log_head(spark, root)
     with scratch_scope(spark):
+        if files is not None:
+            write_batch(files, root, "pending", batch_id)
         cleaned = clean_trips(raw, on_error=on_error)
-        if on_error == "quarantine":
-            accepted, rejected = split_rejects(cleaned)
-            line = (F.col("_corrupt_record") if "_corrupt_record" in rejected.columns
-                    else F.lit(None).cast("string"))
-            write_batch(rejected.select("region", "origin_coord", "destination_coord",
-                                        "datetime", "datasource", "reject_reason",
-                                        line.alias("raw_line")),
-                        root, "rejects", batch_id)
-            accepted = accepted.drop("_corrupt_record")
-        else:
-            accepted = cleaned
-        # stored dimensions come from earlier committed batches only; the
-        # first batch of a warehouse grows empty ones
-        base = (read_dims(spark, root, before_batch=batch_id) if batch_id > 0
-                and not read_table(spark, root, "ingest_log").filter(
-                    F.col("batch_id") < batch_id).isEmpty() else None)
-        # one pass over the batch collects every member set and the per-file
-        # counts; a second pass (the fact write) joins the ids
-        conformed = conform_dims(cleaned, base)
-        added = conformed.added
-        # the four dimension partitions are independent jobs: submit them
-        # together (threads inherit this thread's job group and pool), and
-        # write the fact only once all of them are committed
-        write = inheritable_thread_target(spark)(write_batch)
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            done = [pool.submit(write, getattr(added, name).df, root, name, batch_id)
-                    for name in ("region", "datasource", "coord", "coord_time")]
-            for f in done:
-                f.result()
+        accepted, rejected = (split_rejects(cleaned) if on_error == "quarantine"
+                              else (cleaned, None))
+        write_batch(_reject_rows(spark, rejected), root, "rejects", batch_id)
+        m = read_members(cleaned)
+        conformed = _grow(spark, root, batch_id, head, m)
         write_batch(trip_fact(accepted, conformed), root, "trip", batch_id)
-        log = _log_rows(conformed, origin, batch_id if origin_batch is None else origin_batch)
+        log = _log_rows(m, conformed, files, origin,
+                        batch_id if origin_batch is None else origin_batch)
         write_batch(log, root, "ingest_log", batch_id)
     return batch_id
 
 
-def _log_rows(conformed, origin: str, origin_batch: int) -> DataFrame:
-    added = conformed.added
-    return conformed.file_counts.select(
+def _reject_rows(spark: SparkSession, rejected: DataFrame | None) -> DataFrame:
+    if rejected is None:
+        return spark.createDataFrame([], REJECTS)
+    line = (F.col("_corrupt_record") if "_corrupt_record" in rejected.columns
+            else F.lit(None).cast("string"))
+    return rejected.select("region", "origin_coord", "destination_coord", "datetime",
+                           "datasource", "reject_reason", line.alias("raw_line"))
+
+
+def _new_members(members: DataFrame, stored: Numbered, keys: list[str],
+                 at_most: int) -> DataFrame:
+    """Members that the stored dimension lacks, numbered after it."""
+    if stored.rows:
+        members = members.join(lookup(stored).select(*keys), keys, "left_anti")
+    return dense_ids(members, keys, at_most, start_after=stored.rows)
+
+
+def _grow(spark: SparkSession, root: str, batch_id: int, head: LogHead, m) -> Conformed:
+    """Write the batch's new members of each dimension and read them back."""
+    stored = read_dims(spark, root, head)
+    write = inheritable_thread_target(spark)(write_batch)
+    n_tuples = m.sizes["tuple"]
+    # three independent dimensions: their jobs are submitted together
+    # (threads inherit this thread's job group, pool and scratch scope)
+    new = {
+        "region": lambda: _new_members(m.names["region"], stored.region, ["description"],
+                                       m.sizes["region"]),
+        "datasource": lambda: _new_members(m.names["datasource"], stored.datasource,
+                                           ["description"], m.sizes["datasource"]),
+        "coord": lambda: _new_members(point_members(m.tuples), stored.coord, ["x", "y"],
+                                      2 * n_tuples)}
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        jobs = [pool.submit(contextvars.copy_context().run, lambda n=n, f=f: write(
+            f(), root, n, batch_id)) for n, f in new.items()]
+        for j in jobs:
+            j.result()
+    added = {n: read_batch(spark, root, n, batch_id) for n in new}
+    counts = added["region"].select(F.lit("region").alias("name"))
+    for n in ("datasource", "coord"):
+        counts = counts.unionAll(added[n].select(F.lit(n).alias("name")))
+    counts = {r["name"]: r["count"] for r in counts.groupBy("name").count().collect()}
+
+    def grown(name: str, n: int) -> Numbered:
+        base = getattr(stored, name)
+        rows = read_batch(spark, root, name, batch_id)
+        if base.rows:
+            rows = base.df.unionByName(rows)
+        return Numbered(rows, base.rows + n, base.rows + n)
+
+    dims = {n: grown(n, counts.get(n, 0)) for n in new}
+    ids = materialize(tuple_ids(m.tuples, dims["coord"], n_tuples), "tuple-ids")
+    write_batch(_new_members(ids.select(*CT_KEYS), stored.coord_time, CT_KEYS, n_tuples),
+                root, "coord_time", batch_id)
+    added["coord_time"] = read_batch(spark, root, "coord_time", batch_id)
+    counts["coord_time"] = added["coord_time"].count()
+    dims["coord_time"] = grown("coord_time", counts["coord_time"])
+    # read by the fact's join and, above the broadcast limit, by its salting
+    ct_map = materialize(coord_time_map(ids, dims["coord_time"]), "coord-time-map")
+    return Conformed(StarDims(**dims),
+                     StarDims(**{n: Numbered(added[n], counts.get(n, 0)) for n in GROWING}),
+                     Numbered(ct_map, n_tuples), m.file_counts, m.key_counts, m.total_rows)
+
+
+def _log_rows(m, conformed: Conformed, files: DataFrame | None, origin: str,
+              origin_batch: int) -> DataFrame:
+    """One row per source file, files without rows included; one row without
+    a file name when there is no file at all."""
+    counts = m.file_counts.select("source_file", "rows_in", "rows_rejected")
+    if files is not None:
+        counts = files.join(counts, "source_file", "left")
+    spark = counts.sparkSession
+    # a batch without any file still needs its commit row
+    one = spark.createDataFrame([(None, None, None)],
+                                "source_file string, rows_in long, rows_rejected long")
+    counts = counts.unionByName(one.withColumn("_pad", F.lit(True)), allowMissingColumns=True)
+    any_row = counts.agg(F.count_if(F.col("_pad").isNull())).first()[0]
+    counts = counts.filter(F.col("_pad").isNull() if any_row else F.lit(True)).drop("_pad")
+    size = lambda dims, n: F.lit(getattr(dims, n).rows).cast("long")
+    return counts.select(
         F.lit(origin).alias("origin"),
-        F.lit(origin_batch).cast("long").alias("origin_batch"),
-        "source_file", "rows_in", "rows_rejected",
-        F.lit(added.region.rows).cast("long").alias("new_regions"),
-        F.lit(added.datasource.rows).cast("long").alias("new_datasources"),
-        F.lit(added.coord.rows).cast("long").alias("new_coords"),
-        F.lit(added.coord_time.rows).cast("long").alias("new_coord_times"),
+        F.lit(origin_batch).cast("long").alias("origin_batch"), "source_file",
+        F.coalesce("rows_in", F.lit(0).cast("long")).alias("rows_in"),
+        F.coalesce("rows_rejected", F.lit(0).cast("long")).alias("rows_rejected"),
+        *[size(conformed.added, n).alias(f"new_{n}s") for n in GROWING],
+        *[size(conformed.dims, n).alias(f"total_{n}s") for n in GROWING],
         F.current_timestamp().alias("committed_at"))
 
 
@@ -96,27 +176,32 @@ def ingest_progress(spark: SparkSession, root: str) -> DataFrame:
     and the dimension members its batch added (100 % once listed)."""
     return (read_table(spark, root, "ingest_log")
             .select("batch_id", "origin", "origin_batch", "source_file", "rows_in",
-                    "rows_rejected", "new_regions", "new_datasources", "new_coords",
-                    "new_coord_times", "committed_at",
-                    F.lit(100).alias("percent"))
+                    "rows_rejected", *[f"new_{n}s" for n in GROWING], "committed_at",
+                    F.lit(PERCENT["ingest_log"]).alias("percent"))
             .orderBy("batch_id", "source_file"))
 
 
 def landing_progress(spark: SparkSession, landing: str, root: str) -> DataFrame:
     """Per CSV file now in the landing folder: 100 % with its batch and row
-    counts once committed, 0 % while it waits."""
-    if path_exists(spark, landing):
-        # Spark's file index lists the folder; selecting only the path
-        # prunes the file contents, so no file is read
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-                 .load(landing).select(F.col("path").alias("source_file")))
-    else:
-        files = spark.createDataFrame([], "source_file string")
-    key = lambda c: F.try_parse_url(F.col(c), F.lit("PATH"))
-    log = (read_table(spark, root, "ingest_log") if path_exists(
-        spark, table_path(root, "ingest_log")) else spark.createDataFrame([], INGEST_LOG))
-    log = log.select(key("source_file").alias("_k"), "batch_id", "rows_in", "rows_rejected")
-    return (files.withColumn("_k", key("source_file")).join(log, "_k", "left")
+    counts once committed; how far its batch is while that is loading; 0 %
+    while the file waits."""
+    none = "source_file string, batch_id long, rows_in long, rows_rejected long"
+    files = (list_files(spark, landing) if path_exists(spark, landing)
+             else spark.createDataFrame([], "source_file string"))
+    log, percent = spark.createDataFrame([], none), F.lit(0)
+    loading = spark.createDataFrame([], "source_file string")
+    if path_exists(spark, table_path(root, "ingest_log")):
+        log = spark.read.schema(INGEST_LOG).parquet(table_path(root, "ingest_log")).select(
+            "source_file", "batch_id", "rows_in", "rows_rejected")
+        now = log_head(spark, root).batch_id + 1
+        if path_exists(spark, f"{table_path(root, 'pending')}/batch_id={now}"):
+            loading = read_batch(spark, root, "pending", now)
+            percent = F.lit(max(p for n, p in PERCENT.items() if path_exists(
+                spark, f"{table_path(root, n)}/batch_id={now}/_SUCCESS")
+                or n == "pending"))
+    return (files.join(log, "source_file", "left")
+            .join(loading.withColumn("_loading", F.lit(True)), "source_file", "left")
             .select("source_file", "batch_id", "rows_in", "rows_rejected",
-                    F.when(F.col("batch_id").isNotNull(), 100).otherwise(0).alias("percent"))
+                    F.when(F.col("batch_id").isNotNull(), 100)
+                    .when(F.col("_loading"), percent).otherwise(0).alias("percent"))
             .orderBy("source_file"))

@@ -11,15 +11,16 @@ RAW_TRIP = T.StructType([
     T.StructField("datasource", T.StringType(), True),
 ])
 
+# Surrogate ids are BIGINT: coord_time has a member per point pair and range.
 REGION = T.StructType([
-    T.StructField("id", T.IntegerType(), False),
+    T.StructField("id", T.LongType(), False),
     T.StructField("description", T.StringType(), True),
 ])
 
 DATASOURCE = REGION
 
 COORD = T.StructType([
-    T.StructField("id", T.IntegerType(), False),
+    T.StructField("id", T.LongType(), False),
     T.StructField("x", T.DoubleType(), True),
     T.StructField("y", T.DoubleType(), True),
 ])
@@ -32,16 +33,16 @@ TIME_RANGE = T.StructType([
 ])
 
 COORD_TIME = T.StructType([
-    T.StructField("id", T.IntegerType(), False),
-    T.StructField("origin_coord_id", T.IntegerType(), True),
-    T.StructField("dest_coord_id", T.IntegerType(), True),
+    T.StructField("id", T.LongType(), False),
+    T.StructField("origin_coord_id", T.LongType(), True),
+    T.StructField("dest_coord_id", T.LongType(), True),
     T.StructField("time_range_id", T.IntegerType(), True),
 ])
 
 TRIP = T.StructType([
-    T.StructField("region_id", T.IntegerType(), True),
-    T.StructField("coord_time_id", T.IntegerType(), True),
-    T.StructField("datasource_id", T.IntegerType(), True),
+    T.StructField("region_id", T.LongType(), True),
+    T.StructField("coord_time_id", T.LongType(), True),
+    T.StructField("datasource_id", T.LongType(), True),
     T.StructField("datetime", T.TimestampNTZType(), True),
 ])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,17 @@ CSV_OPTIONS = {
 CORRUPT = "_corrupt_record"
 
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def list_files(spark: SparkSession, path) -> DataFrame:
+    """(source_file): the CSV files under ``path``, spelled like the file
+    path of :func:`read_trips`. Only the listing is read, not the files."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(paths)
+            .select(F.col("_metadata.file_path").alias("source_file")).distinct())
+
+
 def read_trips(spark: SparkSession, path, with_file: bool = False,
                strict: bool = False, keep_malformed: bool = False) -> DataFrame:
     """Read every ``*.csv`` under ``path`` (a folder, file or list of them).
@@ -32,7 +45,7 @@ def read_trips(spark: SparkSession, path, with_file: bool = False,
     """
     paths = [path] if isinstance(path, str) else list(path)
     if strict:
-        _check_only_csv(spark, paths)
+        check_only_csv(spark, paths)
     reader = spark.read.options(**CSV_OPTIONS)
     if keep_malformed:
         schema = T.StructType(RAW_TRIP.fields + [T.StructField(CORRUPT, T.StringType())])
@@ -45,24 +58,48 @@ def read_trips(spark: SparkSession, path, with_file: bool = False,
     return df
 
 
-def stream_trips(spark: SparkSession, path: str, clean_source: str = "off",
+def literal_path(path: str) -> str:
+    """``path`` with the characters that a reader takes for patterns escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _stream(reader, clean_source: str, archive_dir: str | None,
+            max_files_per_trigger: int | None):
+    reader = reader.option("pathGlobFilter", "*.csv").option("cleanSource", clean_source)
+    if archive_dir:
+        reader = reader.option("sourceArchiveDir", archive_dir)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader
+
+
+def stream_files(spark: SparkSession, path: str, clean_source: str = "off",
                  archive_dir: str | None = None,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """The same files as an incremental stream; each file is read once.
+    """The paths of new CSV files as an incremental stream, each once, files
+    without rows included; the files themselves aren't read.
 
     ``clean_source``: ``off`` leaves files in place, ``delete`` removes and
     ``archive`` moves them after they have been committed.
     """
-    reader = (spark.readStream.schema(RAW_TRIP).options(**CSV_OPTIONS)
-              .option("cleanSource", clean_source))
-    if archive_dir:
-        reader = reader.option("sourceArchiveDir", archive_dir)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(path).withColumn("source_file", F.col("_metadata.file_path"))
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+    return _stream(reader, clean_source, archive_dir, max_files_per_trigger).load(path).select(
+        "path")
+
+
+def stream_trips(spark: SparkSession, path: str, clean_source: str = "off",
+                 archive_dir: str | None = None,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """The trips of new CSV files as an incremental stream; each file is read
+    once."""
+    reader = spark.readStream.schema(RAW_TRIP).options(**CSV_OPTIONS)
+    return _stream(reader, clean_source, archive_dir, max_files_per_trigger).csv(
+        path).withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def _check_only_csv(spark: SparkSession, paths: list[str]) -> None:
+def check_only_csv(spark: SparkSession, paths) -> None:
+    """Fail when a folder of ``paths`` (or one of the files) isn't CSV."""
+    paths = [paths] if isinstance(paths, str) else paths
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:

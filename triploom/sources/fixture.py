@@ -79,3 +79,10 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(region, nation.n_regionkey == region.r_regionkey)
             .select(F.col("r_name").alias("region"),
                     F.col("o_orderdate").cast("timestamp_ntz").alias("datetime")))
+
+
+def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(x, y) of every line item: its order's and its part's key as a point."""
+    items = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    return items.select(F.col("l_orderkey").cast("double").alias("x"),
+                        F.col("l_partkey").cast("double").alias("y"))

@@ -1,18 +1,20 @@
 """The star tables on storage: one Parquet folder per table under a root.
 
-Dimension and fact tables are partitioned by ``batch_id``: every ingest
-batch writes its new dimension members and its fact rows into its own
-partition, with dynamic partition overwrite. Writing a batch again (a
-replay after a failure) replaces exactly that batch's partitions, and a
-batch reads the stored dimensions only from earlier batches, so a replay
-produces the same rows. ``time_range`` is seeded once, unpartitioned.
-``ingest_log`` holds one row per (batch, source file).
+Every ingest batch writes its new dimension members, fact rows and rejects
+into a folder ``batch_id=<n>`` of each table, replacing that folder whole,
+also with no rows. ``ingest_log`` holds one row per (batch, source file) and
+is written last: it is the commit record. Batch ids are handed out in
+order and a failed batch's id is used again, so the committed batches are
+exactly those up to the log's largest id, and a read keeps the partitions up
+to that one number: no join, and nothing of other partitions is scanned.
+One writer at a time is assumed. ``time_range`` is seeded once,
+unpartitioned.
 """
 
 from __future__ import annotations
 
 import os
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ from triploom.operators.dims import StarDims
 from triploom.operators.time_range import time_range_dim
 
 BATCHED = ("region", "datasource", "coord", "coord_time", "trip")
+GROWING = ("region", "datasource", "coord", "coord_time")
 
 INGEST_LOG = T.StructType([
     T.StructField("batch_id", T.LongType(), False),
@@ -32,13 +35,15 @@ INGEST_LOG = T.StructType([
     T.StructField("source_file", T.StringType(), True),
     T.StructField("rows_in", T.LongType(), True),
     T.StructField("rows_rejected", T.LongType(), True),
-    T.StructField("new_regions", T.LongType(), True),
-    T.StructField("new_datasources", T.LongType(), True),
-    T.StructField("new_coords", T.LongType(), True),
-    T.StructField("new_coord_times", T.LongType(), True),
+    *[T.StructField(f"new_{n}s", T.LongType(), True) for n in GROWING],
+    # members after the batch: sizes of the dimensions and their largest ids
+    *[T.StructField(f"total_{n}s", T.LongType(), True) for n in GROWING],
     T.StructField("committed_at", T.TimestampType(), True),
 ])
 
+PENDING = T.StructType([T.StructField("batch_id", T.LongType(), False),
+                        T.StructField("source_file", T.StringType(), True)])
+
 REJECTS = T.StructType(S.RAW_TRIP.fields + [
     T.StructField("reject_reason", T.StringType(), True),
     T.StructField("raw_line", T.StringType(), True),
@@ -49,10 +54,18 @@ def _with_batch(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField("batch_id", T.LongType(), True)])
 
 
+SCHEMAS = {**{n: _with_batch(S.STAR_TABLES[n]) for n in BATCHED},
+           "rejects": _with_batch(REJECTS), "ingest_log": INGEST_LOG, "pending": PENDING}
+
+
 def table_path(root: str, name: str) -> str:
     return os.path.join(root, name)
 
 
+def batch_path(root: str, name: str, batch_id: int) -> str:
+    return os.path.join(root, name, f"batch_id={batch_id}")
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -65,86 +78,90 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-_exists = path_exists
-
-
 def _create_empty(spark: SparkSession, path: str) -> None:
     """An empty table is an empty folder; every read passes its schema."""
     fs, hpath = _fs(spark, path)
     fs.mkdirs(hpath)
 
 
-def init_warehouse(spark: SparkSession, root: str) -> dict[str, tuple[bool, str]]:
+def init_warehouse(spark: SparkSession, root: str) -> dict[str, bool]:
     """Create the tables that do not exist yet; seed ``time_range`` when it
-    is created. Returns ``{table: (created, message)}``."""
+    is created. Returns whether each star table was created."""
     out = {}
-    for name, schema in S.STAR_TABLES.items():
+    for name in S.STAR_TABLES:
         path = table_path(root, name)
-        if _exists(spark, path):
-            out[name] = (False, f"Table {name} already exists.")
-            continue
-        if name == "time_range":
+        out[name] = not path_exists(spark, path)
+        if out[name] and name == "time_range":
             time_range_dim(spark).coalesce(1).write.parquet(path)
-        else:
-            _create_empty(spark, path)
-        out[name] = (True, f"Table {name} was created successfully.")
-    for name in ("ingest_log", "rejects"):
-        path = table_path(root, name)
-        if not _exists(spark, path):
+        elif out[name]:
             _create_empty(spark, path)
+    for name in ("ingest_log", "rejects", "pending"):
+        if not path_exists(spark, table_path(root, name)):
+            _create_empty(spark, table_path(root, name))
     return out
 
 
-def read_table(spark: SparkSession, root: str, name: str,
-               before_batch: int | None = None, committed_only: bool = True) -> DataFrame:
-    """A star table; with ``before_batch``, only rows of earlier batches.
+def _log(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(INGEST_LOG).parquet(table_path(root, "ingest_log"))
+
 
-    The ingest log is the commit record: a batch's partitions count only
-    once its log rows are written, which is the last step of a batch. So a
-    batch that failed half-way (or is still being written) is invisible,
-    and its partitions are overwritten by the next batch, which gets the
-    same id. The filter is a semi-join on ``batch_id``, which also lets
-    dynamic partition pruning skip such partitions.
-    """
+@dataclass(frozen=True)
+class LogHead:
+    """The last committed batch (-1: none) and the dimension sizes after it."""
+
+    batch_id: int
+    totals: dict[str, int]
+
+
+def log_head(spark: SparkSession, root: str) -> LogHead:
+    totals = [f"total_{n}s" for n in GROWING]
+    head = _log(spark, root).agg(F.max(F.struct("batch_id", *totals)).alias("h")).first()["h"]
+    if head is None:
+        return LogHead(-1, dict.fromkeys(GROWING, 0))
+    return LogHead(head["batch_id"], {n: head[f"total_{n}s"] or 0 for n in GROWING})
+
+
+def read_table(spark: SparkSession, root: str, name: str, before_batch: int | None = None,
+               committed_only: bool = True, head: LogHead | None = None) -> DataFrame:
+    """A star table, with the rows of committed batches; with
+    ``before_batch``, only of earlier ones. ``head`` saves reading the log."""
     if name == "time_range":
         return spark.read.schema(S.TIME_RANGE).parquet(table_path(root, name))
-    schema = INGEST_LOG if name == "ingest_log" else _with_batch(
-        REJECTS if name == "rejects" else S.STAR_TABLES[name])
-    df = spark.read.schema(schema).parquet(table_path(root, name))
+    df = spark.read.schema(SCHEMAS[name]).parquet(table_path(root, name))
     if before_batch is not None:
         df = df.filter(F.col("batch_id") < before_batch)
     if committed_only and name != "ingest_log":
-        df = df.join(committed_batches(spark, root), "batch_id", "left_semi")
+        last = (head or log_head(spark, root)).batch_id
+        df = df.filter(F.col("batch_id") <= last)
     return df
 
 
-def committed_batches(spark: SparkSession, root: str) -> DataFrame:
-    """Ids of the batches whose log rows are written."""
-    return (spark.read.schema(INGEST_LOG).parquet(table_path(root, "ingest_log"))
-            .select("batch_id").distinct())
+def read_dims(spark: SparkSession, root: str, head: LogHead | None = None) -> StarDims:
+    """The four growing dimensions with their sizes, which the log holds (ids
+    are dense, so a size is the largest id, too)."""
+    head = head or log_head(spark, root)
+    return StarDims(**{n: Numbered(
+        read_table(spark, root, n, head=head).drop("batch_id"), head.totals[n],
+        head.totals[n]) for n in GROWING})
 
 
-def read_dims(spark: SparkSession, root: str,
-              before_batch: int | None = None) -> StarDims:
-    """The four growing dimensions with their exact row counts and largest
-    ids, all four measured by one job."""
-    names = ("region", "datasource", "coord", "coord_time")
-    frames = {n: read_table(spark, root, n, before_batch).drop("batch_id") for n in names}
-    stats = reduce(DataFrame.unionByName, [
-        df.agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("rows"),
-               F.max("id").alias("max_id")) for n, df in frames.items()])
-    got = {r["name"]: (r["rows"], r["max_id"]) for r in stats.collect()}
-    return StarDims(**{n: Numbered(frames[n], *got[n]) for n in names})
+def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
+    """Replace what a table has of a batch by ``df``, which may be empty."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .parquet(batch_path(root, name, batch_id)))
 
 
-def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
-    """Write (or replace) the partition ``batch_id`` of a table."""
-    (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-       .write.mode("overwrite").partitionBy("batch_id")
-       .option("partitionOverwriteMode", "dynamic")
-       .parquet(table_path(root, name)))
+def read_batch(spark: SparkSession, root: str, name: str, batch_id: int) -> DataFrame:
+    """What one batch wrote, committed or not."""
+    fields = [f for f in SCHEMAS[name].fields if f.name != "batch_id"]
+    return spark.read.schema(T.StructType(fields)).parquet(batch_path(root, name, batch_id))
+
+
+def uncommit(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Take back the commit of a batch that is about to be rewritten."""
+    fs, hpath = _fs(spark, batch_path(root, "ingest_log", batch_id))
+    fs.delete(hpath, True)
 
 
 def next_batch_id(spark: SparkSession, root: str) -> int:
-    last = read_table(spark, root, "ingest_log").agg(F.max("batch_id")).first()[0]
-    return 0 if last is None else last + 1
+    return log_head(spark, root).batch_id + 1

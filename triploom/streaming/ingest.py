@@ -1,25 +1,35 @@
 """Load-once ingest of a landing folder with Structured Streaming.
 
-The file source remembers which files it has read (in the query's
-checkpoint), so each file is loaded once, however often the job runs;
-``trigger(availableNow=True)`` processes what has landed and stops. Each
-micro-batch is loaded by :func:`triploom.plans.ingest.ingest` inside
-``foreachBatch``. ``foreachBatch`` is at-least-once: a micro-batch that is
-replayed after a failure maps to the same warehouse batch id (looked up in
-the ingest log by query origin and epoch) and overwrites the same
-partitions, so the tables end up as if it had run once.
+The stream carries the paths of new files: the file source remembers which
+files it has handed out (in the query's checkpoint), so each file is loaded
+once, however often the job runs; ``trigger(availableNow=True)`` processes
+what has landed and stops. Each micro-batch's files are loaded by
+:func:`triploom.plans.ingest.ingest` inside ``foreachBatch``, with the same
+reader as a batch load, so malformed lines and files without rows are
+treated alike in both.
+
+``foreachBatch`` is at-least-once: a micro-batch that is replayed after a
+failure is looked up in the ingest log by the query's id and its epoch, and
+replaces that batch. The id is made by Spark for each new checkpoint and
+kept in it, so a new checkpoint at an old path, or another spelling of the
+same path, can't be mistaken for another query. Only the latest batch can be
+replaced; an older one is refused.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from triploom.plans.ingest import ingest
-from triploom.sources.csv_trips import stream_trips
+from triploom.sources.csv_trips import check_only_csv, literal_path, stream_files
 from triploom.sources.warehouse import init_warehouse, next_batch_id, read_table
 
+START_SECONDS = 60
+
 
 def _batch_for(spark: SparkSession, root: str, origin: str, epoch: int) -> int:
     seen = (read_table(spark, root, "ingest_log")
@@ -33,22 +43,34 @@ def stream_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str,
                   processing_time: str | None = None, clean_source: str = "off",
                   archive_dir: str | None = None,
                   max_files_per_trigger: int | None = None,
-                  name: str | None = None) -> StreamingQuery:
+                  name: str | None = None, strict: bool = False) -> StreamingQuery:
     """Start the landing-folder stream; returns the running query.
 
     ``clean_source="delete"``/``"archive"`` removes or moves files after
     they are committed (the file source does this in a later micro-batch).
+    ``strict`` refuses a landing folder that holds other than CSV files.
     """
     init_warehouse(spark, root)
-    origin = f"stream:{checkpoint}"
+    if strict:
+        check_only_csv(spark, landing)
+    query_id: list[str] = []
+    started = threading.Event()
 
     def load(batch: DataFrame, epoch: int) -> None:
         bspark = batch.sparkSession
-        batch_id = _batch_for(bspark, root, origin, epoch)
-        ingest(bspark, batch, root, on_error=on_error, batch_id=batch_id,
-               origin=origin, origin_batch=epoch)
+        if not started.wait(START_SECONDS):
+            raise RuntimeError("the query's id is not known")
+        if strict:
+            check_only_csv(bspark, landing)
+        # file names of one micro-batch: bounded by max_files_per_trigger
+        paths = [literal_path(r["path"]) for r in batch.collect()]
+        if not paths:
+            return
+        origin = f"stream:{query_id[0]}"
+        ingest(bspark, paths, root, on_error=on_error, origin=origin, origin_batch=epoch,
+               batch_id=_batch_for(bspark, root, origin, epoch))
 
-    writer = (stream_trips(spark, landing, clean_source=clean_source,
+    writer = (stream_files(spark, landing, clean_source=clean_source,
                            archive_dir=archive_dir,
                            max_files_per_trigger=max_files_per_trigger)
               .writeStream.foreachBatch(load)
@@ -59,4 +81,7 @@ def stream_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str,
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    query = writer.start()
+    query_id.append(str(query.id))
+    started.set()
+    return query

@@ -4,16 +4,24 @@ The batch metrics are recomputed from the stored fact, so a late trip only
 changes its week at the next query. This module keeps the weekly counts
 current while files land: a Structured Streaming aggregation over 7-day
 tumbling windows that start on Monday 00:00 (epoch day 0 was a Thursday,
-hence the 4-day offset), with a watermark on the trip time so that the
-state of closed weeks is dropped. Results go out in ``update`` mode: each
-micro-batch appends the changed (region, week) rows, each carrying the
-full running count, to a changelog partitioned by epoch (overwritten on
-replay); the current view keeps the latest row per group. The state
-holds one row per (region, open week), not per trip.
+hence the 4-day offset). There is no watermark: a trip counts however late
+its file lands. The state is one row per (region, week) ever seen, a few
+thousand rows for decades of trips, not one per trip, so no row needs to be
+given up to bound it.
+
+Results go out in ``update`` mode: each micro-batch writes the changed
+(region, week) rows, each with the full running count, into a folder
+``query=<id>/epoch=<n>`` of a changelog, which a replay replaces. The id is
+the query's, kept in its checkpoint, so a new checkpoint starts a changelog
+of its own. The current view is the latest row per group of the query that
+wrote last.
 """
 
 from __future__ import annotations
 
+import os
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +32,9 @@ from triploom.sources.warehouse import path_exists
 
 WEEK = "7 days"
 MONDAY_OFFSET = "4 days"
+STATE_PARTITIONS = 8
+START_SECONDS = 60
+CHANGES = "region string, week_start timestamp_ntz, num_trips long, written_at timestamp"
 
 
 def _as_instant(ntz, zone: str):
@@ -35,14 +46,12 @@ def _as_wall_clock(ts, zone: str):
     return F.convert_timezone(F.lit(zone), F.lit("UTC"), ts.cast("timestamp_ntz"))
 
 
-def weekly_counts_stream(trips: DataFrame, watermark: str = "14 days",
-                         group_col: str = "region") -> DataFrame:
+def weekly_counts_stream(trips: DataFrame, group_col: str = "region") -> DataFrame:
     """(region, week_start, num_trips) per Monday-to-Sunday week of a stream
-    of cleaned trips. Trips later than the watermark are not counted."""
+    of cleaned trips; every trip counts, late ones too."""
     zone = trips.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
     return (trips.filter(F.col(group_col).isNotNull())
             .withColumn("_event_time", _as_instant(F.col("datetime"), zone))
-            .withWatermark("_event_time", watermark)
             .groupBy(F.window("_event_time", WEEK, startTime=MONDAY_OFFSET).alias("_w"),
                      F.col(group_col))
             .agg(F.count(F.lit(1)).alias("num_trips"))
@@ -52,22 +61,24 @@ def weekly_counts_stream(trips: DataFrame, watermark: str = "14 days",
 
 
 def start_weekly_counts(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                        watermark: str = "14 days", available_now: bool = True,
-                        processing_time: str | None = None,
-                        state_partitions: int | None = None) -> StreamingQuery:
+                        available_now: bool = True, processing_time: str | None = None,
+                        state_partitions: int = STATE_PARTITIONS) -> StreamingQuery:
     """Keep ``out`` (a changelog table) up to date from the landing folder.
 
     ``state_partitions`` sets the number of state-store partitions when the
     query first starts (it is then fixed by the checkpoint). The state is
-    one row per (region, open week), so a few partitions fit any input
-    size; the session's shuffle partition count is used when not given.
+    one row per (region, week), so a few partitions fit any input size.
     """
-    counts = weekly_counts_stream(clean_trips(stream_trips(spark, landing)), watermark)
+    counts = weekly_counts_stream(clean_trips(stream_trips(spark, landing)))
+    query_id: list[str] = []
+    started = threading.Event()
 
     def write(batch: DataFrame, epoch: int) -> None:
-        (batch.withColumn("epoch", F.lit(epoch).cast("long"))
-         .write.mode("overwrite").partitionBy("epoch")
-         .option("partitionOverwriteMode", "dynamic").parquet(out))
+        if not started.wait(START_SECONDS):
+            raise RuntimeError("the query's id is not known")
+        (batch.withColumn("written_at", F.current_timestamp())
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(os.path.join(out, f"query={query_id[0]}", f"epoch={epoch}")))
 
     writer = (counts.writeStream.outputMode("update").foreachBatch(write)
               .option("checkpointLocation", checkpoint))
@@ -75,22 +86,24 @@ def start_weekly_counts(spark: SparkSession, landing: str, out: str, checkpoint:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    if state_partitions is None:
-        return writer.start()
     key = "spark.sql.shuffle.partitions"
     saved = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions))
     try:
-        return writer.start()
+        query = writer.start()
     finally:
         spark.conf.set(key, saved)
+    query_id.append(str(query.id))
+    started.set()
+    return query
 
 
 def current_weekly_counts(spark: SparkSession, out: str) -> DataFrame:
     """The latest count of every (region, week) in the changelog."""
-    schema = "region string, week_start timestamp_ntz, num_trips long, epoch long"
     if not path_exists(spark, out):
-        return spark.createDataFrame([], schema).drop("epoch")
-    log = spark.read.schema(schema).parquet(out)
-    return (log.groupBy("region", "week_start")
+        return spark.createDataFrame([], CHANGES).drop("written_at")
+    log = spark.read.schema(CHANGES + ", query string, epoch long").parquet(out)
+    # queries over this changelog: one per checkpoint
+    last = log.agg(F.max_by("query", "written_at")).first()[0]
+    return (log.filter(F.col("query") == F.lit(last)).groupBy("region", "week_start")
             .agg(F.max_by("num_trips", "epoch").alias("num_trips")))
