@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triploom.llm.hashing import mix, word_hashes
-from triploom.session import materialize
+from triploom.session import materialize, scratch_scope
 
 LEAST = 50      # words of the shortest passage
 ANCHOR = 17     # words of an anchor; LEAST - ANCHOR + 1 anchors a window
@@ -123,18 +123,23 @@ def _stretches(docs: DataFrame, least: int) -> DataFrame:
     words that its windows cover, and the hashes of the windows."""
     def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
+            out, columns = [], ["uid", "doc_id", "lo", "r1", "r2", "windows"]
             for words, uid, doc, lows, highs in zip(word_hashes(list(b["text"]), lower=False),
                                                     b["uid"], b["doc_id"], b["lo"], b["hi"]):
                 windows = run_hashes(words, least)
-                for lo, hi in sorted(set(zip(lows, highs))):
-                    own = windows[lo:hi + 1]
-                    places = mix(np.arange(1, len(own) + 1, dtype=_U))
-                    one = np.bitwise_xor.reduce(mix(own ^ places))
-                    two = np.add.reduce(mix(own + places * _LEFT))
-                    out.append((uid, doc, lo, int(one.view(np.int64)), int(two.view(np.int64)),
-                                own.view(np.int64)))
-            yield pd.DataFrame(out, columns=["uid", "doc_id", "lo", "r1", "r2", "windows"])
+                # the windows of all stretches, one after another
+                ends = np.unique(np.stack([lows, highs], axis=1), axis=0)
+                n = ends[:, 1] - ends[:, 0] + 1
+                first = np.cumsum(n) - n
+                place = np.arange(int(n.sum())) - np.repeat(first, n)
+                own = windows[np.repeat(ends[:, 0], n) + place]
+                places = mix((place + 1).astype(_U))
+                one = np.bitwise_xor.reduceat(mix(own ^ places), first).view(np.int64)
+                two = np.add.reduceat(mix(own + places * _LEFT), first).view(np.int64)
+                out.append(pd.DataFrame({
+                    "uid": uid, "doc_id": doc, "lo": ends[:, 0], "r1": one, "r2": two,
+                    "windows": np.split(own.view(np.int64), first[1:])}))
+            yield pd.concat(out) if out else pd.DataFrame(columns=columns)
 
     return docs.mapInPandas(extend, "uid long, doc_id long, lo long, r1 long, r2 long, "
                                     "windows array<long>")
@@ -167,12 +172,14 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text")) \
         .withColumn("uid", F.xxhash64("doc_id", "text"))
-    suffixes = materialize(_suffixes(docs.select("uid", "text"), least, anchor), "suffixes")
-    keys = ["head", "next", "uid", "pos"]
-    candidates = (suffixes.repartitionByRange(*keys).sortWithinPartitions(*keys)
-                  .mapInPandas(_neighbours, "uid long, lo long, hi long"))
-    per_text = candidates.groupBy("uid").agg(F.collect_list("lo").alias("lo"),
-                                             F.collect_list("hi").alias("hi"))
+    with scratch_scope(docs.sparkSession) as scratch:
+        suffixes = materialize(_suffixes(docs.select("uid", "text"), least, anchor), "suffixes")
+        keys = ["head", "next", "uid", "pos"]
+        candidates = (suffixes.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                      .mapInPandas(_neighbours, "uid long, lo long, hi long"))
+        per_text = materialize(candidates.groupBy("uid").agg(
+            F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi")), "candidates")
+        scratch.pop()   # only the candidates stay
     found = materialize(_stretches(docs.join(per_text, "uid"), least), "stretches")
 
     stretch = materialize(found.groupBy("r1", "r2").agg(
