@@ -593,9 +593,15 @@ KIND_OF_TOKEN[_MARK] = _MARK
 def train(pages: DataFrame, html_col: str = "html", id_col: str = "page_id",
           sample_pages: int = SAMPLE_PAGES) -> Trees | None:
     """Trees from the sampled pages; None if there is nothing to learn."""
-    drawn = (pages.select(F.xxhash64(id_col).alias("draw"), F.col(html_col).alias("html"))
-             .filter("html is not null").orderBy("draw", "html").limit(sample_pages))
-    x, y, w = training_rows([r["html"] for r in drawn.select("html").collect()])
+    draws = pages.filter(F.col(html_col).isNotNull()).select(
+        F.xxhash64(id_col).alias("draw"), F.col(html_col).alias("html"))
+    # the sample's largest draw first, from the ids alone: no page travels
+    # to the driver that isn't in the sample
+    last = draws.select("draw").orderBy("draw").limit(sample_pages).agg(F.max("draw")).first()[0]
+    if last is None:
+        return None
+    drawn = draws.filter(F.col("draw") <= last).limit(2 * sample_pages).collect()
+    x, y, w = training_rows([r["html"] for r in sorted(drawn)])
     if not len(y) or y.min() == y.max():
         return None
     return train_trees(x, y, w / w.mean())
