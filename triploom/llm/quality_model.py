@@ -162,11 +162,12 @@ def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS,
     labelled = rows.filter("_c_label is not null").withColumn("_c_draw", draw)
     total = labelled.count()
     # samples by ranges of the hash, then bounded
-    upto = lambda n: -2**63 + int(2**64 * min(1.0, n / max(total, 1)))
+    upto = lambda n: min(-2**63 + int(2**64 * min(1.0, n / max(total, 1))),
+                         2**63 - 1)
     if total <= sample_rows + calibration_rows:
         sample_rows, calibration_rows = -(-total * 2 // 3), total // 3
     cut = upto(sample_rows)
-    end = min(upto(sample_rows + calibration_rows), 2**63 - 1)
+    end = upto(sample_rows + calibration_rows)
     fit = _rows(labelled.filter(F.col("_c_draw") < cut).limit(2 * sample_rows + 1), columns)
     held = _rows(labelled.filter((F.col("_c_draw") >= cut) & (F.col("_c_draw") <= end))
                  .limit(2 * calibration_rows + 1), columns)
