@@ -447,3 +447,17 @@ def test_second_batch_runs_few_jobs(spark, workdir):
         spark.sparkContext.setJobGroup("", "")
     print("jobs", len(jobs))
     assert len(jobs) <= 45
+
+
+def test_a_member_that_occurs_twice_fails_before_the_commit(spark, workdir, monkeypatch):
+    import triploom.plans.ingest as I
+
+    root = os.path.join(workdir, "wh")
+    df = spark.createDataFrame([("A", pt(1, 2), pt(3, 4), T, "s")], RAW_COLS)
+    ingest(spark, df, root)
+    real = I._new_members
+    monkeypatch.setattr(I, "_new_members", lambda m, *a: real(m.union(m), *a))
+    with pytest.raises(ValueError):
+        ingest(spark, df.withColumn("region", F.lit("B")), root)
+    assert read_table(spark, root, "trip").count() == 1
+    assert read_table(spark, root, "region").count() == 1

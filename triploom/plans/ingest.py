@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import contextvars
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +27,12 @@ from triploom.operators.dims import (
     tuple_ids,
 )
 from triploom.operators.fact import trip_fact
+from triploom.schema import DIM_KEYS
 from triploom.session import materialize, scratch_scope
 from triploom.sources.csv_trips import check_only_csv, list_files, read_trips
 from triploom.sources.warehouse import (
-    GROWING, INGEST_LOG, REJECTS, LogHead, init_warehouse, log_head, path_exists,
-    read_batch, read_dims, read_table, table_path, uncommit, write_batch,
+    GROWING, INGEST_LOG, LogHead, clear_batch, init_warehouse, log_head, path_exists,
+    read_batch, read_dims, read_table, table_path, write_batch,
 )
 
 # How far a file is when its batch has come so far (landing_progress).
@@ -65,7 +67,7 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
     if not head.batch_id <= batch_id <= head.batch_id + 1 or batch_id < 0:
         raise ValueError(f"batch {batch_id} can't be written: the last one is {head.batch_id}")
     if batch_id == head.batch_id:
-        uncommit(spark, root, batch_id)
+        clear_batch(spark, root, "ingest_log", batch_id)   # takes the commit back
         head = log_head(spark, root)
     with scratch_scope(spark):
         if files is not None:
@@ -73,7 +75,10 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
         cleaned = clean_trips(raw, on_error=on_error)
         accepted, rejected = (split_rejects(cleaned) if on_error == "quarantine"
                               else (cleaned, None))
-        write_batch(_reject_rows(spark, rejected), root, "rejects", batch_id)
+        if rejected is None:
+            clear_batch(spark, root, "rejects", batch_id)
+        else:
+            write_batch(_reject_rows(rejected), root, "rejects", batch_id)
         m = read_members(cleaned)
         conformed = _grow(spark, root, batch_id, head, m)
         write_batch(trip_fact(accepted, conformed), root, "trip", batch_id)
@@ -83,9 +88,7 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
     return batch_id
 
 
-def _reject_rows(spark: SparkSession, rejected: DataFrame | None) -> DataFrame:
-    if rejected is None:
-        return spark.createDataFrame([], REJECTS)
+def _reject_rows(rejected: DataFrame) -> DataFrame:
     line = (F.col("_corrupt_record") if "_corrupt_record" in rejected.columns
             else F.lit(None).cast("string"))
     return rejected.select("region", "origin_coord", "destination_coord", "datetime",
@@ -100,6 +103,20 @@ def _new_members(members: DataFrame, stored: Numbered, keys: list[str],
     return dense_ids(members, keys, at_most, start_after=stored.rows)
 
 
+def _checked_counts(added: dict[str, DataFrame]) -> dict[str, int]:
+    """Rows per dimension that a batch adds, in one job. A key that occurs
+    twice would multiply trips in every join, so it fails the batch before
+    the commit."""
+    rows = [df.select(F.lit(n).alias("name"), F.struct(*DIM_KEYS[n]).cast("string").alias("key"))
+            for n, df in added.items()]
+    found = reduce(DataFrame.unionAll, rows).groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("key").alias("keys")).collect()
+    bad = [r["name"] for r in found if r["n"] != r["keys"]]
+    if bad:
+        raise ValueError(f"members occur twice in {bad}")
+    return {r["name"]: r["n"] for r in found}
+
+
 def _grow(spark: SparkSession, root: str, batch_id: int, head: LogHead, m) -> Conformed:
     """Write the batch's new members of each dimension and read them back."""
     stored = read_dims(spark, root, head)
@@ -120,10 +137,7 @@ def _grow(spark: SparkSession, root: str, batch_id: int, head: LogHead, m) -> Co
         for j in jobs:
             j.result()
     added = {n: read_batch(spark, root, n, batch_id) for n in new}
-    counts = added["region"].select(F.lit("region").alias("name"))
-    for n in ("datasource", "coord"):
-        counts = counts.unionAll(added[n].select(F.lit(n).alias("name")))
-    counts = {r["name"]: r["count"] for r in counts.groupBy("name").count().collect()}
+    counts = _checked_counts(added)
 
     def grown(name: str, n: int) -> Numbered:
         base = getattr(stored, name)
@@ -137,8 +151,8 @@ def _grow(spark: SparkSession, root: str, batch_id: int, head: LogHead, m) -> Co
     write_batch(_new_members(ids.select(*CT_KEYS), stored.coord_time, CT_KEYS, n_tuples),
                 root, "coord_time", batch_id)
     added["coord_time"] = read_batch(spark, root, "coord_time", batch_id)
-    counts["coord_time"] = added["coord_time"].count()
-    dims["coord_time"] = grown("coord_time", counts["coord_time"])
+    counts |= _checked_counts({"coord_time": added["coord_time"]})
+    dims["coord_time"] = grown("coord_time", counts.get("coord_time", 0))
     # read by the fact's join and, above the broadcast limit, by its salting
     ct_map = materialize(coord_time_map(ids, dims["coord_time"]), "coord-time-map")
     return Conformed(StarDims(**dims),
@@ -153,13 +167,10 @@ def _log_rows(m, conformed: Conformed, files: DataFrame | None, origin: str,
     counts = m.file_counts.select("source_file", "rows_in", "rows_rejected")
     if files is not None:
         counts = files.join(counts, "source_file", "left")
-    spark = counts.sparkSession
-    # a batch without any file still needs its commit row
-    one = spark.createDataFrame([(None, None, None)],
-                                "source_file string, rows_in long, rows_rejected long")
-    counts = counts.unionByName(one.withColumn("_pad", F.lit(True)), allowMissingColumns=True)
-    any_row = counts.agg(F.count_if(F.col("_pad").isNull())).first()[0]
-    counts = counts.filter(F.col("_pad").isNull() if any_row else F.lit(True)).drop("_pad")
+    if not m.total_rows and (files is None or files.isEmpty()):
+        # a batch without any file still needs its commit row
+        counts = counts.sparkSession.createDataFrame(
+            [(None, 0, 0)], "source_file string, rows_in long, rows_rejected long")
     size = lambda dims, n: F.lit(getattr(dims, n).rows).cast("long")
     return counts.select(
         F.lit(origin).alias("origin"),

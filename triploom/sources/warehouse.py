@@ -157,9 +157,9 @@ def read_batch(spark: SparkSession, root: str, name: str, batch_id: int) -> Data
     return spark.read.schema(T.StructType(fields)).parquet(batch_path(root, name, batch_id))
 
 
-def uncommit(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Take back the commit of a batch that is about to be rewritten."""
-    fs, hpath = _fs(spark, batch_path(root, "ingest_log", batch_id))
+def clear_batch(spark: SparkSession, root: str, name: str, batch_id: int) -> None:
+    """Remove what a table has of a batch."""
+    fs, hpath = _fs(spark, batch_path(root, name, batch_id))
     fs.delete(hpath, True)
 
 
