@@ -29,7 +29,10 @@ from triploom.sources.warehouse import read_table  # noqa: E402
 def formatted(df) -> str:
     df.collect()  # run it, so AQE's final plan is shown
     jvm = df.sparkSession.sparkContext._jvm
-    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    plan = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    # the plan that ran, a line an operator
+    plan = plan.split("+- == Initial Plan ==")[0]
+    return "\n".join(x if len(x) < 260 else x[:257] + "..." for x in plan.splitlines())
 
 
 def main():
@@ -59,7 +62,7 @@ def main():
              f"after execution. `<warehouse>` and `<scratch>` stand for temporary "
              f"folders.\n\nWhat to look for:\n\n"
              f"- region metric over the star: the trip scan reads `region_id, datetime` "
-             f"only, committed batch ids are a broadcast semi-join in the scan stage, "
+             f"only, committed batches are a partition filter, "
              f"the fact is aggregated per (region_id, week) before its only exchange, "
              f"and the region table is broadcast;\n"
              f"- box metric over the star: the `coord` scan carries the box as "
@@ -73,7 +76,7 @@ def main():
     for title, df in queries:
         text = formatted(df)
         text = text.replace(root, "<warehouse>")
-        text = re.sub(r"file:[^\s,\]]*/(batch-members|dense-ids)-[0-9a-f]+",
+        text = re.sub(r"file:[^\s,\]]*/(batch-members|dense-ids|tuple-ids|coord-time-map|box-hits)-[0-9a-f]+",
                       r"<scratch>/\1", text)
         text = re.sub(r"file:/tmp/[^\s,\]]*", "<tmp>", text)
         parts.append(f"## {title}\n\n```\n{text.strip()}\n```\n")

@@ -74,7 +74,7 @@ def fact_by_name(spark: SparkSession, root: str) -> DataFrame:
                     "destination_x", "destination_y"))
 
 
-def _two_loads(spark: SparkSession, sf_dir: str) -> str:
+def two_loads(spark: SparkSession, sf_dir: str) -> str:
     """Both loads as batches into a fresh warehouse; returns its root."""
     work = scratch_path(spark, "batch-ingest")
     load1, load2 = write_trip_csv(spark, sf_dir, os.path.join(work, "files"))
@@ -85,7 +85,7 @@ def _two_loads(spark: SparkSession, sf_dir: str) -> str:
 
 
 def q_batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_by_name(spark, _two_loads(spark, sf_dir))
+    return fact_by_name(spark, two_loads(spark, sf_dir))
 
 
 def _run(query) -> None:
