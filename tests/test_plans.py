@@ -5,7 +5,9 @@ import pytest
 from conftest import SF
 import __spark_entry__ as E
 from triploom.operators import weekly_avg_bbox, weekly_avg_bbox_star, weekly_avg_by_region_star
+from triploom.functions.geo import Box
 from triploom.operators.clean import clean_trips
+from triploom.operators.metrics import _box_hits
 from triploom.plans.ingest import ingest
 from triploom.sources.fixture import trips_from_tables
 from triploom.sources.warehouse import read_table
@@ -40,17 +42,26 @@ def warehouse(spark, tmp_path_factory):
     return root
 
 
+def scans(p: str, table: str) -> list[str]:
+    return [x for x in p.splitlines() if "FileScan parquet" in x and f"/{table}]" in x]
+
+
 def test_box_filter_reaches_coord_scan(spark, warehouse):
-    q = weekly_avg_bbox_star(read_table(spark, warehouse, "trip"),
-                             read_table(spark, warehouse, "coord_time"),
-                             read_table(spark, warehouse, "coord"), 1.0, 41.0, 2.03, 43.0)
+    coord_time = read_table(spark, warehouse, "coord_time")
+    coord = read_table(spark, warehouse, "coord")
+    # the hit list, which the metric writes once: one scan of the members
+    box = Box.from_corners(1.0, 41.0, 2.03, 43.0)
+    p = plan(_box_hits(coord_time, coord, box, "endpoints"))
+    assert len(scans(p, "coord_time")) == 1
+    assert scans(p, "coord") and all("GreaterThanOrEqual(x,1.0)" in x for x in scans(p, "coord"))
+    q = weekly_avg_bbox_star(read_table(spark, warehouse, "trip"), coord_time, coord,
+                             1.0, 41.0, 2.03, 43.0)
     q.collect()
     p = plan(q)
-    coord = [line for line in p.splitlines() if "FileScan parquet" in line and "/coord]" in line]
-    assert coord and all("GreaterThanOrEqual(x,1.0)" in line for line in coord)
-    trip = [line for line in p.splitlines() if "FileScan parquet" in line and "/trip]" in line]
-    assert trip and all("ReadSchema: struct<coord_time_id:int,datetime:timestamp_ntz>" in line
-                        for line in trip)
+    assert not scans(p, "coord") and not scans(p, "coord_time")
+    assert scans(p, "trip") and all(
+        "ReadSchema: struct<coord_time_id:bigint,datetime:timestamp_ntz>" in x
+        for x in scans(p, "trip"))
 
 
 def test_region_metric_reads_two_fact_columns(spark, warehouse):
@@ -59,5 +70,5 @@ def test_region_metric_reads_two_fact_columns(spark, warehouse):
     q.collect()
     trip = [line for line in plan(q).splitlines()
             if "FileScan parquet" in line and "/trip]" in line]
-    assert trip and all("ReadSchema: struct<region_id:int,datetime:timestamp_ntz>" in line
+    assert trip and all("ReadSchema: struct<region_id:bigint,datetime:timestamp_ntz>" in line
                         for line in trip)
