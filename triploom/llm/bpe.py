@@ -19,6 +19,7 @@ The ids of a text travel as packed little-endian unsigned 32-bit integers
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 import uuid
@@ -53,9 +54,11 @@ def byte_symbols() -> list[str]:
     return out
 
 
+@functools.lru_cache(maxsize=2)
 def read_tokenizer(path: str) -> dict:
     """Vocabulary, merges and added tokens of a byte-level BPE tokenizer
-    file, as bytes. The file has a fixed size, whatever the corpus."""
+    file, as bytes. The file has a fixed size, whatever the corpus; the
+    driver keeps one copy, however many jobs use it."""
     with open(path, encoding="utf-8") as f:
         raw = json.load(f)
     to_byte = {s: b for b, s in enumerate(byte_symbols())}

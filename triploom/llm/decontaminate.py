@@ -27,8 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triploom.llm.words import NOT_WORD, lower_ascii, split_words
+from triploom.session import materialize
 
 MAX_BROADCAST_BYTES = 64 << 20
+MAX_BROADCAST_HITS = 1_000_000   # contaminated documents, two numbers each
 ROW_OVERHEAD = 100   # bytes counted for a window's row besides its text
 
 
@@ -124,10 +126,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10,
                   id_col: str = "doc_id") -> DataFrame:
     """``docs`` without contaminated documents (``remove="document"``) or
     without the hit spans of their texts (``"span"``); same columns."""
-    found = contamination(docs, benchmark, size, text_col, id_col)
     if remove == "document":
-        return found.filter(F.col("_hits").isNull()).select(*docs.columns)
+        hits = materialize(find_hits(docs, benchmark, size, text_col, id_col).select(
+            F.col("_id").alias("_hit_id"), F.col("_text_hash").alias("_hit_hash")), "hits")
+        # few enough: the texts needn't be shuffled to lose some
+        gone = F.broadcast(hits) if hits.count() <= MAX_BROADCAST_HITS else hits
+        return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_hit_id"))
+                         & (F.xxhash64(text_col) == F.col("_hit_hash")), "left_anti")
     if remove != "span":
         raise ValueError("remove is 'document' or 'span'")
+    found = contamination(docs, benchmark, size, text_col, id_col)
     return found.withColumn(text_col, F.when(F.col("_hits").isNull(), F.col(text_col)).otherwise(
         _without_spans(F.col(text_col), F.col("_hits")))).select(*docs.columns)

@@ -382,6 +382,9 @@ def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     """``docs`` with one document of each component, the one with the
     smallest id; same columns."""
     found = jaccard_components(docs, text_col, id_col, **options)
-    keep = found.filter(F.col("component") == F.col("doc_id")).select(
-        F.col("doc_id").alias("_j_id")).distinct()
-    return docs.join(keep, F.col(id_col) == F.col("_j_id"), "left_semi")
+    gone = materialize(found.groupBy(F.col("doc_id").alias("_j_id")).agg(
+        F.max(F.col("component") == F.col("doc_id")).alias("first"))
+        .filter("not first").select("_j_id"), "copies")
+    # few enough: the texts needn't be shuffled to lose some
+    gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone
+    return docs.join(gone, F.col(id_col) == F.col("_j_id"), "left_anti")

@@ -311,7 +311,11 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with each span replaced by its kind in angle brackets; of
     overlapping spans the first (by start, then kind) is replaced and the
     rest of a later one goes with it."""
-    found = find_spans(docs, text_col)
+    # the candidates are found twice, for the model and for the spans, so
+    # that no text is stored
+    candidates = find_candidates(docs, text_col)
+    model = fit(materialize(candidates.select("_p_found"), "pii"))
+    found = choose_spans(candidates, model)
     text = F.col(text_col)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     name = lambda k: F.get(F.array(*[F.lit(f"<{x.upper()}>") for x in KINDS]), k)

@@ -206,35 +206,40 @@ def mcd_estimates(rows: DataFrame, min_group: int = MIN_GROUP, steps: int = STEP
     return materialize(now.join(scale, "_q_group").filter(F.col("n") >= min_group), "mcd")
 
 
-def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                    source_col: str = "source", min_group: int = MIN_GROUP,
-                    steps: int = STEPS, cut: float = CHI2_CUT,
-                    carry: list[str] | None = None) -> DataFrame:
-    """The ``carry`` columns (all by default) of every row with its _q_
-    statistics, _q_base_failed, _q_distance (null for base failures and
-    groups without an estimate) and _q_kept."""
-    carry = list(docs.columns) if carry is None else carry
+def _measured(docs: DataFrame, text_col: str, lang_col: str, source_col: str,
+              carry: list[str]) -> DataFrame:
+    """_q_carry (a struct, so that no carried name can clash), the statistics,
+    _q_base_failed and the vector (_q_v_*) of every row; nothing is stored."""
     wanted = docs.withColumns({
         "_q_lang": F.coalesce(F.col(lang_col).cast("string"), F.lit("\x00")),
         "_q_source": F.coalesce(F.col(source_col).cast("string"), F.lit("\x00"))})
     measured = text_statistics(wanted, text_col).withColumn("_q_base_failed", base_failed(
         F.col("_q_n_words"), F.col("_q_n_repeat_words")))
-    names = list(VECTOR)
     measured = measured.withColumns({f"_q_v_{n}": c for n, c in vector().items()})
     stats = [c for c in measured.columns if c.startswith("_q_")]
-    # carried columns travel in a struct, so that no name can clash
-    stored = materialize(measured.select(F.struct(*[F.col(f"`{c}`") for c in carry])
-                                         .alias("_q_carry"), *stats), "quality-rules")
-    fit = stored.filter(~F.col("_q_base_failed")).select(
-        "_q_lang", "_q_source", *[F.col(f"_q_v_{n}").alias(n) for n in names])
+    return measured.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_q_carry"), *stats)
+
+
+def _fit(measured: DataFrame, min_group: int, steps: int) -> tuple[DataFrame, DataFrame, int]:
+    """(groups by language and source, estimates, number of groups)."""
+    names = list(VECTOR)
+    fit = materialize(measured.filter(~F.col("_q_base_failed")).select(
+        "_q_lang", "_q_source", *[F.col(f"_q_v_{n}").alias(n) for n in names]), "quality-fit")
     groups = materialize(_groups(fit, min_group), "quality-groups")
     n_groups = groups.count()
     pair = F.struct("_q_lang", "_q_source")
     groups = groups.select(pair.alias("_q_pair"), "_q_group")
     grouped = _joined(fit.withColumn("_q_pair", pair), groups, "_q_pair", n_groups) \
         .select("_q_group", *names)
-    estimates = mcd_estimates(grouped, min_group, steps)
-    rows = _joined(stored.withColumn("_q_pair", pair), groups, "_q_pair", n_groups)
+    return groups, mcd_estimates(grouped, min_group, steps), n_groups
+
+
+def _judged(measured: DataFrame, groups: DataFrame, estimates: DataFrame, n_groups: int,
+            cut: float) -> DataFrame:
+    """Measured rows with _q_group, _q_distance and _q_kept."""
+    names, stats = list(VECTOR), [c for c in measured.columns if not c.startswith("_q_v_")]
+    rows = _joined(measured.withColumn("_q_pair", F.struct("_q_lang", "_q_source")), groups,
+                   "_q_pair", n_groups)
     rows = rows.withColumns({n: F.col(f"_q_v_{n}") for n in names})
     far = _distance(_joined(rows, estimates, "_q_group", n_groups), names)
     # the statistics of short texts vary more
@@ -242,12 +247,35 @@ def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     distance = F.when(~F.col("_q_base_failed"),
                       F.col("_q_d2") / F.col("scale") * words / (words + SHORT))
     return far.withColumn("_q_distance", distance).select(
-        *[F.col("_q_carry").getField(c).alias(c) for c in carry], *[c for c in stats if not c.startswith("_q_v_")], "_q_group", "_q_distance",
+        *stats, "_q_group", "_q_distance",
         (~F.col("_q_base_failed") & (F.coalesce(F.col("_q_distance"), F.lit(0.0)) <= cut))
         .alias("_q_kept"))
 
 
-def filter_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rejected documents; same columns."""
-    judged = judge_documents(docs, **options)
-    return judged.filter("_q_kept").select(*docs.columns)
+def _carried(columns: list[str]) -> list[Column]:
+    return [F.col("_q_carry").getField(c).alias(c) for c in columns]
+
+
+def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+                    source_col: str = "source", min_group: int = MIN_GROUP,
+                    steps: int = STEPS, cut: float = CHI2_CUT,
+                    carry: list[str] | None = None) -> DataFrame:
+    """The ``carry`` columns (all by default) of every row with its _q_
+    statistics, _q_base_failed, _q_distance (null for base failures and
+    groups without an estimate) and _q_kept. The measured rows are stored,
+    so texts are read once; carry few columns."""
+    carry = list(docs.columns) if carry is None else carry
+    stored = materialize(_measured(docs, text_col, lang_col, source_col, carry), "quality-rules")
+    out = _judged(stored, *_fit(stored, min_group, steps), cut)
+    return out.select(*_carried(carry), *[c for c in out.columns if c != "_q_carry"])
+
+
+def filter_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+                     source_col: str = "source", min_group: int = MIN_GROUP,
+                     steps: int = STEPS, cut: float = CHI2_CUT) -> DataFrame:
+    """``docs`` without the rejected documents; same columns. The statistics
+    are computed twice, for the estimates and for the verdicts, so that no
+    text is stored or shuffled."""
+    measured = _measured(docs, text_col, lang_col, source_col, list(docs.columns))
+    judged = _judged(measured, *_fit(measured, min_group, steps), cut)
+    return judged.filter("_q_kept").select(*_carried(docs.columns))
