@@ -11,7 +11,12 @@ The estimate runs as concentration steps over a stored table of vectors:
 from medians and median deviations, each step takes the nearer half of
 every group (by a mergeable quantile of the distances) and re-estimates
 mean and scatter from sums of products, which are pre-aggregated before the
-shuffle, so a group with a third of all rows costs no single task. Groups
+shuffle, so a group with a third of all rows costs no single task. The
+deviations of short texts, whose statistics vary more, weigh less, in the
+estimate and in the verdict alike. A statistic that is zero in most
+documents has no scatter in the nearer half; there, the spread of all groups
+together counts, taken a second time without the documents that the first
+estimate finds far outside. Groups
 with fewer than ``min_group`` documents are pooled by language, then over
 all; a pool that stays smaller rejects nothing.
 
@@ -37,15 +42,18 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_GROUP = 60          # documents a group needs for an estimate of its own
 STEPS = 3               # concentration steps
-SHORT = 100             # distances of texts with fewer words are shrunk most
-# Fixed values of the chi-square distribution with six degrees of freedom:
-# its median, and the point beyond which 1 in 10 million lies.
+SHORT = 100             # deviations of texts with fewer words weigh least
+# Fixed value of the chi-square distribution with six degrees of freedom.
 CHI2_MEDIAN = 5.348
-CHI2_CUT = 44.0
-# Per statistic, the least spread (standard deviation, in transformed
-# units) that a group is taken to have.
-VECTOR = {"length": 0.06, "variety": 0.05, "symbols": 0.08, "repeats": 0.12,
-          "upper": 0.06, "digits": 0.06}
+# Squared distances beyond which a document is left out of the second
+# estimate of the spreads, and rejected; between the labelled good and bad
+# documents (see README).
+FIRST_CUT = 70.0
+CUT = 200.0
+VECTOR = ("length", "variety", "symbols", "repeats", "upper", "digits")
+# Least spreads: a share of all groups' spread, and a numerical one. Least
+# consistency factor, for groups made of copies.
+LEAST_SHARE, LEAST_SPREAD, LEAST_SCALE = 0.5, 0.005, 0.5
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -139,11 +147,20 @@ def _groups(rows: DataFrame, min_group: int) -> DataFrame:
         .otherwise(F.lit("all")).alias("_q_group"))
 
 
+def _weight() -> Column:
+    """What a document's deviations count, by its words."""
+    words = F.col("_q_n_words").cast("double")
+    return F.sqrt(words / (words + SHORT))
+
+
+def _deviations(names: list[str]) -> list[Column]:
+    return [(F.col(a) - F.col(f"m_{i}")) * _weight() for i, a in enumerate(names)]
+
+
 def _distance(rows: DataFrame, names: list[str]) -> DataFrame:
     """_q_d2 from the group's center (m_i) and its scatter, factored as
     L D L' (l_i_j, d_i): residuals are taken off coordinate by coordinate."""
-    for i, a in enumerate(names):
-        z = F.col(a) - F.col(f"m_{i}")
+    for i, z in enumerate(_deviations(names)):
         for j in range(i):
             z = z - F.col(f"l_{i}_{j}") * F.col(f"z_{j}")
         rows = rows.withColumn(f"z_{i}", z)
@@ -151,7 +168,7 @@ def _distance(rows: DataFrame, names: list[str]) -> DataFrame:
     return rows.withColumn("_q_d2", d2).drop(*[f"z_{i}" for i in range(len(names))])
 
 
-def _factored(cov: DataFrame, names: list[str]) -> DataFrame:
+def _factored(cov: DataFrame, names: list[str], least: list[float]) -> DataFrame:
     """Group rows with s_i_j turned into the L D L' factors, one coordinate
     a projection."""
     k = len(names)
@@ -165,45 +182,81 @@ def _factored(cov: DataFrame, names: list[str]) -> DataFrame:
         for t in range(i):
             v = v - F.col(f"l_{i}_{t}") * F.col(f"l_{i}_{t}") * F.col(f"d_{t}")
         # the floor holds for what is left of the spread, too
-        cov = cov.withColumn(f"d_{i}", F.greatest(v, F.lit(VECTOR[names[i]] ** 2)))
+        cov = cov.withColumn(f"d_{i}", F.greatest(v, F.lit(least[i] ** 2)))
     keep = ["_q_group"] + [f"m_{i}" for i in range(k)] + [f"d_{i}" for i in range(k)] + [
         f"l_{i}_{j}" for i in range(k) for j in range(i)]
     return cov.select(*keep)
 
 
-def mcd_estimates(rows: DataFrame, min_group: int = MIN_GROUP, steps: int = STEPS) -> DataFrame:
-    """One row per group of ``rows`` (_q_group and the vector's columns):
-    center, factored scatter and n. ``rows`` should be a stored table."""
+def _least_spreads(rows: DataFrame, names: list[str],
+                   flat: list[bool] | None = None) -> tuple[list[float], list[bool]]:
+    """Per statistic, the least spread a group is taken to have, from the
+    deviations of all ``rows`` from their centers, and whether more than half
+    of these are zero (``flat``, if it is known): then their root mean square
+    counts."""
+    dev = _deviations(names)
+    r = rows.agg(*[F.percentile_approx(F.abs(z), 0.5, 2000).alias(f"a_{i}")
+                   for i, z in enumerate(dev)],
+                 *[F.avg(z * z).alias(f"v_{i}") for i, z in enumerate(dev)]).first()
+    flat = flat or [not (r[f"a_{i}"] or 0) > 1e-9 for i in range(len(names))]
+    # 1.4826 times a median deviation is a standard deviation
+    least = [(r[f"v_{i}"] or 0.0) ** 0.5 if flat[i] else LEAST_SHARE * 1.4826 * r[f"a_{i}"]
+             for i in range(len(names))]
+    return [max(x, LEAST_SPREAD) for x in least], flat
+
+
+def _concentrated(rows: DataFrame, start: DataFrame, least: list[float], n_groups: int,
+                  steps: int) -> DataFrame:
+    """Center, factored scatter, scale and n per group, by ``steps``
+    concentration steps from medians (m_i) and median deviations (a_i)."""
     names, k = list(VECTOR), len(VECTOR)
-    n_groups = rows.select("_q_group").distinct().count()
     mid = lambda c: F.percentile_approx(c, 0.5, 2000)
-    center = rows.groupBy("_q_group").agg(
-        *[mid(F.col(a)).alias(f"m_{i}") for i, a in enumerate(names)])
-    spread = _joined(rows, center, "_q_group", n_groups).groupBy("_q_group").agg(
-        *[mid(F.abs(F.col(a) - F.col(f"m_{i}"))).alias(f"a_{i}") for i, a in enumerate(names)])
     zero = {f"l_{i}_{j}": F.lit(0.0) for i in range(k) for j in range(i)}
-    # 1.4826 times a median deviation is a standard deviation
-    now = center.join(spread, "_q_group").withColumns(
-        {f"d_{i}": F.greatest(F.col(f"a_{i}") * 1.4826, F.lit(VECTOR[a])) ** 2
-         for i, a in enumerate(names)} | zero).drop(*[f"a_{i}" for i in range(k)])
-    now = materialize(now, "mcd")
+    now = start.withColumns(
+        {f"d_{i}": F.greatest(F.col(f"a_{i}") * 1.4826, F.lit(least[i])) ** 2
+         for i in range(k)} | zero).drop(*[f"a_{i}" for i in range(k)])
     for _ in range(steps):
-        far = _distance(_joined(rows, now, "_q_group", n_groups), names) \
-            .select("_q_group", "_q_d2", *names)
+        far = _distance(_joined(rows, now, "_q_group", n_groups), names).select(
+            "_q_group", "_q_d2", *names, *[z.alias(f"r_{i}") for i, z in
+                                           enumerate(_deviations(names))])
         half = far.groupBy("_q_group").agg(mid(F.col("_q_d2")).alias("_q_half"))
         near = _joined(far, half, "_q_group", n_groups).filter(F.col("_q_d2") <= F.col("_q_half"))
         pairs = list(itertools.combinations_with_replacement(range(k), 2))
         cov = near.groupBy("_q_group").agg(
             *[F.avg(a).alias(f"m_{i}") for i, a in enumerate(names)],
-            *[F.covar_pop(names[j], names[i]).alias(f"s_{j}_{i}") for i, j in pairs])
-        now = materialize(_factored(cov, names), "mcd")
-    # the half's scatter is smaller than the group's: the factor that makes
-    # the median distance the chi-square median corrects it
+            *[F.covar_pop(f"r_{j}", f"r_{i}").alias(f"s_{j}_{i}") for i, j in pairs])
+        now = materialize(_factored(cov, names, least), "mcd")
+    # the half's scatter isn't the group's: the factor that makes the median
+    # distance the chi-square median corrects it
     far = _distance(_joined(rows, now, "_q_group", n_groups), names)
     scale = far.groupBy("_q_group").agg(
-        F.greatest(mid(F.col("_q_d2")) / CHI2_MEDIAN, F.lit(1.0)).alias("scale"),
+        F.greatest(mid(F.col("_q_d2")) / CHI2_MEDIAN, F.lit(LEAST_SCALE)).alias("scale"),
         F.count(F.lit(1)).alias("n"))
-    return materialize(now.join(scale, "_q_group").filter(F.col("n") >= min_group), "mcd")
+    return materialize(now.join(scale, "_q_group"), "mcd")
+
+
+def mcd_estimates(rows: DataFrame, min_group: int = MIN_GROUP, steps: int = STEPS) -> DataFrame:
+    """One row per group of ``rows`` (_q_group, _q_n_words and the vector's
+    columns): center, factored scatter, scale and n. ``rows`` should be a
+    stored table."""
+    names = list(VECTOR)
+    n_groups = rows.select("_q_group").distinct().count()
+    mid = lambda c: F.percentile_approx(c, 0.5, 2000)
+    center = rows.groupBy("_q_group").agg(
+        *[mid(F.col(a)).alias(f"m_{i}") for i, a in enumerate(names)])
+    spread = _joined(rows, center, "_q_group", n_groups).groupBy("_q_group").agg(
+        *[mid(F.abs(z)).alias(f"a_{i}") for i, z in enumerate(_deviations(names))])
+    start = materialize(center.join(spread, "_q_group"), "mcd")
+    least, flat = _least_spreads(_joined(rows, start, "_q_group", n_groups), names)
+    out = _concentrated(rows, start, least, n_groups, steps)
+    if any(flat):
+        # the documents far outside must not widen these spreads
+        inside = _distance(_joined(rows, out, "_q_group", n_groups), names).filter(
+            F.col("_q_d2") <= FIRST_CUT * F.col("scale"))
+        again, _ = _least_spreads(inside, names, flat)
+        least = [min(x, y) if f else x for x, y, f in zip(least, again, flat)]
+        out = _concentrated(rows, start, least, n_groups, steps)
+    return out.filter(F.col("n") >= min_group)
 
 
 def _measured(docs: DataFrame, text_col: str, lang_col: str, source_col: str,
@@ -224,13 +277,14 @@ def _fit(measured: DataFrame, min_group: int, steps: int) -> tuple[DataFrame, Da
     """(groups by language and source, estimates, number of groups)."""
     names = list(VECTOR)
     fit = materialize(measured.filter(~F.col("_q_base_failed")).select(
-        "_q_lang", "_q_source", *[F.col(f"_q_v_{n}").alias(n) for n in names]), "quality-fit")
+        "_q_lang", "_q_source", "_q_n_words",
+        *[F.col(f"_q_v_{n}").alias(n) for n in names]), "quality-fit")
     groups = materialize(_groups(fit, min_group), "quality-groups")
     n_groups = groups.count()
     pair = F.struct("_q_lang", "_q_source")
     groups = groups.select(pair.alias("_q_pair"), "_q_group")
     grouped = _joined(fit.withColumn("_q_pair", pair), groups, "_q_pair", n_groups) \
-        .select("_q_group", *names)
+        .select("_q_group", "_q_n_words", *names)
     return groups, mcd_estimates(grouped, min_group, steps), n_groups
 
 
@@ -242,10 +296,7 @@ def _judged(measured: DataFrame, groups: DataFrame, estimates: DataFrame, n_grou
                    "_q_pair", n_groups)
     rows = rows.withColumns({n: F.col(f"_q_v_{n}") for n in names})
     far = _distance(_joined(rows, estimates, "_q_group", n_groups), names)
-    # the statistics of short texts vary more
-    words = F.col("_q_n_words").cast("double")
-    distance = F.when(~F.col("_q_base_failed"),
-                      F.col("_q_d2") / F.col("scale") * words / (words + SHORT))
+    distance = F.when(~F.col("_q_base_failed"), F.col("_q_d2") / F.col("scale"))
     return far.withColumn("_q_distance", distance).select(
         *stats, "_q_group", "_q_distance",
         (~F.col("_q_base_failed") & (F.coalesce(F.col("_q_distance"), F.lit(0.0)) <= cut))
@@ -258,7 +309,7 @@ def _carried(columns: list[str]) -> list[Column]:
 
 def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                     source_col: str = "source", min_group: int = MIN_GROUP,
-                    steps: int = STEPS, cut: float = CHI2_CUT,
+                    steps: int = STEPS, cut: float = CUT,
                     carry: list[str] | None = None) -> DataFrame:
     """The ``carry`` columns (all by default) of every row with its _q_
     statistics, _q_base_failed, _q_distance (null for base failures and
@@ -272,7 +323,7 @@ def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "la
 
 def filter_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                      source_col: str = "source", min_group: int = MIN_GROUP,
-                     steps: int = STEPS, cut: float = CHI2_CUT) -> DataFrame:
+                     steps: int = STEPS, cut: float = CUT) -> DataFrame:
     """``docs`` without the rejected documents; same columns. The statistics
     are computed twice, for the estimates and for the verdicts, so that no
     text is stored or shuffled."""
