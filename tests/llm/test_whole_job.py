@@ -6,7 +6,7 @@ import numpy as np
 from llm_force import WORD
 from pyspark.sql import functions as F
 
-from triploom.llm import quality_rules
+from triploom.llm import jaccard_join, quality_rules, suffix_repeats
 
 # -------------------------------------------------------- quality rules ---
 
@@ -68,3 +68,44 @@ def test_quality_of_labelled_good_and_bad_documents(spark):
     good = [r["_q_kept"] for r in rows if r["quality"] == 1]
     bad = [r["_q_kept"] for r in rows if r["quality"] == 0]
     assert len(bad) > 20 and np.mean(good) > 0.99 and np.mean(bad) < 0.05
+
+
+# ----------------------------------------------- null and repeated ids ---
+
+ID_DOCS = "doc_id long, text string, extra string"
+
+
+def test_one_row_of_each_component_is_kept_whatever_the_ids(spark):
+    base = [f"b{i}" for i in range(120)]
+    near = base[:60] + ["edit"] + base[61:]
+    other = [f"o{i}" for i in range(90)]
+    rows = [(5, " ".join(base), "x"), (5, " ".join(base), "x"), (5, " ".join(other), "x"),
+            (None, " ".join(near), "y"), (None, " ".join(base), "y"),
+            (2**60 + 1, " ".join(other), "z"), (None, " ".join(f"n{i}" for i in range(70)), "1"),
+            (None, " ".join(["first"] + [f"n{i}" for i in range(1, 70)]), "2"),
+            (7, None, "e"), (8, "", "e"), (None, None, "e")]
+    table = spark.createDataFrame(rows, ID_DOCS).repartition(3)
+    kept = jaccard_join.keep_one(table)
+    assert kept.columns == table.columns
+    got = [(r["doc_id"], (r["text"] or "")[:1]) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted(
+        [(5, "b"), (5, "o"), (None, got[[x[1] in "nf" and x[1] != "" for x in got].index(True)][1]),
+         (7, ""), (8, ""), (None, "")], key=str)
+    found = {(r["doc_id"], r["n"], r["component"])
+             for r in jaccard_join.jaccard_components(table).collect()}
+    assert {(None, 117, 5), (2**60 + 1, 87, 5), (5, 117, 5), (None, 67, None)} <= found
+
+
+def test_repeats_of_null_and_repeated_ids(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    own = " ".join(f"q{i}" for i in range(60))
+    rows = [(None, passage + " tail", "a"), (3, passage, "b"), (None, passage + " end", "c"),
+            (2**60 + 1, own, "d"), (2**60 + 1, own, "d"), (4, "short", "e"), (4, None, "e")]
+    table = spark.createDataFrame(rows, ID_DOCS).repartition(3)
+    cut = suffix_repeats.remove_repeats(table)
+    texts = [r["text"] for r in cut.collect()]
+    # one copy of each passage is left
+    assert len(texts) == len(rows) and sum("p7 " in (t or "") for t in texts) == 1
+    assert sum("q7 " in (t or "") for t in texts) == 1
+    assert {(r["doc_id"], len(r["removable"])) for r in suffix_repeats.repeated_spans(
+        table).collect()} >= {(3, 1), (2**60 + 1, 0), (2**60 + 1, 1)}

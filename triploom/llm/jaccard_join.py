@@ -22,8 +22,10 @@ among documents of frequent tokens, in blocks of a cluster, where a block
 pair returns at most one link per member.
 
 Defined results: null and empty texts have no tokens and link with nothing;
-a text with fewer words than a shingle is one token; equal rows are equal
-sets; a doc_id that occurs with several texts stands for all of them; an
+a text with fewer words than a shingle is one token; rows are told apart by
+id and text, so an id with several texts is a document for each, null ids
+are documents like others (a component's smallest id is null if it has no
+other) and equal rows are copies, of which :func:`keep_one` keeps one; an
 empty table gives no rows; further columns are not read.
 """
 
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triploom.llm.components import components
@@ -291,16 +293,40 @@ def _cluster_links(pairs_index: DataFrame, stars: DataFrame, docs: DataFrame,
                                                            "a long, b long")
 
 
+def _row_key(text_col: str, id_col: str) -> Column:
+    """A row's key, never null: the hash of its id and text."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+
+
+def _row_components(docs: DataFrame, text_col: str, id_col: str, words: int,
+                    percent: int) -> DataFrame:
+    """One row per document: uid (row key), n, part (the component's smallest
+    uid)."""
+    rows = docs.select(_row_key(text_col, id_col).alias("doc_id"),
+                       F.col(text_col).cast("string").alias("text"))
+    with scratch_scope(docs.sparkSession) as scratch:
+        found = materialize(_components(rows, words, percent), "jaccard")
+        scratch.pop()   # only the result stays
+    return found.select(F.col("doc_id").alias("uid"), "n", F.col("component").alias("part"))
+
+
+def _with_ids(found: DataFrame, docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    ids = docs.select(_row_key(text_col, id_col).alias("uid"),
+                      F.col(id_col).cast("long").alias("doc_id")).distinct()
+    return found.join(ids, "uid")
+
+
 def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                        words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n (set size), component (the smallest
     doc_id reachable by links, its own included)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text"))
-    with scratch_scope(docs.sparkSession) as scratch:
-        found = materialize(_components(docs, words, percent), "jaccard")
-        scratch.pop()   # only the result stays
-    return found
+    found = materialize(_with_ids(_row_components(docs, text_col, id_col, words, percent),
+                                  docs, text_col, id_col), "jaccard-ids")
+    # most documents are alone
+    least = found.groupBy("part").agg(F.min("doc_id").alias("component"),
+                                      F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    return found.join(least, "part", "left").select("doc_id", "n", F.when(
+        F.col("rows").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component"))
 
 
 def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -378,13 +404,30 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-             **options) -> DataFrame:
-    """``docs`` with one document of each component, the one with the
-    smallest id; same columns."""
-    found = jaccard_components(docs, text_col, id_col, **options)
-    gone = materialize(found.groupBy(F.col("doc_id").alias("_j_id")).agg(
-        F.max(F.col("component") == F.col("doc_id")).alias("first"))
-        .filter("not first").select("_j_id"), "copies")
-    # few enough: the texts needn't be shuffled to lose some
-    gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone
-    return docs.join(gone, F.col(id_col) == F.col("_j_id"), "left_anti")
+             words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component, the one with the smallest id
+    (null ids last; of equal rows, the one with the least hash); same columns."""
+    found = _row_components(docs, text_col, id_col, words, percent).filter("n > 0")
+    same = found.groupBy("uid", "part").agg(F.count(F.lit(1)).alias("rows"))
+    same = materialize(_with_ids(same, docs, text_col, id_col), "rows")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
+    first = same.groupBy("part").agg(F.min(order).alias("first"), F.sum("rows").alias("all")) \
+        .filter("all > 1").select("part", F.col("first.uid").alias("first"))
+    gone = materialize(same.join(first, "part").filter("rows > 1 or uid <> first").select(
+        F.col("uid").alias("_j_uid"), (F.col("uid") == F.col("first")).alias("_j_first")),
+        "copies")
+
+    def small(uids: DataFrame, n: int) -> DataFrame:
+        # few enough: the texts needn't be shuffled to lose some
+        return F.broadcast(uids) if n <= MAX_BROADCAST_IDS else uids
+
+    key = _row_key(text_col, id_col) == F.col("_j_uid")
+    kept = docs.join(small(gone.select("_j_uid"), gone.count()), key, "left_anti")
+    again = gone.filter("_j_first").select("_j_uid")
+    n_again = again.count()
+    if not n_again:
+        return kept
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = (docs.join(small(again, n_again), key).groupBy("_j_uid").agg(
+        F.min_by(row, F.xxhash64(F.to_json(row))).alias("_j_row")))
+    return kept.unionByName(one.select("_j_row.*"))

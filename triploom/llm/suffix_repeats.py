@@ -19,7 +19,8 @@ occurrence, pre-aggregated before the shuffle.
 
 Defined results: null and empty texts and texts shorter than ``least``
 words have no repeats; a doc_id with several texts is a document for each;
-equal rows are copies of each other; an empty table gives no rows; further
+documents with a null id come first; equal rows are copies of each other, of
+which one holds the first occurrences; an empty table gives no rows; further
 columns are not read. Words are runs without ASCII white space, as written.
 """
 
@@ -141,8 +142,10 @@ def _stretches(docs: DataFrame, least: int) -> DataFrame:
                     "windows": np.split(own.view(np.int64), first[1:])}))
             yield pd.concat(out) if out else pd.DataFrame(columns=columns)
 
-    return docs.mapInPandas(extend, "uid long, doc_id long, lo long, r1 long, r2 long, "
-                                    "windows array<long>")
+    # ids travel as text: null ones would turn the others into doubles
+    return docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
+        extend, "uid long, doc_id string, lo long, r1 long, r2 long, "
+                "windows array<long>").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _merged(rows: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFrame]:
@@ -161,14 +164,13 @@ def _merged(rows: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFrame]:
         every = [spans(np.asarray(s, np.int64)) for s in b["starts"]]
         later = [spans(np.asarray(s, np.int64)) for s in b["later"]]
         yield pd.DataFrame({"uid": b["uid"], "doc_id": b["doc_id"], "spans": every,
-                            "removable": later})
+                            "removable": later, "copies": b["copies"]})
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                   least: int = LEAST, anchor: int = ANCHOR) -> DataFrame:
-    """One row per document with repeated passages: uid, doc_id, spans and
-    removable (arrays of [start, end) in words); removable leaves out the
-    first occurrence of each passage (by doc_id, then place)."""
+def _text_spans(docs: DataFrame, text_col: str, id_col: str, least: int,
+                anchor: int) -> DataFrame:
+    """Like :func:`repeated_spans`, but equal rows are one with the number of
+    copies; removable is that of the first copy."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text")) \
         .withColumn("uid", F.xxhash64("doc_id", "text"))
@@ -183,11 +185,11 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     found = materialize(_stretches(docs.join(per_text, "uid"), least), "stretches")
 
     stretch = materialize(found.groupBy("r1", "r2").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "lo")).alias("first"),
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "uid", "lo")).alias("first"),
         F.first("windows").alias("windows")), "distinct-stretches")
     # windows of different stretches are compared one by one
     each = stretch.select("r1", "r2", "n", "first", F.posexplode("windows").alias("k", "w"))
-    place = F.struct(F.col("first.doc_id").alias("doc_id"),
+    place = F.struct(F.col("first.doc_id").alias("doc_id"), F.col("first.uid").alias("uid"),
                      (F.col("first.lo") + F.col("k")).alias("start"))
     known = each.groupBy("w").agg(F.sum("n").alias("n"), F.min(place).alias("first")) \
         .filter("n > 1")
@@ -196,26 +198,53 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     hits = found.select("uid", "doc_id", "lo", "r1", "r2").join(repeated, ["r1", "r2"])
     start = lambda x: F.col("lo") + x["k"]
     hits = hits.select(
-        "uid", "doc_id", F.transform("again", start).alias("starts"),
-        F.transform(F.filter("again", lambda x: (x["first"]["doc_id"] != F.col("doc_id"))
+        "uid", "doc_id", "lo", F.transform("again", start).alias("starts"),
+        F.transform(F.filter("again", lambda x: (x["first"]["uid"] != F.col("uid"))
                              | (x["first"]["start"] != start(x))), start).alias("later"))
     by_text = hits.groupBy("uid").agg(
         F.first("doc_id").alias("doc_id"), F.flatten(F.collect_list("starts")).alias("starts"),
-        F.flatten(F.collect_list("later")).alias("later"))
+        F.flatten(F.collect_list("later")).alias("later"), F.collect_list("lo").alias("lo"))
+    # each of the equal rows brings every place of the text
+    copies = (F.size("lo") / F.size(F.array_distinct("lo"))).cast("long")
+    by_text = by_text.select("uid", F.col("doc_id").cast("string").alias("doc_id"), "starts",
+                             "later", copies.alias("copies"))
     return by_text.mapInPandas(
         lambda rows: _merged(rows, least),
-        "uid long, doc_id long, spans array<array<long>>, removable array<array<long>>")
+        "uid long, doc_id string, spans array<array<long>>, removable array<array<long>>, "
+        "copies long").withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                   least: int = LEAST, anchor: int = ANCHOR) -> DataFrame:
+    """One row per document with repeated passages: uid, doc_id, spans and
+    removable (arrays of [start, end) in words); removable leaves out the
+    first occurrence of each passage (by doc_id, then place)."""
+    found = _text_spans(docs, text_col, id_col, least, anchor)
+    each = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return each.select("uid", "doc_id", "spans", F.when(
+        F.col("copy") == 1, F.col("removable")).otherwise(F.col("spans")).alias("removable"))
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                    least: int = LEAST, anchor: int = ANCHOR) -> DataFrame:
     """``docs`` without the later occurrences of repeated passages: their
     words are cut from the text, with the white space after them."""
-    found = repeated_spans(docs, text_col, id_col, least, anchor).select(
-        F.col("uid").alias("_s_uid"), F.col("removable").alias("_s_cut"))
-    joined = docs.withColumn("_s_uid", F.xxhash64(
-        F.col(id_col).cast("long"), F.col(text_col).cast("string"))).join(
-        found, "_s_uid", "left")
+    found = materialize(_text_spans(docs, text_col, id_col, least, anchor), "text-spans").select(
+        F.col("uid").alias("_s_uid"), F.col("removable").alias("_s_cut"),
+        F.col("spans").alias("_s_spans"), F.col("copies").alias("_s_copies"))
+    keyed = docs.withColumn("_s_uid", F.xxhash64(
+        F.col(id_col).cast("long"), F.col(text_col).cast("string")))
+    many = found.filter("_s_copies > 1")
+    joined = keyed.join(found.filter("_s_copies = 1").select("_s_uid", "_s_cut"), "_s_uid", "left")
+    if many.limit(1).count():
+        # of equal rows, all but one lose the first occurrences, too
+        joined = joined.join(many.select("_s_uid"), "_s_uid", "left_anti")
+        rows = materialize(keyed.join(many, "_s_uid").withColumn(
+            "_s_row", F.monotonically_increasing_id()), "equal-rows")
+        first = rows.groupBy("_s_uid").agg(F.min("_s_row").alias("_s_first"))
+        joined = joined.unionByName(rows.join(first, "_s_uid").withColumn("_s_cut", F.when(
+            F.col("_s_row") == F.col("_s_first"), F.col("_s_cut")).otherwise(F.col("_s_spans")))
+            .select(*joined.columns))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
