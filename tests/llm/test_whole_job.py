@@ -6,7 +6,7 @@ import numpy as np
 from llm_force import WORD
 from pyspark.sql import functions as F
 
-from triploom.llm import jaccard_join, quality_rules, suffix_repeats
+from triploom.llm import html_text, jaccard_join, quality_rules, suffix_repeats
 
 # -------------------------------------------------------- quality rules ---
 
@@ -109,3 +109,31 @@ def test_repeats_of_null_and_repeated_ids(spark):
     assert sum("q7 " in (t or "") for t in texts) == 1
     assert {(r["doc_id"], len(r["removable"])) for r in suffix_repeats.repeated_spans(
         table).collect()} >= {(3, 1), (2**60 + 1, 0), (2**60 + 1, 1)}
+
+
+# ------------------------------------------------------------ html text ---
+
+def shown(page):
+    return " ".join(b for v in html_text.read_page(page) for b in html_text._own_blocks(v)
+                    if isinstance(b, str))
+
+
+def test_hidden_elements_nest_and_end_as_others_do():
+    assert shown("<p hidden>x<p>Main text</p>") == "Main text"
+    assert shown("<ul><li hidden>x<li>one</ul><p>Main") == "one Main"
+    assert shown("<table><tr><td hidden>x<td>y<tr><td>z</table><p>Main") == "y z Main"
+    page = "<div><div style='display: none'><div>a</div>b</div><p>in</p></div><p>out</p>"
+    assert shown(page) == "in out"
+    nodes = html_text.read_page(page)
+    assert [(v.tag, v.depth) for v in nodes] == [("html", 0), ("div", 1), ("p", 2), ("p", 1)]
+    assert shown("<div><span hidden>x</div><p>Main") == "Main"
+    assert shown("<svg><svg></svg>a</svg>b<template><template></template>c</template>d") == "bd"
+    assert shown("<p>a<svg><text>x<p>Main</p>") == "a Main"
+    assert shown("<p>a <b hidden>x</b>c") == "a c"
+    assert shown("<div>a<object>x</div>y</object>b</div>") == "ab"
+
+
+def test_what_only_screen_readers_skip_is_shown():
+    nodes = html_text.read_page("<div aria-hidden='true'><p>Main</p></div>")
+    assert shown("<div aria-hidden='true'><p>Main</p></div>") == "Main"
+    assert nodes[1].tokens == ("unread",)

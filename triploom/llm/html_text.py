@@ -20,7 +20,8 @@ without the semantic tags.
 
 The text: character references are decoded, white space in a block becomes
 one space, empty blocks go, and blocks are joined in page order by an empty
-line. Script, style and other unshown elements have no text.
+line. Script, style and other unshown elements have no text; they nest and
+end like shown ones. (What is only hidden from screen readers is shown.)
 
 Defined results: null and empty pages, and pages without main text, give an
 empty text; broken markup (open tags, open quotes, cut references) is read
@@ -45,8 +46,10 @@ ROUNDS, LEAVES_DEPTH, RATE, BINS = 40, 4, 0.25, 32
 
 # Element kinds of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object canvas textarea select "
-                "title head".split())
+RAW = frozenset("script style noscript iframe textarea title".split())   # to the own end tag
+UNSHOWN = frozenset("template svg math object canvas select".split())
+# ends are not implied, end tags not sought beyond these
+SCOPES = frozenset("template svg math object select".split())
 BLOCK = frozenset("html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd nav "
                   "header footer aside form fieldset table thead tbody tfoot tr td th caption "
                   "figure figcaption blockquote pre address details summary dialog center "
@@ -71,6 +74,7 @@ TOKENS = {
     "talk": "comment comments reply replies discussion disqus respond feedback review "
             "reviews thread".split(),
     "form": "form search login input share social button follow like".split(),
+    "unread": [],   # hidden from screen readers
 }
 KIND_OF_TOKEN = {t: k for k, ts in TOKENS.items() for t in ts}
 TAG_KINDS = {"article": ("article", "main"), "p": ("p", "blockquote", "pre"),
@@ -121,8 +125,8 @@ def _tokens(attrs: str) -> tuple[tuple, bool]:
             hidden = True
         elif name == "style":
             hidden |= "display:none" in value.replace(" ", "").lower()
-        else:
-            hidden |= value.lower() == "true"
+        elif value.lower() == "true":
+            kinds.append("unread")
     return tuple(kinds), hidden
 
 
@@ -131,11 +135,13 @@ def read_page(page: str | None) -> list[Node]:
     nodes = [Node("html", -1, 0)]
     if not page:
         return nodes
-    open_: list[tuple[str, int]] = [("html", 0)]   # open elements and their nodes
-    at, skip, links = 0, "", 0
+    # open elements, their nodes and whether they are shown; what isn't shown
+    # nests and ends like the rest but makes no nodes
+    open_: list[tuple[str, int, bool]] = [("html", 0, True)]
+    at, links = 0, 0
 
     def text(raw: str) -> None:
-        if raw and not skip:
+        if raw and open_[-1][2]:
             own = nodes[open_[-1][1]]
             said = html.unescape(raw) if "&" in raw else raw
             own.parts.append(said)
@@ -144,7 +150,7 @@ def read_page(page: str | None) -> list[Node]:
 
     def close(to: int) -> None:
         nonlocal links
-        for tag, _ in open_[to:]:
+        for tag, _, _ in open_[to:]:
             links -= tag == "a"
         del open_[to:]
 
@@ -157,10 +163,6 @@ def read_page(page: str | None) -> list[Node]:
         if not tag:
             continue
         end = bool(m[1] or m[4])
-        if skip:
-            if end and tag == skip:
-                skip = ""
-            continue
         if end:
             if tag in ("html", "body"):
                 continue
@@ -168,52 +170,57 @@ def read_page(page: str | None) -> list[Node]:
                 if open_[k][0] == tag:
                     close(k)
                     break
+                if open_[k][0] in SCOPES and open_[k][0] != "select":
+                    break
             else:
-                if tag == "p":
+                if tag == "p" and open_[-1][2]:
                     nodes[open_[-1][1]].parts.append(None)
             continue
         if tag == "br" or tag == "hr":
-            nodes[open_[-1][1]].parts.append("\n")
+            if open_[-1][2]:
+                nodes[open_[-1][1]].parts.append("\n")
             continue
         attrs = m[3] if m[3] is not None else m[6]
         if tag in VOID or attrs.rstrip().endswith("/"):
             continue
         if tag in RAW:
-            if tag != "head":   # what a head shows by mistake is body text
-                skip = tag
-                # raw text ends at its own end tag only
-                if tag in ("script", "style", "textarea", "title"):
-                    stop = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                    at, skip = (stop.end() if stop else len(page)), ""
+            stop = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = stop.end() if stop else len(page)
             continue
         kinds, hidden = _tokens(attrs)
-        if tag == "html":
+        if tag == "html" or tag == "head":   # what a head shows by mistake is body text
             continue
+        for k in range(len(open_) - 1, 0, -1):   # drawings hold no such element
+            if tag not in BLOCK or open_[k][0] in BLOCK or open_[k][0] == "foreignobject":
+                break
+            if open_[k][0] in ("svg", "math"):
+                close(k)
+                break
         if tag in CLOSES_P:
             for k in range(len(open_) - 1, 0, -1):
                 if open_[k][0] == "p":
                     close(k)
                     break
-                if open_[k][0] in BLOCK:
+                if open_[k][0] in BLOCK or open_[k][0] in SCOPES:
                     break
         for k in range(len(open_) - 1, 0, -1):
             if tag in CLOSES and open_[k][0] in CLOSES[tag]:
                 close(k)
                 break
-            if open_[k][0] in CONTAINERS:
+            if open_[k][0] in CONTAINERS or open_[k][0] in SCOPES:
                 break
-        if hidden:
-            skip = tag
-            continue
-        if tag in BLOCK:
+        if hidden or tag in UNSHOWN or not open_[-1][2]:
+            links += tag == "a"
+            open_.append((tag, open_[-1][1], False))
+        elif tag in BLOCK:
             parent = open_[-1][1]
             nodes.append(Node(tag, parent, nodes[parent].depth + 1, kinds))
             nodes[parent].children.append(len(nodes) - 1)
             nodes[parent].parts.append(len(nodes) - 1)
-            open_.append((tag, len(nodes) - 1))
+            open_.append((tag, len(nodes) - 1, True))
         else:
             links += tag == "a"
-            open_.append((tag, open_[-1][1]))
+            open_.append((tag, open_[-1][1], True))
     text(page[at:])
     return nodes
 
