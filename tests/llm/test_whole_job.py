@@ -137,3 +137,9 @@ def test_what_only_screen_readers_skip_is_shown():
     nodes = html_text.read_page("<div aria-hidden='true'><p>Main</p></div>")
     assert shown("<div aria-hidden='true'><p>Main</p></div>") == "Main"
     assert nodes[1].tokens == ("unread",)
+
+
+def test_digits_of_whole_blocks():
+    nodes = html_text.read_page("<div>" + "a" * 300 + "1" * 100 + "<p>x</p>" + "2" * 400 + "</div>")
+    rows = html_text.node_features(nodes, [html_text._own_blocks(v) for v in nodes])
+    assert rows[1, html_text.FEATURES.index("digits")] == 500 / 800

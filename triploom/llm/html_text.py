@@ -288,8 +288,8 @@ def node_features(nodes: list[Node], blocks: list[list]) -> np.ndarray:
     out[:, 8] = [len(c) for c in kin]
     out[:, 9] = [(k - c[0]) / max(c[-1] - c[0], 1) for k, c in enumerate(kin)]
     out[:, 13], out[:, 14] = all_marks / np.maximum(all_words, 1), np.log1p(all_words)
-    out[:, 15] = [len(_DIGIT.findall("".join(b[:200] for b in bs if isinstance(b, str))))
-                  for bs in blocks] / np.maximum(np.minimum(own, 200), 1)
+    out[:, 15] = [sum(len(_DIGIT.findall(b)) for b in bs if isinstance(b, str))
+                  for bs in blocks] / np.maximum(own, 1)
     for k, v in enumerate(nodes):
         row, p = out[k], v.parent
         row[col["tag_" + KIND_OF_TAG.get(v.tag, "div")]] = 1
