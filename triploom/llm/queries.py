@@ -196,6 +196,94 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                         text("spans").alias("spans"), text("removable").alias("removable"))
 
 
+def op11_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import posting_lists
+
+    return posting_lists.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import hard_negatives
+
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+        .otherwise(F.col("label")).alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(
+    embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+  s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * s.score
+  AND 100 * s.score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from triploom.llm import collocations
+
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+u AS (SELECT lang, unnest(w) AS w1, unnest(w[2:]) AS w2, unnest(w[3:]) AS w3 FROM w),
+f AS (
+  SELECT lang, 1 AS size, w1 AS phrase, count(*) AS n FROM u GROUP BY ALL
+  UNION ALL
+  SELECT lang, 2 AS size, w1 || ' ' || w2 AS phrase, count(*) AS n FROM u
+  WHERE w2 IS NOT NULL GROUP BY ALL
+  UNION ALL
+  SELECT lang, 3 AS size, w1 || ' ' || w2 || ' ' || w3 AS phrase, count(*) AS n FROM u
+  WHERE w3 IS NOT NULL GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS p FROM f WHERE size > 1 AND n >= 10),
+keyed AS MATERIALIZED (SELECT lang || chr(9) || phrase AS key, n FROM f),
+cut AS MATERIALIZED (
+  SELECT lang, phrase, n AS a, k, lang || chr(9) || array_to_string(p[:k], ' ') AS p1,
+    lang || chr(9) || array_to_string(p[k + 1:], ' ') AS p2
+  FROM c JOIN (VALUES (1), (2)) AS t(k) ON k < size),
+cuts AS (
+  SELECT cut.*, x.n AS l, y.n AS r,
+    CAST(1000000 AS HUGEINT) * a * a // (CAST(x.n AS HUGEINT) * y.n) AS score
+  FROM cut JOIN keyed x ON x.key = p1 JOIN keyed y ON y.key = p2),
+low AS (
+  SELECT * FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner2 AS (
+  SELECT lang, phrase, max(n) AS most FROM (
+    SELECT lang, n, unnest([p[1] || ' ' || p[2], p[2] || ' ' || p[3]]) AS phrase
+    FROM c WHERE size = 3) GROUP BY ALL),
+kept AS (
+  SELECT low.* FROM low LEFT JOIN inner2 USING (lang, phrase)
+  WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, totals.n AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -208,8 +296,12 @@ def queries() -> dict[str, Query]:
             "op5_pii": op5_pii, "op6_quality_model": op6_quality_model, "op7_html_text": op7_html_text,
             "op8_quality_rules": op8_quality_rules,
             "op9_bpe": op9_bpe, "op10_suffix_repeats": op10_suffix_repeats,
+            "op11_posting_lists": op11_posting_lists,
+            "op12_hard_negatives": op12_hard_negatives,
+            "op13_collocations": op13_collocations,
             "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op2_chat": OP2_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op2_chat": OP2_SQL, "op12_hard_negatives": OP12_SQL,
+            "op13_collocations": OP13_SQL}
