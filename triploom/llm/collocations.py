@@ -12,10 +12,10 @@ two words that a chunk shares with the next belongs to the next, so each
 occurrence counts once; phrases of more words than three would need longer
 triggers (``TRIGGER`` is one word less than ``LONGEST``).
 
-Counting goes by length, and a phrase is only counted if the shorter ones in
-it are frequent. Which they are is looked up in a table of bits of a fixed
-size (a hash per frequent phrase): it may let rare ones pass, which the
-counts remove, but loses none, whatever the size of the data.
+A phrase of three words is only counted if both word pairs in it are
+frequent. Which they are is looked up in a table of bits of a fixed size (a
+hash per frequent pair): it may let rare ones pass, which the counts remove,
+but loses none, whatever the size of the data.
 
 Null texts have no words; a null group is ``und``. Texts without words give
 nothing, an empty table an empty result; repeated rows count each time.
@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from triploom.llm.hashing import window_hashes, word_hashes
 from triploom.session import materialize
 
 LONGEST = 3                 # words of a phrase at most
@@ -79,8 +80,8 @@ def dictionary(docs: DataFrame, text: str = "text", group: str = "lang") -> Data
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for b in batches:
-            for g, t in zip(b["grp"].to_pylist(), b["text"], strict=True):
-                raw = t.as_buffer().to_pybytes() if t.is_valid else b""
+            for g, t in zip(b["grp"].to_pylist(), b["text"].cast(pa.binary()), strict=True):
+                raw = t.as_py() or b""    # one text at a time
                 counts.update((g, c, e) for c, e in parse(raw))
                 if len(counts) >= HELD:
                     yield _sent(counts, names)
@@ -93,50 +94,81 @@ def dictionary(docs: DataFrame, text: str = "text", group: str = "lang") -> Data
         "grp", "chunk", "last").agg(F.sum("n").alias("n"))
 
 
-def bit_table(frequent: DataFrame) -> bytes:
-    """A bit per (group, phrase) of ``frequent``, at its hash: at most
-    ``BIT_TABLE`` / 64 numbers reach the driver, whatever there is."""
-    at = F.pmod(F.crc32(F.concat("grp", F.lit("\t"), "phrase")), F.lit(BIT_TABLE))
-    words = (frequent.select(at.alias("_at"))
-             .groupBy(F.expr("cast(_at div 64 as int)").alias("w"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(_at % 64 as int)))").alias("bits")).toArrow())
+def _pair_hashes(chunks: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Per chunk the place of each word pair in the bit table, and how many
+    words each chunk has."""
+    hashes = list(word_hashes(chunks, lower=False))
+    return [(window_hashes(h, 2) % np.uint64(BIT_TABLE)).astype(np.int64) for h in hashes], \
+        np.fromiter((len(h) for h in hashes), np.int64, len(hashes))
+
+
+def bit_table(pairs: DataFrame) -> bytes:
+    """A bit per frequent word pair, at its hash: at most ``BIT_TABLE`` / 64
+    numbers reach the driver, whatever there is."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = _pair_hashes(b["phrase"].cast(pa.binary()).to_pylist())[0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([*at, np.empty(0, np.int64)]))], ["at"])
+
+    words = (pairs.select("phrase").mapInArrow(work, "at long")
+             .groupBy(F.expr("cast(at div 64 as int)").alias("w"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(at % 64 as int)))").alias("bits")).toArrow())
     table = np.zeros(BIT_TABLE // 64, np.int64)
     table[words["w"].to_numpy()] = words["bits"].to_numpy()
     return table.tobytes()
 
 
-def ngram_counts(chunks: DataFrame, size: int, shorter: bytes | None) -> DataFrame:
-    """(grp, phrase, n): occurrences of every phrase of ``size`` words whose
-    first and last ``size`` - 1 words are in the table of frequent phrases."""
+def short_counts(chunks: DataFrame) -> DataFrame:
+    """(grp, phrase, n): occurrences of every word and word pair. What begins
+    in the two last words of a chunk is the next chunk's, unless its piece
+    ends there."""
+    words = F.split("chunk", " ")
+    n = F.size("_w")
+    begins = n - F.when(F.col("last"), 0).otherwise(TRIGGER)
+    pairs = F.transform(F.sequence(F.lit(1), F.least(begins, n - 1)), lambda i: F.concat_ws(
+        " ", F.get("_w", i - 1), F.get("_w", i)))
+    both = F.concat(F.slice("_w", F.lit(1), begins), F.when(
+        F.least(begins, n - 1) > 0, pairs).otherwise(F.array().cast("array<string>")))
+    return (chunks.select("grp", words.alias("_w"), "last", "n")
+            .select("grp", F.explode(both).alias("phrase"), "n")
+            .groupBy("grp", "phrase").agg(F.sum("n").alias("n")))
+
+
+def triple_counts(chunks: DataFrame, frequent_pairs: bytes) -> DataFrame:
+    """(grp, phrase, n): occurrences of every phrase of three words both of
+    whose pairs are in the table of frequent ones."""
     names = ["grp", "phrase", "n"]
-    held = None if shorter is None else chunks.sparkSession.sparkContext.broadcast(shorter)
+    held = chunks.sparkSession.sparkContext.broadcast(frequent_pairs)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = None if held is None else held.value
+        table = np.frombuffer(held.value, np.uint8)
         counts: Counter = Counter()
         for b in batches:
-            for g, c, last, n in zip(b["grp"].to_pylist(), b["chunk"], b["last"].to_pylist(),
-                                     b["n"].to_pylist(), strict=True):
-                words = c.as_buffer().to_pybytes().split(b" ")
-                # what begins in the shared last words is the next chunk's
-                ends = len(words) - (size - 1 if last else max(TRIGGER, size - 1))
-                if table is None:
-                    for w in words[:max(ends, 0)]:
-                        counts[g, w] += n
-                elif ends > 0:
-                    seed = crc32(g.encode() + b"\t")
-                    parts = [b" ".join(words[i:i + size - 1]) for i in range(ends + 1)]
-                    at = [crc32(p, seed) % BIT_TABLE for p in parts]
-                    known = [table[h >> 3] >> (h & 7) & 1 for h in at]
-                    for i in range(ends):
-                        if known[i] and known[i + 1]:
-                            counts[g, parts[i] + b" " + words[i + size - 1]] += n
+            chunk = b["chunk"].cast(pa.binary()).to_pylist()
+            group, times = b["grp"].to_pylist(), b["n"].to_pylist()
+            at, size = _pair_hashes(chunk)
+            flat = np.concatenate([*at, np.empty(0, np.int64)])
+            known = (table[flat >> 3] >> (flat & 7).astype(np.uint8)) & 1 > 0
+            first = np.concatenate([[0], np.cumsum([len(a) for a in at])]).astype(np.int64)
+            # the pair after it is of the same chunk and frequent, too
+            both = known[:-1] & known[1:] if len(known) else known
+            both = both[:len(flat) - 1] if len(flat) else both
+            edge = first[1:-1] - 1
+            both[edge[(edge >= 0) & (edge < len(both))]] = False
+            hits = np.flatnonzero(both)
+            owner = np.searchsorted(first, hits, "right") - 1
+            before, words = -1, []
+            for o, i in zip(owner.tolist(), (hits - first[owner]).tolist(), strict=True):
+                if o != before:
+                    before, words = o, chunk[o].split(b" ")
+                counts[group[o], b" ".join(words[i:i + LONGEST])] += times[o]
             if len(counts) >= HELD:
                 yield _sent(counts, names)
                 counts.clear()
         yield _sent(counts, names)
 
-    return chunks.select("grp", "chunk", "last", "n").mapInArrow(
+    return chunks.select("grp", "chunk", "n").mapInArrow(
         work, "grp string, phrase string, n long").groupBy("grp", "phrase").agg(
         F.sum("n").alias("n"))
 
@@ -162,16 +194,14 @@ def collocations(docs: DataFrame, text: str = "text", group: str = "lang", least
     (of the lowest-scoring cut), occurrences and text. A phrase of which a
     longer one covers at least ``covered`` percent is left out."""
     chunks = materialize(dictionary(docs, text, group), "chunks")
-    counts = materialize(ngram_counts(chunks, 1, None), "words")
-    total = counts.groupBy("grp").agg(F.sum("n").alias("n"))
-    frequent = [counts.filter(F.col("n") >= least)]
-    for size in range(2, LONGEST + 1):
-        found = ngram_counts(chunks, size, bit_table(frequent[-1]))
-        frequent.append(materialize(found.filter(F.col("n") >= least), f"phrases-{size}"))
-
-    parts = frequent[0]
-    for f in frequent[1:-1]:
-        parts = parts.unionByName(f)
+    own_words = F.size(F.split("chunk", " ")) - F.when(F.col("last"), 0).otherwise(TRIGGER)
+    total = chunks.groupBy("grp").agg(F.sum(F.col("n") * own_words).alias("n"))
+    parts = materialize(short_counts(chunks).filter(F.col("n") >= least), "phrases")
+    is_pair = F.instr("phrase", " ") > 0
+    pairs = parts.filter(is_pair)
+    triples = materialize(triple_counts(chunks, bit_table(pairs)).filter(F.col("n") >= least),
+                          "triples")
+    frequent = [parts.filter(~is_pair), pairs, triples]
     cuts = None
     for size, rows in enumerate(frequent[1:], 2):
         rows = rows.select("grp", "phrase", F.col("n").alias("a"))

@@ -57,7 +57,7 @@ def _chunk(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return words, np.diff(np.searchsorted(starts, bounds))
 
 
-def word_hashes(texts: list[str | None], lower: bool) -> Iterator[np.ndarray]:
+def word_hashes(texts: list[str | bytes | None], lower: bool) -> Iterator[np.ndarray]:
     """Per text, the hashes of its words (runs without ASCII white space),
     with A-Z in lower case if ``lower``. Works through chunks of about
     ``CHUNK_BYTES``; a longer text is a chunk of its own."""
@@ -69,7 +69,7 @@ def word_hashes(texts: list[str | None], lower: bool) -> Iterator[np.ndarray]:
         yield from np.split(words, np.cumsum(counts)[:-1])
 
     for t in texts:
-        raw = (t or "").encode("utf-8", "surrogatepass")
+        raw = t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass")
         raw = raw.lower() if lower else raw   # bytes: A-Z only
         if batch and size + len(raw) > CHUNK_BYTES:
             yield from done()
