@@ -1,5 +1,9 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
+from triploom.operators.first_range import NoRangeError, first_range_join, range_blocks
 from triploom.operators.time_range import range_bucket_join, time_range_dim
 
 
@@ -37,3 +41,59 @@ def test_range_join_without_broadcast(spark, conf):
     assert "NestedLoop" not in plan
     assert df.filter(F.col("rid") != F.col("expected")).count() == 0
     assert df.count() == 1440
+
+
+# ------------------------------------------------- first of several ranges ---
+
+RANGES = "id long, time_from long, time_to long, place int"
+
+
+def _first(spark, values, ranges, **how):
+    df = spark.createDataFrame([(i, v, "x") for i, v in enumerate(values)],
+                               "k long, v long, _block string")
+    r = spark.createDataFrame(ranges, RANGES)
+    return first_range_join(df, "v", r, out_col="rid", **how)
+
+
+def test_first_match_among_overlapping_ranges(spark):
+    ranges = [(1, 40, 60, 2), (2, 45, 70, 1), (3, -9, -3, 0), (4, 100, 90, 0), (5, None, 7, 0),
+              (6, 0, 2 ** 61, 9)]
+    values = [50, 60, 61, 44, -9, -3, -2, 95, 50]
+    by_id = _first(spark, values, ranges, on_missing="null").orderBy("k")
+    assert by_id.columns == ["k", "v", "_block", "rid"]
+    assert [r["rid"] for r in by_id.collect()] == [1, 1, 2, 1, 3, 3, None, 6, 1]
+    by_place = _first(spark, values, ranges, on_missing="null", order=["place"]).orderBy("k")
+    assert [r["rid"] for r in by_place.collect()] == [2, 2, 2, 1, 3, 3, None, 6, 2]
+
+
+def test_a_value_in_no_range_raises(spark):
+    with pytest.raises(NoRangeError, match=r"500 \(2 rows\)"):
+        _first(spark, [50, 500, 500], [(1, 40, 60, 0)])
+    with pytest.raises(NoRangeError):
+        _first(spark, [None], [(1, 40, 60, 0)])
+    assert _first(spark, [], [(1, 40, 60, 0)]).count() == 0
+    assert [r["rid"] for r in _first(spark, [None, 5], [], on_missing="null").collect()] == [
+        None, None]
+    with pytest.raises(TypeError):
+        first_range_join(spark.range(3).selectExpr("id / 2 as v"), "v", time_range_dim(spark))
+
+
+def test_first_range_matches_brute_force_by_every_path(spark, conf):
+    rng = random.Random(4)
+    ranges = [(i, a := rng.randrange(-500, 500), a + rng.randrange(0, 400), rng.randrange(5))
+              for i in range(200)]
+    values = [rng.randrange(-600, 900) for _ in range(3000)] + [7] * 3000
+    want = [min(((p, i) for i, a, b, p in ranges if a <= v <= b), default=(0, None))[1]
+            for v in values]
+    for limit in (1_000_000, 0):   # broadcast; salted joins with hot keys
+        conf("triploom.dim.broadcastMaxRows", limit)
+        conf("triploom.skew.hotKeyRows", 100)
+        got = _first(spark, values, ranges, order=["place"], on_missing="null").orderBy("k")
+        assert [r["rid"] for r in got.collect()] == want
+
+
+def test_blocks_are_few_and_unique_however_ranges_overlap(spark):
+    r = spark.range(1000).selectExpr("id", "id as lo", "id + 100000 as hi")
+    blocks = range_blocks(r, "lo", "hi", "id", [])
+    n, keys = blocks.count(), blocks.select("_size", "_block").distinct().count()
+    assert n == keys <= 1000 * 2 * 17

@@ -139,6 +139,16 @@ def _box_hits(coord_time: DataFrame, coord: DataFrame, box: Box,
     return both.select(F.col("id").alias("coord_time_id"), hits.alias("hits"))
 
 
+def box_hits_side(coord_time: DataFrame, coord: DataFrame, box: Box, count: str) -> DataFrame:
+    """The members that touch the box, written once (two numbers a member),
+    which counts them; marked for broadcast under the size limit."""
+    from triploom.operators.dims import broadcast_max_rows
+    from triploom.session import materialize
+
+    hits = materialize(_box_hits(coord_time, coord, box, count), "box-hits")
+    return F.broadcast(hits) if hits.count() <= broadcast_max_rows(hits.sparkSession) else hits
+
+
 def weekly_avg_bbox_star(trip: DataFrame, coord_time: DataFrame, coord: DataFrame,
                          x_a=None, y_a=None, x_b=None, y_b=None,
                          count: str = "endpoints", week: str = "week") -> DataFrame:
@@ -155,15 +165,9 @@ def weekly_avg_bbox_star(trip: DataFrame, coord_time: DataFrame, coord: DataFram
     * more: the fact's two columns are joined to the hit list by key, after
       which only matching trips are left to aggregate.
     """
-    from triploom.operators.dims import broadcast_max_rows
-    from triploom.session import materialize
-
     if count not in COUNT_MODES:
         raise ValueError(f"count must be one of {COUNT_MODES}")
-    box = Box.from_corners(x_a, y_a, x_b, y_b)
-    hits = materialize(_box_hits(coord_time, coord, box, count), "box-hits")
-    if hits.count() <= broadcast_max_rows(trip.sparkSession):
-        hits = F.broadcast(hits)
+    hits = box_hits_side(coord_time, coord, Box.from_corners(x_a, y_a, x_b, y_b), count)
     per_week = (trip.select("coord_time_id", "datetime").join(hits, "coord_time_id")
                 .groupBy(*week_key("datetime", week))
                 .agg(F.sum("hits").alias("num_trips")))

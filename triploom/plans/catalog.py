@@ -17,6 +17,7 @@ from triploom.operators.audit import coord_time_fanout_audit
 from triploom.operators.dims import (
     CT_KEYS, build_dim, name_members, point_members, trip_tuples, tuple_ids,
 )
+from triploom.operators.first_range import first_range_join
 from triploom.operators.output import scalar_text, to_json_rows
 from triploom.plans.oracle_sql import BOX, SECOND_LOAD_FROM
 from triploom.session import materialize
@@ -45,6 +46,20 @@ def q_range_bucket_join(spark, sf_dir):
     return assign_by_range_join(trips).select("trip_key", "time_of_day", "time_range_id")
 
 
+def q_first_range_match(spark, sf_dir):
+    """Line items by the first of the overlapping ranges that parts stand for;
+    values below every range are reported with a null id."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    ranges = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        key.alias("id"), key.alias("low"), (key + size * size).alias("high"),
+        (key * 7919 % 1009).alias("place"))
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", (F.col("l_partkey") + F.col("l_linenumber") - 3)
+        .alias("value"))
+    return first_range_join(lines, "value", ranges, "low", "high", order=["place"],
+                            on_missing="null", out_col="range_id")
+
+
 def _dims(spark, sf_dir):
     return conform_dims(_trips(spark, sf_dir)).dims
 
@@ -173,7 +188,7 @@ def q_by_region_json(spark, sf_dir):
 def queries() -> dict[str, Query]:
     from triploom.plans.ingest_checks import (
         q_batch_ingest, q_ingest_progress, q_quarantine_ingest, q_stream_ingest,
-        q_stream_weekly_counts,
+        q_stream_weekly_counts, q_weekly_avg_bbox_rollup, q_weekly_avg_by_region_rollup,
     )
     return {
         "clean_trips": q_clean_trips,
@@ -206,4 +221,7 @@ def queries() -> dict[str, Query]:
         "quarantine_ingest": q_quarantine_ingest,
         "ingest_progress": q_ingest_progress,
         "stream_weekly_counts": q_stream_weekly_counts,
+        "weekly_avg_by_region_rollup": q_weekly_avg_by_region_rollup,
+        "weekly_avg_bbox_rollup": q_weekly_avg_bbox_rollup,
+        "first_range_match": q_first_range_match,
     }

@@ -1,7 +1,7 @@
 """Batch ingest: trip files (or any raw-trip frame) into the star tables.
 
 One call is one batch: clean -> member sets -> each dimension's new members,
-written and read back -> fact -> log, the commit. The batch's rows are read
+written and read back -> fact and its weekly totals -> log, the commit. The batch's rows are read
 twice (member sets; fact), a third time for the rejects in quarantine mode;
 nothing of it is cached. Each stored dimension is scanned once to find the
 new members, and what the batch added is read back from its own partition.
@@ -27,11 +27,12 @@ from triploom.operators.dims import (
     tuple_ids,
 )
 from triploom.operators.fact import trip_fact
+from triploom.operators.rollup import weekly_rollup
 from triploom.schema import DIM_KEYS
 from triploom.session import materialize, scratch_scope
 from triploom.sources.csv_trips import check_only_csv, list_files, read_trips
 from triploom.sources.warehouse import (
-    GROWING, INGEST_LOG, LogHead, clear_batch, init_warehouse, log_head, path_exists,
+    GROWING, INGEST_LOG, LogHead, batch_path, clear_batch, init_warehouse, log_head, path_exists,
     read_batch, read_dims, read_table, table_path, write_batch,
 )
 
@@ -82,12 +83,30 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
         m = read_members(cleaned)
         conformed = _grow(spark, root, batch_id, head, m)
         write_batch(trip_fact(accepted, conformed), root, "trip", batch_id)
+        write_weeks(spark, root, batch_id)
         log = _log_rows(m, conformed, files, origin,
                         batch_id if origin_batch is None else origin_batch)
         write_batch(log, root, "ingest_log", batch_id)
     return batch_id
 
 
+def write_weeks(spark: SparkSession, root: str, batch_id: int) -> None:
+    """A batch's weekly totals, from the trips that it has written."""
+    write_batch(weekly_rollup(read_batch(spark, root, "trip", batch_id)), root, "trip_weeks",
+                batch_id, by=("grain",))
+
+
+def complete_weeks(spark: SparkSession, root: str) -> list[int]:
+    """Add the weekly totals of committed batches that have none, because they
+    were loaded before totals were kept. Returns their ids."""
+    init_warehouse(spark, root)
+    lacking = [b for b in range(log_head(spark, root).batch_id + 1)
+               if not path_exists(spark, batch_path(root, "trip_weeks", b))]
+    for b in lacking:
+        write_weeks(spark, root, b)
+    return lacking
+
+
 def _reject_rows(rejected: DataFrame) -> DataFrame:
     line = (F.col("_corrupt_record") if "_corrupt_record" in rejected.columns
             else F.lit(None).cast("string"))

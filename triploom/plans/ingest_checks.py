@@ -13,8 +13,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triploom.operators.rollup import weekly_avg_bbox_rollup, weekly_avg_by_region_rollup
 from triploom.plans.ingest import ingest, ingest_progress
-from triploom.plans.oracle_sql import SECOND_LOAD_FROM
+from triploom.plans.oracle_sql import BOX, SECOND_LOAD_FROM
 from triploom.session import scratch_path
 from triploom.sources.fixture import trips_from_tables
 from triploom.sources.warehouse import read_table
@@ -88,6 +89,21 @@ def q_batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_by_name(spark, two_loads(spark, sf_dir))
 
 
+def q_weekly_avg_by_region_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The region metric from the weekly totals of two loads."""
+    root = two_loads(spark, sf_dir)
+    return weekly_avg_by_region_rollup(read_table(spark, root, "trip_weeks"),
+                                       read_table(spark, root, "region"))
+
+
+def q_weekly_avg_bbox_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The box metric from the weekly totals of two loads."""
+    root = two_loads(spark, sf_dir)
+    return weekly_avg_bbox_rollup(
+        read_table(spark, root, "trip_weeks"), read_table(spark, root, "coord_time"),
+        read_table(spark, root, "coord"), *BOX)
+
+
 def _run(query) -> None:
     query.awaitTermination()
     if query.exception():

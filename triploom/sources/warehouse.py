@@ -50,12 +50,24 @@ REJECTS = T.StructType(S.RAW_TRIP.fields + [
 ])
 
 
+# Weekly totals that a batch adds; a folder per grain under the batch's.
+TRIP_WEEKS = T.StructType([
+    T.StructField("region_id", T.LongType(), True),
+    T.StructField("coord_time_id", T.LongType(), True),
+    T.StructField("iso_year", T.IntegerType(), True),
+    T.StructField("week", T.IntegerType(), True),
+    T.StructField("num_trips", T.LongType(), True),
+    T.StructField("grain", T.StringType(), True),
+])
+
+
 def _with_batch(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField("batch_id", T.LongType(), True)])
 
 
 SCHEMAS = {**{n: _with_batch(S.STAR_TABLES[n]) for n in BATCHED},
-           "rejects": _with_batch(REJECTS), "ingest_log": INGEST_LOG, "pending": PENDING}
+           "rejects": _with_batch(REJECTS), "trip_weeks": _with_batch(TRIP_WEEKS),
+           "ingest_log": INGEST_LOG, "pending": PENDING}
 
 
 def table_path(root: str, name: str) -> str:
@@ -95,7 +107,7 @@ def init_warehouse(spark: SparkSession, root: str) -> dict[str, bool]:
             time_range_dim(spark).coalesce(1).write.parquet(path)
         elif out[name]:
             _create_empty(spark, path)
-    for name in ("ingest_log", "rejects", "pending"):
+    for name in ("ingest_log", "rejects", "pending", "trip_weeks"):
         if not path_exists(spark, table_path(root, name)):
             _create_empty(spark, table_path(root, name))
     return out
@@ -145,10 +157,12 @@ def read_dims(spark: SparkSession, root: str, head: LogHead | None = None) -> St
         head.totals[n]) for n in GROWING})
 
 
-def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
-    """Replace what a table has of a batch by ``df``, which may be empty."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-       .parquet(batch_path(root, name, batch_id)))
+def write_batch(df: DataFrame, root: str, name: str, batch_id: int,
+                by: tuple[str, ...] = ()) -> None:
+    """Replace what a table has of a batch by ``df``, which may be empty;
+    ``by`` names columns that become folders below the batch's."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*by) if by else writer).parquet(batch_path(root, name, batch_id))
 
 
 def read_batch(spark: SparkSession, root: str, name: str, batch_id: int) -> DataFrame:
