@@ -461,3 +461,92 @@ def test_a_member_that_occurs_twice_fails_before_the_commit(spark, workdir, monk
         ingest(spark, df.withColumn("region", F.lit("B")), root)
     assert read_table(spark, root, "trip").count() == 1
     assert read_table(spark, root, "region").count() == 1
+
+
+def test_rollups_equal_the_fact_and_spare_it(spark, workdir):
+    from triploom.operators.metrics import weekly_avg_bbox_star
+    from triploom.operators.rollup import weekly_avg_bbox_rollup, weekly_avg_by_region_rollup
+    from triploom.plans.ingest import complete_weeks
+    from triploom.sources.warehouse import clear_batch
+
+    root = os.path.join(workdir, "wh")
+    one = [("A", pt(1, 2), pt(3, 4), T, "s"), (None, pt(1, 2), pt(1, 2), T, "s"),
+           ("B", pt(7, 7), pt(1, 2), "2021-01-03 10:00:00", "s")] * 3
+    two = [("B", pt(1, 2), pt(8, 8), "2018-12-31 10:00:00", "s"), ("A", pt(3, 4), pt(1, 2), T, "s")]
+    ingest(spark, spark.createDataFrame(one, RAW_COLS), root)
+    ingest(spark, spark.createDataFrame(one[:4], RAW_COLS), root)
+    ingest(spark, spark.createDataFrame(two, RAW_COLS), root, batch_id=1)   # replaces
+    box = (0, 0, 3, 4)
+
+    def check():
+        read = lambda n: read_table(spark, root, n)
+        weeks = read("trip_weeks")
+        for week in ("week", "iso_year_week"):
+            got = weekly_avg_by_region_rollup(weeks, read("region"), week)
+            want = weekly_avg_by_region_star(read("trip"), read("region"), week)
+            assert got.collect() == want.collect()
+            for count in ("endpoints", "trips"):
+                args = (read("coord_time"), read("coord"), *box, count, week)
+                got = weekly_avg_bbox_rollup(weeks, *args)
+                assert got.first() == weekly_avg_bbox_star(read("trip"), *args).first()
+                assert got.first()[0] > 0
+                plan = got._jdf.queryExecution().executedPlan().toString()
+                assert "trip_weeks" in plan and f"{root}/trip," not in plan
+                assert "PartitionFilters" in plan and f"{root}/trip]" not in plan
+
+    check()
+    clear_batch(spark, root, "trip_weeks", 0)   # as if it was loaded before totals were kept
+    assert complete_weeks(spark, root) == [0] and complete_weeks(spark, root) == []
+    check()
+
+
+def test_stream_deletes_what_it_committed_also_after_a_crash(spark, workdir, monkeypatch):
+    from triploom.streaming import ingest as streaming
+
+    landing, root, ckpt = (os.path.join(workdir, n) for n in ("landing", "wh", "ckpt"))
+    os.makedirs(landing)
+
+    def land(name, region):
+        with open(os.path.join(landing, name), "w") as f:
+            f.write("region,origin_coord,destination_coord,datetime,datasource\n")
+            f.write(f"{region},{pt(1, 2)},{pt(3, 4)},{T},s\n")
+
+    def run():
+        q = stream_ingest(spark, landing, root, ckpt, clean_source="delete",
+                          max_files_per_trigger=1)
+        try:
+            q.awaitTermination()
+        except Exception as e:   # the failure of the micro-batch
+            return str(e)
+
+    land("a 1%.csv", "A")
+    land("b.csv", "B")
+    run()
+    assert os.listdir(landing) == [] and read_table(spark, root, "trip").count() == 2
+    land("c.csv", "C")
+    land("d.csv", "D")
+
+    def dies(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(streaming, "remove_loaded", dies)
+        assert "lost" in run()
+    assert len(os.listdir(landing)) == 2 and read_table(spark, root, "trip").count() == 3
+    run()
+    assert os.listdir(landing) == [] and read_table(spark, root, "trip").count() == 4
+    assert read_table(spark, root, "region").count() == 4
+
+
+def test_live_boxes_are_limited_and_named(spark, workdir):
+    from triploom.streaming import weekly_live
+
+    boxes = {f"b{i}": (0, 0, i, i) for i in range(weekly_live.MAX_BOXES + 1)}
+    with pytest.raises(ValueError):
+        weekly_live.register_boxes(spark, os.path.join(workdir, "boxes"), boxes)
+    few = weekly_live.register_boxes(spark, os.path.join(workdir, "boxes"), {"a": ("2", "", 1, 3)})
+    assert [tuple(r) for r in few.collect()] == [("a", 1.0, 2.0, 0.0, 3.0)]
+    nothing = weekly_live.current_weekly_bbox(spark, os.path.join(workdir, "none"), few)
+    assert [tuple(r) for r in nothing.collect()] == [("a", 0.0)]
+    with pytest.raises(ValueError):
+        weekly_live.start_weekly_boxes(spark, workdir, few.limit(0), workdir, workdir)

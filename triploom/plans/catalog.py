@@ -188,7 +188,8 @@ def q_by_region_json(spark, sf_dir):
 def queries() -> dict[str, Query]:
     from triploom.plans.ingest_checks import (
         q_batch_ingest, q_ingest_progress, q_quarantine_ingest, q_stream_ingest,
-        q_stream_weekly_counts, q_weekly_avg_bbox_rollup, q_weekly_avg_by_region_rollup,
+        q_stream_delete, q_stream_weekly_bbox, q_stream_weekly_counts,
+        q_weekly_avg_bbox_rollup, q_weekly_avg_by_region_rollup,
     )
     return {
         "clean_trips": q_clean_trips,
@@ -221,6 +222,8 @@ def queries() -> dict[str, Query]:
         "quarantine_ingest": q_quarantine_ingest,
         "ingest_progress": q_ingest_progress,
         "stream_weekly_counts": q_stream_weekly_counts,
+        "stream_weekly_bbox": q_stream_weekly_bbox,
+        "stream_delete": q_stream_delete,
         "weekly_avg_by_region_rollup": q_weekly_avg_by_region_rollup,
         "weekly_avg_bbox_rollup": q_weekly_avg_bbox_rollup,
         "first_range_match": q_first_range_match,

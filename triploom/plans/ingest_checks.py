@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 
 from triploom.operators.rollup import weekly_avg_bbox_rollup, weekly_avg_by_region_rollup
 from triploom.plans.ingest import ingest, ingest_progress
-from triploom.plans.oracle_sql import BOX, SECOND_LOAD_FROM
+from triploom.plans.oracle_sql import BOX, LIVE_BOXES, SECOND_LOAD_FROM
 from triploom.session import scratch_path
+from triploom.sources.csv_trips import list_files
 from triploom.sources.fixture import trips_from_tables
 from triploom.sources.warehouse import read_table
 from triploom.streaming.ingest import stream_ingest
-from triploom.streaming.weekly_live import current_weekly_counts, start_weekly_counts
+from triploom.streaming.weekly_live import (
+    current_weekly_bbox, current_weekly_counts, register_boxes, start_weekly_boxes,
+    start_weekly_counts,
+)
 
 
 def write_trip_csv(spark: SparkSession, sf_dir: str, folder: str) -> tuple[str, str]:
@@ -191,3 +195,31 @@ def q_stream_weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         land_files(spark, load, landing)
         _run(start_weekly_counts(spark, landing, out, ckpt))
     return current_weekly_counts(spark, out)
+
+
+def q_stream_weekly_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live box metric of registered boxes: load 2 lands before load 1."""
+    work = scratch_path(spark, "stream-boxes")
+    load1, load2 = write_trip_csv(spark, sf_dir, os.path.join(work, "files"))
+    landing = os.path.join(work, "landing")
+    out, ckpt = os.path.join(work, "weekly"), os.path.join(work, "checkpoint")
+    boxes = register_boxes(spark, os.path.join(work, "boxes"), LIVE_BOXES)
+    for load in (load2, load1):
+        land_files(spark, load, landing)
+        _run(start_weekly_boxes(spark, landing, boxes, out, ckpt))
+    return current_weekly_bbox(spark, out, boxes)
+
+
+def q_stream_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both loads through a stream that deletes what it has committed: the
+    trips of each batch, and the files left in the landing folder."""
+    work = scratch_path(spark, "stream-delete")
+    landing, root = os.path.join(work, "landing"), os.path.join(work, "warehouse")
+    for load in write_trip_csv(spark, sf_dir, os.path.join(work, "files")):
+        land_files(spark, load, landing)
+        _run(stream_ingest(spark, landing, root, os.path.join(work, "checkpoint"),
+                           clean_source="delete"))
+    trips = read_table(spark, root, "trip").groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("num_trips"))
+    left = list_files(spark, landing).count()   # of the files, which are gone
+    return trips.withColumn("files_left", F.lit(left).cast("long"))

@@ -15,6 +15,10 @@ Results go out in ``update`` mode: each micro-batch writes the changed
 the query's, kept in its checkpoint, so a new checkpoint starts a changelog
 of its own. The current view is the latest row per group of the query that
 wrote last.
+
+:func:`start_weekly_boxes` does the same for boxes that were registered
+before: a trip adds its hits to each box that it touches, and the box metric
+is the mean over the weeks of the view.
 """
 
 from __future__ import annotations
@@ -26,7 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from triploom.functions import Box, week_key
 from triploom.operators.clean import clean_trips
+from triploom.operators.metrics import endpoint_contribution
 from triploom.sources.csv_trips import stream_trips
 from triploom.sources.warehouse import path_exists
 
@@ -34,7 +40,9 @@ WEEK = "7 days"
 MONDAY_OFFSET = "4 days"
 STATE_PARTITIONS = 8
 START_SECONDS = 60
-CHANGES = "region string, week_start timestamp_ntz, num_trips long, written_at timestamp"
+CHANGES = "{key} string, week_start timestamp_ntz, num_trips long, written_at timestamp"
+BOXES = "box string, x_min double, x_max double, y_min double, y_max double"
+MAX_BOXES = 1000   # registered boxes are literals of the query
 
 
 def _as_instant(ntz, zone: str):
@@ -60,6 +68,35 @@ def weekly_counts_stream(trips: DataFrame, group_col: str = "region") -> DataFra
                     "num_trips"))
 
 
+def register_boxes(spark: SparkSession, path: str, boxes: dict) -> DataFrame:
+    """Store named boxes (any two opposite corners: x_a, y_a, x_b, y_b), at
+    most ``MAX_BOXES``; returns the table."""
+    if len(boxes) > MAX_BOXES:
+        raise ValueError(f"at most {MAX_BOXES} boxes, not {len(boxes)}")
+    rows = [(name, b.x_min, b.x_max, b.y_min, b.y_max) for name, b in (
+        (n, Box.from_corners(*corners)) for n, corners in boxes.items())]
+    spark.createDataFrame(rows, BOXES).coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema(BOXES).parquet(path)
+
+
+def weekly_boxes_stream(trips: DataFrame, boxes: list[tuple[str, Box]],
+                        count: str = "endpoints") -> DataFrame:
+    """(box, week_start, num_trips): hits per registered box and week of a
+    stream of cleaned trips. The boxes of a trip are found row by row; trips
+    outside of all add no row."""
+    zone = trips.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
+    hits = F.array(*[F.struct(F.lit(name).alias("box"),
+                              endpoint_contribution(box, count)[0].cast("long").alias("hits"))
+                     for name, box in boxes])
+    return (trips.withColumn("_event_time", _as_instant(F.col("datetime"), zone))
+            .select("_event_time", F.explode(F.filter(hits, lambda h: h["hits"] > 0)).alias("_h"))
+            .groupBy(F.window("_event_time", WEEK, startTime=MONDAY_OFFSET).alias("_w"),
+                     F.col("_h.box").alias("box"))
+            .agg(F.sum("_h.hits").alias("num_trips"))
+            .select("box", _as_wall_clock(F.col("_w.start"), zone).alias("week_start"),
+                    "num_trips"))
+
+
 def start_weekly_counts(spark: SparkSession, landing: str, out: str, checkpoint: str,
                         available_now: bool = True, processing_time: str | None = None,
                         state_partitions: int = STATE_PARTITIONS) -> StreamingQuery:
@@ -70,6 +107,30 @@ def start_weekly_counts(spark: SparkSession, landing: str, out: str, checkpoint:
     one row per (region, week), so a few partitions fit any input size.
     """
     counts = weekly_counts_stream(clean_trips(stream_trips(spark, landing)))
+    return _keep(spark, counts, out, checkpoint, available_now, processing_time,
+                 state_partitions)
+
+
+def start_weekly_boxes(spark: SparkSession, landing: str, boxes: DataFrame, out: str,
+                       checkpoint: str, count: str = "endpoints", available_now: bool = True,
+                       processing_time: str | None = None,
+                       state_partitions: int = STATE_PARTITIONS) -> StreamingQuery:
+    """Keep the weekly hits of the registered ``boxes`` up to date in ``out``.
+    The state is one row per (box, week). Another set of boxes needs another
+    checkpoint, as the trips that have passed aren't read again."""
+    rows = boxes.limit(MAX_BOXES + 1).collect()
+    if not 0 < len(rows) <= MAX_BOXES:
+        raise ValueError(f"from 1 to {MAX_BOXES} boxes can be registered")
+    named = [(r["box"], Box(r["x_min"], r["x_max"], r["y_min"], r["y_max"])) for r in rows]
+    counts = weekly_boxes_stream(clean_trips(stream_trips(spark, landing)), named, count)
+    return _keep(spark, counts, out, checkpoint, available_now, processing_time,
+                 state_partitions)
+
+
+def _keep(spark: SparkSession, counts: DataFrame, out: str, checkpoint: str,
+          available_now: bool, processing_time: str | None,
+          state_partitions: int) -> StreamingQuery:
+    """Write the changes of ``counts`` to the changelog ``out``."""
     query_id: list[str] = []
     started = threading.Event()
 
@@ -98,12 +159,26 @@ def start_weekly_counts(spark: SparkSession, landing: str, out: str, checkpoint:
     return query
 
 
-def current_weekly_counts(spark: SparkSession, out: str) -> DataFrame:
-    """The latest count of every (region, week) in the changelog."""
+def current_weekly_bbox(spark: SparkSession, out: str, boxes: DataFrame,
+                        week: str = "week") -> DataFrame:
+    """(box, weekly_avg_trips_bb): the box metric of every registered box from
+    the changelog; 0.0 without hits."""
+    weeks = current_weekly_counts(spark, out, "box")
+    per_week = weeks.groupBy("box", *week_key("week_start", week)).agg(
+        F.sum("num_trips").alias("num_trips"))
+    means = per_week.groupBy("box").agg(F.avg("num_trips").alias("_mean"))
+    return boxes.select("box").join(means, "box", "left").select(
+        "box", F.coalesce("_mean", F.lit(0.0)).alias("weekly_avg_trips_bb"))
+
+
+def current_weekly_counts(spark: SparkSession, out: str, key: str = "region") -> DataFrame:
+    """The latest count of every (region, week) in the changelog; of every
+    (box, week) with ``key="box"``."""
+    changes = CHANGES.format(key=key)
     if not path_exists(spark, out):
-        return spark.createDataFrame([], CHANGES).drop("written_at")
-    log = spark.read.schema(CHANGES + ", query string, epoch long").parquet(out)
+        return spark.createDataFrame([], changes).drop("written_at")
+    log = spark.read.schema(changes + ", query string, epoch long").parquet(out)
     # queries over this changelog: one per checkpoint
     last = log.agg(F.max_by("query", "written_at")).first()[0]
-    return (log.filter(F.col("query") == F.lit(last)).groupBy("region", "week_start")
+    return (log.filter(F.col("query") == F.lit(last)).groupBy(key, "week_start")
             .agg(F.max_by("num_trips", "epoch").alias("num_trips")))
