@@ -129,6 +129,14 @@ def test_hidden_elements_nest_and_end_as_others_do():
     assert shown("<div><span hidden>x</div><p>Main") == "Main"
     assert shown("<svg><svg></svg>a</svg>b<template><template></template>c</template>d") == "bd"
     assert shown("<p>a<svg><text>x<p>Main</p>") == "a Main"
+    # a slash at a tag's end closes nothing but an element of a drawing
+    assert shown("<p>a</p><script src=/js/>var a=1;</script><p>b</p>") == "a b"
+    assert shown('<style media="all"/>p{color:red}</style><p>b</p>') == "b"
+    assert shown("<div data-u=/x/><p>a</p></div><p>b</p>") == "a b"
+    assert shown("<div><div/>a</div>b</div>c") == shown("<div><div>a</div>b</div>c")
+    assert shown("<p>a<svg><path d=1 /><g/></svg>b</p>") == "ab"
+    nodes = html_text.read_page("<ul><li><a href=/a/>Home page</a></li></ul><p>text</p>")
+    assert sum(v.links for v in nodes) == len("Home page")
     assert shown("<p>a <b hidden>x</b>c") == "a c"
     assert shown("<div>a<object>x</div>y</object>b</div>") == "ab"
 
@@ -143,3 +151,11 @@ def test_digits_of_whole_blocks():
     nodes = html_text.read_page("<div>" + "a" * 300 + "1" * 100 + "<p>x</p>" + "2" * 400 + "</div>")
     rows = html_text.node_features(nodes, [html_text._own_blocks(v) for v in nodes])
     assert rows[1, html_text.FEATURES.index("digits")] == 500 / 800
+
+
+def test_a_page_of_many_megabytes_is_read_whole():
+    words = " ".join(f"word{i}" for i in range(60_000))
+    page = "<div id=x/>" + f"<p>{words}</p>" * 12 + "<script src=a/>x</script></div><p>end</p>"
+    text = shown(page)
+    assert len(page) > 6_000_000 and text.count("word59999") == 12 and text.endswith("end")
+    assert "script" not in text and " x" not in text

@@ -46,6 +46,7 @@ ROUNDS, LEAVES_DEPTH, RATE, BINS = 40, 4, 0.25, 32
 
 # Element kinds of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+DRAWINGS = ("svg", "math")
 RAW = frozenset("script style noscript iframe textarea title".split())   # to the own end tag
 UNSHOWN = frozenset("template svg math object canvas select".split())
 # ends are not implied, end tags not sought beyond these
@@ -181,7 +182,11 @@ def read_page(page: str | None) -> list[Node]:
                 nodes[open_[-1][1]].parts.append("\n")
             continue
         attrs = m[3] if m[3] is not None else m[6]
-        if tag in VOID or attrs.rstrip().endswith("/"):
+        if tag in VOID:
+            continue
+        # a slash at the end closes an element of a drawing, no other
+        if attrs.rstrip().endswith("/") and (tag in DRAWINGS or any(
+                o[0] in DRAWINGS for o in open_)):
             continue
         if tag in RAW:
             stop = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
