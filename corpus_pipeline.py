@@ -39,11 +39,11 @@ def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with packed token ids, their number, and whether decoding
     them gives the text back."""
-    encode, decode = bpe.codec(spark, TOKENIZER)
-    coded = docs.withColumn("ids", encode(F.col("text"))).withColumn(
-        "n_tokens", bpe.n_tokens(F.col("ids")))
-    return coded.withColumn("round_trip", decode(F.col("ids")) == F.coalesce(
-        F.col("text"), F.lit("")))
+    coded = docs.withColumn("_coded", bpe.round_trip(spark, TOKENIZER)(F.col("text")))
+    return coded.withColumns({
+        "ids": F.col("_coded.ids"), "n_tokens": bpe.n_tokens(F.col("_coded.ids")),
+        "round_trip": F.col("_coded.decoded") == F.coalesce(F.col("text"), F.lit(""))}).drop(
+        "_coded")
 
 
 STAGES = [

@@ -244,6 +244,25 @@ def codec(spark: SparkSession, path: str):
     return F.pandas_udf(encode, "binary"), F.pandas_udf(decode, "string")
 
 
+def round_trip(spark: SparkSession, path: str):
+    """Column function text -> struct(ids, decoded): packed ids and the text
+    that they decode to, from one worker with one copy of the tables."""
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    shared = _Shared(spark, path)
+
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        enc = _built(PrefixEncoder, shared)
+        for texts in batches:
+            ids = [enc.encode(t) for t in texts]
+            yield pd.DataFrame({"ids": ids, "decoded": [enc.decode(i) for i in ids]})
+
+    both.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(both, "ids binary, decoded string")
+
+
 def n_tokens(ids: Column) -> Column:
     """Number of packed ids."""
     return F.coalesce(F.octet_length(ids) / 4, F.lit(0)).cast("long")

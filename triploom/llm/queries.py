@@ -4,15 +4,15 @@ express the result."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-TOKENIZER = os.environ.get("TRIPLOOM_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -174,10 +174,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from triploom.llm import bpe
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encode, decode = bpe.codec(spark, TOKENIZER)
-    coded = docs.select("doc_id", encode("text").alias("ids"))
-    back = coded.select("doc_id", "ids", decode("ids").alias("decoded"))
-    return back.select(
+    coded = docs.select("doc_id", bpe.round_trip(spark, TOKENIZER)("text").alias("_c"))
+    return coded.select("doc_id", "_c.ids", "_c.decoded").select(
         "doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
