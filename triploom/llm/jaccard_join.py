@@ -49,6 +49,7 @@ SHARE = 1 / 2000       # of all documents: from there on a token is frequent,
 FREQUENT_LEAST = 64    # but only with that many documents
 MAX_FREQUENT = 4_000_000   # tokens in the broadcast (8 bytes each), the most frequent
 MAX_BROADCAST_IDS = 2_000_000
+SLICE_CHARS = 2 << 20  # texts that are turned into sets at once
 BLOCK = 512            # documents a block of a cluster
 
 
@@ -64,6 +65,14 @@ def token_sets(texts, words: int) -> Iterator[np.ndarray]:
             yield h
 
 
+def _slices(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """A batch in runs of rows with about ``SLICE_CHARS`` of text, so that
+    what a task holds and sends at once doesn't follow the texts' length."""
+    at = b["text"].str.len().fillna(0).cumsum() // SLICE_CHARS
+    for _, part in b.groupby(at, sort=False):
+        yield part
+
+
 def allowed_misses(n, percent: int):
     """How many of n tokens a similar document may lack."""
     return n - -(-n * percent // 100)
@@ -84,8 +93,8 @@ def _frequent_tokens(docs: DataFrame, words: int) -> tuple[DataFrame, int]:
     what the batches that report them hold), and the number of documents."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            sets = list(token_sets(b["text"], words))
-            tokens = np.sort(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
+            tokens = np.concatenate([*token_sets(b["text"], words), np.empty(0, np.uint64)])
+            tokens.sort()
             at = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) \
                 if len(tokens) else np.empty(0, int)
             n = np.diff(np.concatenate([at, [len(tokens)]]))
@@ -120,7 +129,7 @@ def _signatures(docs: DataFrame, frequent: np.ndarray, words: int, percent: int)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often = shared.value
-        for b in batches:
+        for b in (part for batch in batches for part in _slices(batch)):
             out = []
             for tokens in token_sets(b["text"], words):
                 n = len(tokens)
@@ -172,7 +181,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def _whole_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """(doc_id, tokens) of the documents with the given ids."""
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (part for batch in batches for part in _slices(batch)):
             sets = [t.view(np.int64) for t in token_sets(b["text"], words)]
             yield pd.DataFrame({"doc_id": b["doc_id"], "tokens": sets})
 
@@ -185,7 +194,7 @@ def _possible(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     quarter of the sets' size. Prints are shared at least as often as tokens,
     but for tokens of one set that share a print, which are added."""
     def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (part for batch in batches for part in _slices(batch)):
             sets = list(token_sets(b["text"], words))
             yield pd.DataFrame({
                 "doc_id": b["doc_id"], "n": [len(t) for t in sets],
