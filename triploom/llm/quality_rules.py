@@ -216,16 +216,17 @@ def _concentrated(rows: DataFrame, start: DataFrame, least: list[float], n_group
         {f"d_{i}": F.greatest(F.col(f"a_{i}") * 1.4826, F.lit(least[i])) ** 2
          for i in range(k)} | zero).drop(*[f"a_{i}" for i in range(k)])
     for _ in range(steps):
-        far = _distance(_joined(rows, now, "_q_group", n_groups), names).select(
+        # read twice, for its median and for the near half
+        far = materialize(_distance(_joined(rows, now, "_q_group", n_groups), names).select(
             "_q_group", "_q_d2", *names, *[z.alias(f"r_{i}") for i, z in
-                                           enumerate(_deviations(names))])
+                                           enumerate(_deviations(names))]), "mcd-far")
         half = far.groupBy("_q_group").agg(mid(F.col("_q_d2")).alias("_q_half"))
         near = _joined(far, half, "_q_group", n_groups).filter(F.col("_q_d2") <= F.col("_q_half"))
         pairs = list(itertools.combinations_with_replacement(range(k), 2))
         cov = near.groupBy("_q_group").agg(
             *[F.avg(a).alias(f"m_{i}") for i, a in enumerate(names)],
             *[F.covar_pop(f"r_{j}", f"r_{i}").alias(f"s_{j}_{i}") for i, j in pairs])
-        now = materialize(_factored(cov, names, least), "mcd")
+        now = materialize(_factored(materialize(cov, "mcd-scatter"), names, least), "mcd")
     # the half's scatter isn't the group's: the factor that makes the median
     # distance the chi-square median corrects it
     far = _distance(_joined(rows, now, "_q_group", n_groups), names)
