@@ -2,8 +2,8 @@
 
 A text is lower-cased (A-Z), split into pieces at punctuation and line breaks
 and those into words. Each piece is parsed into chunks that begin and end
-with a trigger, two words whose hash is 0 modulo ``PERIOD`` (or with the
-piece): neighbouring chunks overlap by just those two words, and equal
+with a trigger, two words of which the first has a hash that is 0 modulo
+``PERIOD`` (or with the piece): neighbouring chunks overlap by just those two words, and equal
 stretches of text give equal chunks wherever they stand. The dictionary of
 distinct chunks with their frequencies stands for the texts from then on:
 copies, repeated lines and passages cost one entry. n-grams are counted
@@ -35,12 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from triploom.llm.hashing import window_hashes, word_hashes
+from triploom.llm.hashing import flat_hashes, window_hashes
 from triploom.session import materialize
 
 LONGEST = 3                 # words of a phrase at most
 TRIGGER = LONGEST - 1       # words that chunks overlap by
-PERIOD = 12                 # one in so many word pairs is a trigger
+PERIOD = 12                 # about one in so many word pairs is a trigger
 PIECES = re.compile(rb"[.,;:!?\x0A-\x0D]")
 WORDS = re.compile(rb"[^\x20\x09]+")
 BIT_TABLE = 1 << 26         # bits of the table of frequent phrases (8 MB)
@@ -55,8 +55,8 @@ def parse(text: bytes) -> Iterator[tuple[bytes, bool]]:
     for piece in PIECES.split(text.lower()):    # bytes: only A-Z change
         words = WORDS.findall(piece)
         begin = 0
-        for i in range(1, len(words) - TRIGGER):
-            if crc32(words[i + 1], crc32(words[i])) % PERIOD == 0:
+        for i, w in enumerate(words[1:-TRIGGER], 1):
+            if crc32(w) % PERIOD == 0:
                 yield b" ".join(words[begin:i + TRIGGER]), False
                 begin = i
         if words:
@@ -94,12 +94,15 @@ def dictionary(docs: DataFrame, text: str = "text", group: str = "lang") -> Data
         "grp", "chunk", "last").agg(F.sum("n").alias("n"))
 
 
-def _pair_hashes(chunks: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Per chunk the place of each word pair in the bit table, and how many
-    words each chunk has."""
-    hashes = list(word_hashes(chunks, lower=False))
-    return [(window_hashes(h, 2) % np.uint64(BIT_TABLE)).astype(np.int64) for h in hashes], \
-        np.fromiter((len(h) for h in hashes), np.int64, len(hashes))
+def _pair_places(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The place in the bit table of every word with its next one, over all
+    chunks in one array, and where each chunk's words begin in it. The last
+    word of a chunk has no pair; its place means nothing."""
+    words, counts = flat_hashes(chunks)
+    first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    places = np.zeros(len(words), np.int64)
+    places[:-1] = window_hashes(words, 2) % np.uint64(BIT_TABLE)
+    return places, first
 
 
 def bit_table(pairs: DataFrame) -> bytes:
@@ -107,9 +110,8 @@ def bit_table(pairs: DataFrame) -> bytes:
     numbers reach the driver, whatever there is."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = _pair_hashes(b["phrase"].cast(pa.binary()).to_pylist())[0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([*at, np.empty(0, np.int64)]))], ["at"])
+            places, first = _pair_places(b["phrase"].cast(pa.binary()).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(places[first[:-1]])], ["at"])
 
     words = (pairs.select("phrase").mapInArrow(work, "at long")
              .groupBy(F.expr("cast(at div 64 as int)").alias("w"))
@@ -147,15 +149,14 @@ def triple_counts(chunks: DataFrame, frequent_pairs: bytes) -> DataFrame:
         for b in batches:
             chunk = b["chunk"].cast(pa.binary()).to_pylist()
             group, times = b["grp"].to_pylist(), b["n"].to_pylist()
-            at, size = _pair_hashes(chunk)
-            flat = np.concatenate([*at, np.empty(0, np.int64)])
-            known = (table[flat >> 3] >> (flat & 7).astype(np.uint8)) & 1 > 0
-            first = np.concatenate([[0], np.cumsum([len(a) for a in at])]).astype(np.int64)
-            # the pair after it is of the same chunk and frequent, too
-            both = known[:-1] & known[1:] if len(known) else known
-            both = both[:len(flat) - 1] if len(flat) else both
-            edge = first[1:-1] - 1
-            both[edge[(edge >= 0) & (edge < len(both))]] = False
+            places, first = _pair_places(chunk)
+            known = (table[places >> 3] >> (places & 7).astype(np.uint8)) & 1 > 0
+            # two pairs of one chunk, so not from its last two words on
+            both = np.zeros(len(known), bool)
+            both[:-1] = known[:-1] & known[1:]
+            for back in (1, 2):
+                end = first[1:] - back
+                both[end[end >= first[:-1]]] = False
             hits = np.flatnonzero(both)
             owner = np.searchsorted(first, hits, "right") - 1
             before, words = -1, []

@@ -80,6 +80,17 @@ def word_hashes(texts: list[str | bytes | None], lower: bool) -> Iterator[np.nda
         yield from done()
 
 
+def flat_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of all texts in one array, and the number of
+    words of each text. For many short texts; works through chunks."""
+    sizes = np.cumsum(np.fromiter((len(t) for t in texts), np.int64, len(texts)))
+    edges = np.searchsorted(sizes, np.arange(CHUNK_BYTES, int(sizes[-1]) if len(texts) else 0,
+                                             CHUNK_BYTES))
+    parts = [_chunk(texts[a:b]) for a, b in zip([0, *edges], [*edges, len(texts)]) if a < b]
+    return (np.concatenate([np.empty(0, _U), *[p[0] for p in parts]]),
+            np.concatenate([np.empty(0, np.int64), *[p[1] for p in parts]]))
+
+
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """A hash per window of ``size`` words, in order; none for fewer words."""
     n = len(words) - size + 1
