@@ -128,10 +128,10 @@ def short_counts(chunks: DataFrame) -> DataFrame:
     words = F.split("chunk", " ")
     n = F.size("_w")
     begins = n - F.when(F.col("last"), 0).otherwise(TRIGGER)
-    pairs = F.transform(F.sequence(F.lit(1), F.least(begins, n - 1)), lambda i: F.concat_ws(
-        " ", F.get("_w", i - 1), F.get("_w", i)))
-    both = F.concat(F.slice("_w", F.lit(1), begins), F.when(
-        F.least(begins, n - 1) > 0, pairs).otherwise(F.array().cast("array<string>")))
+    first = lambda k: F.slice("_w", F.lit(1), F.greatest(k, F.lit(0)))
+    pairs = F.transform(first(F.least(begins, n - 1)), lambda w, i: F.concat(
+        w, F.lit(" "), F.get("_w", i + 1)))
+    both = F.concat(first(begins), pairs)
     return (chunks.select("grp", words.alias("_w"), "last", "n")
             .select("grp", F.explode(both).alias("phrase"), "n")
             .groupBy("grp", "phrase").agg(F.sum("n").alias("n")))
