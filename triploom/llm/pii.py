@@ -4,14 +4,21 @@ weighs them, and a span classifier trained on the outcome decides.
 Base spans (email, ip, card, phone) follow fixed patterns and always stay.
 Wider patterns add candidates: obfuscated addresses, local phone numbers,
 long addresses, digit runs and dotted or dialled numbers that fail a base
-test. Four labelers vote +1, 0 or -1 on every candidate: the strict pattern,
-the structure (check digit, ranges, lengths), a gazetteer (issuer, country
-and domain tables) and the words before the span. Per kind, the counts of
-vote patterns over the whole corpus (at most 81) give each labeler's
-reliability and each pattern's probability by expectation-maximisation.
-Those soft labels train a naive Bayes classifier on the span's shape and
-surroundings, again from counts over all candidates; candidates that it
-accepts are added to the base spans.
+test, and secrets (values of assignments, keys with a known head). Three
+labelers vote +1, 0 or -1 on every candidate: a pattern of how such a thing
+is usually written (numbers that break a check digit or a range aren't; the
+other base patterns and tests have no say), a gazetteer
+(issuers, country and area codes, address blocks, domains, names of settings)
+and the context (words that speak for or against the kind, or whether the
+span stands between words or between numbers; for secrets, quotes). Per kind,
+the counts of vote patterns over the whole corpus (at most 27) give each
+labeler's reliability and each pattern's probability by
+expectation-maximisation. Those soft labels train a naive Bayes classifier on
+the span's shape, check digit and surroundings (the word before by a hash
+into NAMES values), which doesn't see the votes, again from
+counts over all candidates; candidates that it accepts are added to the base
+spans. A candidate that overlaps a base span says nothing new, but for a
+secret that reaches beyond it.
 
 Only those bounded count tables (vote patterns; feature values) reach the
 driver. Positions are code points, end exclusive. The patterns use
@@ -35,10 +42,14 @@ from pyspark.sql import functions as F
 from triploom.llm.words import let
 from triploom.session import materialize
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret")
+BASE_KINDS = KINDS[:4]
 CONTEXT = 32            # characters before a span that the context labeler reads
-ACCEPT = 0.95           # probability from which a candidate is added
+AFTER = 16              # and behind it
+NAMES = 128             # values that the classifier tells apart of the word before
+ACCEPT = 0.9            # probability from which a candidate is added
 EM_ROUNDS = 40
+PULL = 4.0              # spans that a class's share of a feature value is smoothed by
 
 LOCAL, LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 EMAIL = rf"(?:\G|(?<!{LOCAL})){LOCAL}++@{LABEL}++(?:\.{LABEL}++)++"
@@ -48,13 +59,26 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 HIDDEN_EMAIL = (rf"(?<!{LOCAL}){LOCAL}++\x20?(?:\(at\)|\[at\])\x20?{LABEL}++"
                 rf"(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?){LABEL}++)++")
 LONG_IP = r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])"
+SECRET = (r"(?:(?<=[:=]\x20{0,2}[\x22']?)[A-Za-z0-9+/_~-]{16,}+=*+"
+          r"|(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}"
+          r"|sk-[A-Za-z0-9]{20,}+)(?![A-Za-z0-9]))")
 LOCAL_PHONE = r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"
 
 # Issuer prefixes of payment cards, common country codes,
-# common top-level domains, and words that speak for or against a kind.
+# common top-level domains, special-purpose address blocks, names of settings
+# that hold secrets or don't, and words that speak for or against a kind.
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|36|38|6011|65|35)"
 COUNTRIES = r"^(?:1|20|27|3[0-469]|4[0-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])"
 DOMAINS = r"(?i)\.(?:com|org|net|edu|gov|io|info|biz|eu|us|uk|de|fr|es|it|nl|ch|at|be|pl|se)$"
+FILES = r"(?i)\.(?:png|jpg|jpeg|gif|svg|js|css|py|html|json|txt)$"
+NO_HOST = r"^(?:0|127|255|22[4-9]|23[0-9])\."
+LONG_BLOCKS = r"(?i)^(?:2|3)[0-9a-f]{3}:|^f[cd][0-9a-f]{2}:|^fe80:"
+SECRET_NAMES = (r"(?i)(?:token|secret|passw(?:or)?d|passphrase|credential|api[_-]?key"
+                r"|access[_-]?key|private[_-]?key|auth)[A-Za-z0-9_-]{0,16}[\x22']?\x20*"
+                r"[:=]\x20*[\x22']?$")
+PLAIN_NAMES = (r"(?i)(?:\bid|class|name|href|src|path|url|hash|md5|sha[0-9]*|digest|checksum"
+               r"|commit|etag|integrity)[\x22']?\x20*[:=]\x20*[\x22']?$")
+KEY_HEADS = r"^(?:AKIA|gh[pousr]_|sk-)"
 FOR = {"email": r"(?i)\b(?:e-?mail|contact|write|reach|address)",
        "ip": r"(?i)\b(?:ip|host|server|address|from|login)\b",
        "card": r"(?i)\b(?:card|visa|master|amex|pay|credit|debit)",
@@ -75,7 +99,7 @@ def _matches(text: Column, pattern: str) -> Column:
     rows = let(pieces, lambda p: F.zip_with(
         F.zip_with(p, found, lambda gap, m: F.struct(gap.alias("gap"), m.alias("m"))),
         F.slice(p, 2, F.size(p)), lambda x, after: F.struct(
-            x["gap"].alias("gap"), x["m"].alias("m"), F.substring(after, 1, 1).alias("after"))))
+            x["gap"].alias("gap"), x["m"].alias("m"), F.substring(after, 1, AFTER).alias("after"))))
     span = lambda s, r: F.struct(
         (s["at"] + F.length(r["gap"])).alias("start"),
         (s["at"] + F.length(r["gap"]) + F.length(r["m"])).alias("end"),
@@ -112,27 +136,54 @@ def _dialled(m: Column) -> Column:
     return F.length(digits_of(m)).between(9, 15)
 
 
+def _sound(kind: str, m: Column) -> Column:
+    """Whether a number keeps its kind's check digit or ranges."""
+    if kind == "card":
+        return luhn(digits_of(m))
+    return m.contains(":") | _octets(m) if kind == "ip" else F.lit(True)
+
+
 def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
 
-def _votes(kind: str, m: Column, before: Column, base: Column) -> list[Column]:
-    """The four labelers: strict pattern, structure, gazetteer, context."""
-    digits = digits_of(m)
+def _votes(kind: str, m: Column, before: Column, after: Column) -> list[Column]:
+    """The three labelers: usual form, gazetteer, context."""
+    digits, sound = digits_of(m), _sound(kind, m)
     if kind == "email":
-        ok = m.rlike(r"^[A-Za-z0-9].*[A-Za-z]{2,24}$")
-        known, odd = m.rlike(DOMAINS), F.lit(False)
+        form = _vote(m.rlike(r"^[A-Za-z0-9](?:.*[^.+_-])?(?:@|\x20?[(\[]at[)\]]\x20?)"
+                             r"[A-Za-z0-9].*[A-Za-z]{2,24}$"), m.rlike(r"^[^A-Za-z0-9]|[0-9]$"))
+        known = _vote(m.rlike(DOMAINS), m.rlike(FILES))
     elif kind == "ip":
-        ok = F.when(m.contains(":"), m.rlike("[A-Fa-f]")).otherwise(_octets(m))
-        known, odd = ~m.rlike(r"^(?:0|255)\.") & ~m.contains(":"), m.rlike(r"^(?:0|255)\.")
+        form = _vote(sound & (m.rlike(r"^(?:(?:0|[1-9][0-9]{0,2})(?:\.|$)){4}$")
+                              | (m.contains(":") & m.rlike("[A-Fa-f]"))),
+                     ~sound | m.rlike(r"(?:^|\.)0[0-9]"))
+        known = _vote(F.when(m.contains(":"), m.rlike(LONG_BLOCKS)).otherwise(
+            ~m.rlike(NO_HOST)), m.rlike(NO_HOST) | m.contains(":"))
     elif kind == "card":
-        ok = luhn(digits)
-        known, odd = digits.rlike(ISSUERS), ~digits.rlike(ISSUERS)
+        form = _vote(sound & m.rlike(r"^(?:[0-9]{13,16}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}"
+                             r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})$"),
+                     ~sound | m.rlike(r"[ -][0-9]{1,2}[ -]|[ -][0-9]{7}"))
+        known = _vote(digits.rlike(ISSUERS), ~digits.rlike(ISSUERS))
+    elif kind == "phone":
+        form = _vote(m.rlike(r"^\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,5}\)?){2,5}$")
+                     | m.rlike(r"^\(?[0-9]{3}\)?([ .-])[0-9]{3}[.-]?\x20?[0-9]{4}$"),
+                     m.rlike(r"[ .()-]{3}|[0-9]{12}"))
+        known = _vote(F.when(m.startswith("+"), digits.rlike(COUNTRIES)).otherwise(
+            digits.rlike("^[2-9][0-9]{2}[2-9]")), F.lit(True))
     else:
-        ok = F.when(m.startswith("+"), _dialled(m)).otherwise(F.length(digits) == 10)
-        known, odd = digits.rlike(COUNTRIES) & m.startswith("+"), digits.rlike("^0{3}")
-    return [_vote(base, ~base), _vote(ok, ~ok), _vote(known, odd),
-            _vote(before.rlike(FOR[kind]), before.rlike(AGAINST[kind]))]
+        both = m.rlike("[0-9]") & m.rlike("[A-Za-z]")
+        form = _vote(both & (m.rlike(r"^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$") | m.rlike(KEY_HEADS)
+                             | m.rlike(r"^(?=[^A-Z]*[A-Z])(?=[^a-z]*[a-z]).{20,}$")),
+                     ~both | m.rlike(r"^/|[A-Za-z]{3,}[_/-][A-Za-z]{3,}"))
+        known = _vote(before.rlike(SECRET_NAMES) | m.rlike(KEY_HEADS), before.rlike(PLAIN_NAMES))
+        return [form, known, _vote(before.rlike(r"[\x22']$") & after.rlike(r"^[\x22']"),
+                                   before.rlike("[?&/][^\\s]*$"))]
+    numbers = before.rlike(r"[0-9][^\p{L}]*$") | after.rlike(r"^[^\p{L}]*[0-9]")
+    words = (before.rlike(r"\p{L}{2}[,;:.]?\s+[\x22'(]?$")
+             & after.rlike(r"^[\x22').,;:!?]*(?:\s+\p{L}|\s*$)"))
+    cue, odd = before.rlike(FOR[kind]), before.rlike(AGAINST[kind])
+    return [form, known, _vote(cue & ~odd | ~odd & ~numbers & words, ~cue & (odd | numbers))]
 
 
 def _features(kind: str, m: Column, before: Column, after: Column) -> Column:
@@ -140,10 +191,17 @@ def _features(kind: str, m: Column, before: Column, after: Column) -> Column:
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(
         m, "[0-9]+", "9"), "[A-Za-z]+", "a"), "[^9a]", "-")
     side = lambda c: (F.when(F.coalesce(c, F.lit("")) == "", "edge")
-                      .when(c.rlike(r"\s"), "space").when(c.rlike("[A-Za-z]"), "letter")
+                      .when(c.rlike(r"^\s"), "space").when(c.rlike("[A-Za-z]"), "letter")
                       .when(c.rlike("[0-9]"), "digit").otherwise("mark"))
     named = {"shape": F.substring(shape, 1, 8), "prev": side(F.right(before, F.lit(1))),
-             "next": side(after), "length": F.least(F.length(m), F.lit(40)).cast("string")}
+             "next": side(F.substring(after, 1, 1)),
+             "length": F.least(F.length(m), F.lit(40)).cast("string"),
+             "digits": F.least(F.length(digits_of(m)), F.lit(40)).cast("string"),
+             "sound": F.when(_sound(kind, m), "yes").otherwise("no"),
+             "name": F.pmod(F.xxhash64(F.lower(F.regexp_extract(
+                 before, r"(\p{L}+)[^\p{L}]*$", 1))), F.lit(NAMES)).cast("string"),
+             "word": F.when(before.rlike(r"\p{L}[^\p{L}0-9]{0,4}$"), "letters")
+                     .when(before.rlike(r"[0-9][^\p{L}0-9]{0,4}$"), "digits").otherwise("none")}
     return F.array(*[F.concat(F.lit(f"{kind}|{n}="), v) for n, v in named.items()])
 
 
@@ -156,7 +214,7 @@ def _candidates(text: Column, kind: str, pattern: str, gate: Column, base) -> Co
     def candidate(x: Column) -> Column:
         is_base = base(x["m"])
         votes = [F.substring(F.lit("-0+"), v + 2, F.lit(1))
-                 for v in _votes(kind, x["m"], x["before"], is_base)]
+                 for v in _votes(kind, x["m"], x["before"], x["after"])]
         return F.struct(
             x["start"].alias("start"), F.lit(at).alias("kind"), x["end"].alias("end"),
             is_base.alias("base"), F.concat(F.lit(f"{kind}|"), *votes).alias("votes"),
@@ -181,10 +239,13 @@ def find_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
         _candidates(text, "card", CARD, text.rlike("[0-9]"), lambda m: luhn(digits_of(m))),
         _candidates(text, "phone", PHONE, text.contains("+"), _dialled),
         _candidates(text, "phone", LOCAL_PHONE, text.rlike("[0-9]{3}[ .-][0-9]{4}"), no),
+        _candidates(text, "secret", SECRET, text.rlike("[A-Za-z0-9+/_~-]{16}"), no),
     ]
-    # a candidate over a base span says nothing new
+    over = lambda b, c: F.when(
+        c["kind"] == KINDS.index("secret"), (b["start"] <= c["start"]) & (c["end"] <= b["end"])
+    ).otherwise((b["start"] < c["end"]) & (c["start"] < b["end"]))
     free = lambda all_, c: c["base"] | ~F.exists(
-        all_, lambda b: b["base"] & (b["start"] < c["end"]) & (c["start"] < b["end"]))
+        all_, lambda b: b["base"] & over(b, c))
     return docs.withColumn("_p_found", let(F.sort_array(F.concat(*found)), lambda all_: F.filter(
         all_, lambda c: free(all_, c))))
 
@@ -193,8 +254,8 @@ def find_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 @dataclass(frozen=True)
 class SpanModel:
-    """Log-odds per feature value and per vote, and a bias per kind; the
-    labelers' reliabilities are kept for reports."""
+    """Log-odds per feature value and a bias per kind; the labelers'
+    reliabilities are kept for reports."""
 
     weights: dict[str, float]
     bias: dict[str, float]
@@ -240,13 +301,6 @@ def _literal_map(values: dict[str, float]) -> Column:
     return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,double>")
 
 
-def _all_features(c: Column) -> Column:
-    """Shape features and the labelers' votes, as feature values."""
-    kind, votes = F.substring_index(c["votes"], "|", 1), F.substring_index(c["votes"], "|", -1)
-    cast = [F.concat(kind, F.lit(f"|vote{j}="), F.substring(votes, j + 1, 1)) for j in range(4)]
-    return F.concat(c["features"], F.array(*cast))
-
-
 def fit(found: DataFrame) -> SpanModel:
     """Train on the stored candidates of all rows (a column _p_found)."""
     spans = found.select(F.explode("_p_found").alias("c"))
@@ -258,17 +312,20 @@ def fit(found: DataFrame) -> SpanModel:
     if not posterior:
         return SpanModel({}, {}, {})
     soft = F.element_at(_literal_map(posterior), F.col("c.votes"))
-    counts = (spans.select(soft.alias("p"), F.explode(_all_features(F.col("c"))).alias("f"))
+    counts = (spans.select(soft.alias("p"), F.explode("c.features").alias("f"))
               .groupBy("f").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")))
     totals = {k: (sum(n * posterior[f"{k}|{v}"] for v, n in c.items()),
                   sum(n * (1 - posterior[f"{k}|{v}"]) for v, n in c.items()))
               for k, c in patterns.items()}
     weights = {}
     for r in counts.collect():
+        # smoothed towards the value's share in both classes together, so that
+        # a class of few spans says little
         yes, no = totals[r["f"].split("|")[0]]
-        weights[r["f"]] = math.log((r["yes"] + 1) / (yes + 40)) - math.log(
-            (r["no"] + 1) / (no + 40))
-    bias = {k: math.log((yes + 1) / (no + 1)) for k, (yes, no) in totals.items()}
+        share = PULL * (r["yes"] + r["no"]) / (yes + no)
+        weights[r["f"]] = math.log((r["yes"] + share) / (yes + PULL)) - math.log(
+            (r["no"] + share) / (no + PULL))
+    bias = {k: math.log((yes + 0.5) / (no + 0.5)) for k, (yes, no) in totals.items()}
     return SpanModel(weights, bias, reliability)
 
 
@@ -283,7 +340,7 @@ def choose_spans(found: DataFrame, model: SpanModel, accept: float = ACCEPT) ->
         return out.withColumn("_p_spans", F.col("_p_base"))
     weights, bias = _literal_map(model.weights), _literal_map(model.bias)
     score = lambda c: F.aggregate(
-        _all_features(c), F.element_at(bias, F.substring_index(c["votes"], "|", 1)),
+        c["features"], F.element_at(bias, F.substring_index(c["votes"], "|", 1)),
         lambda a, f: a + F.coalesce(F.element_at(weights, f), F.lit(0.0)))
     added = F.filter("_p_found", lambda c: ~c["base"]
                      & (score(c) >= math.log(accept / (1 - accept))))

@@ -139,9 +139,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda k: F.size(F.filter(
         "_p_base", lambda s: s["kind"] == pii.KINDS.index(k))).cast("long")
     return found.select(
-        "doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+        "doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE_KINDS],
         F.sha2(pii.spans_text(F.col("_p_base")), 256).alias("base_sha256"),
-        pii.spans_text(F.col("_p_spans")).alias("spans"))
+        pii.spans_text(F.col("_p_spans")).alias("spans"),
+        F.size("_p_spans").cast("long").alias("n_spans"))
 
 
 def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
