@@ -1,10 +1,11 @@
 """Word-based operators against brute force on small, awkward tables."""
 
 import collections
+import math
 import re
 
 import pytest
-from llm_force import WORD, contamination_by_force, jaccard_by_force, spans_by_force
+from llm_force import WORD, contamination_by_force, jaccard_by_force, luhn, spans_by_force
 from pyspark.sql import functions as F
 
 from triploom.llm import chat, decontaminate, jaccard_join, pii, quality_rules, suffix_repeats
@@ -132,6 +133,97 @@ def test_votes_estimate_separates_good_from_bad():
     assert reliability["card"][0] > 0.9
 
 
+def planted(n=60):
+    """Texts with one further span or one decoy each, beside base spans."""
+    import random
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("aeioulnrst") for _ in range(rnd.randint(3, 8)))
+    words = lambda: " ".join(word() for _ in range(rnd.randint(3, 12)))
+    digits = lambda k: "".join(rnd.choice("0123456789") for _ in range(k))
+    hexes = lambda k: "".join(rnd.choice("0123456789abcdef") for _ in range(k))
+
+    def card(good):
+        while True:
+            d = ("4" if good else rnd.choice("01789")) + digits(15)
+            if luhn(d) == good:
+                return d
+
+    out = []                # text, (start, kind, end) or None, whether to be found
+    for _ in range(n):
+        base = rnd.choice([f"{word()}@{word()}.com", f"8.{rnd.randint(1, 250)}.7.9", card(True),
+                           f"+1 (717) 555-{digits(4)}"])
+        for kind, lead, span, found in [
+                (0, "", f"{word()}.{word()} (at) {word()}.example.com", True),
+                (1, "", ":".join(["2001"] + [hexes(4) for _ in range(7)]), True),
+                (3, "", f"({rnd.randint(201, 989)}) {rnd.randint(201, 989)}-{digits(4)}", True),
+                (4, 'token = "', hexes(40), True), (4, "api_key='", digits(1) + "aB" + hexes(27), True),
+                (2, "", card(False), False), (1, "", f"{rnd.randint(256, 999)}.4.3.{digits(2)}", False),
+                (4, "commit: ", hexes(40), False), (3, "", "000 " + digits(3) + " " + digits(4), False)]:
+            text = f"{words()} {lead}"
+            at = len(text)
+            close = lead[-1] if lead[-1:] in ("'", '"') else ""
+            out.append((f"{text}{span}{close} {words()} {base} {words()}.",
+                        (at, kind, at + len(span)), found))
+    return out
+
+
+def test_added_spans_of_a_planted_table(spark):
+    rows = planted()
+    found = pii.find_candidates(docs(spark, [t for t, _, _ in rows])).cache()
+    model = pii.fit(found)
+    right = wrong = missed = 0
+    for r in pii.choose_spans(found, model).collect():
+        text, span, wanted = rows[r["doc_id"]]
+        base = spans_by_force(text)
+        added = {tuple(s) for s in r["_p_spans"]} - set(base)
+        assert [tuple(s) for s in r["_p_base"]] == base
+        right += wanted and span in added
+        missed += wanted and span not in added
+        wrong += len(added - ({span} if wanted else set()))
+    print("added spans:", right, "right,", wrong, "wrong,", missed, "missed")
+    assert right >= 0.95 * (right + missed) and right >= 0.95 * (right + wrong)
+
+
+def test_span_classifier_matches_plain_counts(spark):
+    found = pii.find_candidates(docs(spark, [t for t, _, _ in planted(10)]))
+    model = pii.fit(found.cache())
+    spans = [c for r in found.collect() for c in r["_p_found"]]
+    patterns = collections.defaultdict(collections.Counter)
+    for c in spans:
+        patterns[c["votes"].split("|")[0]][c["votes"].split("|")[1]] += 1
+    _, p = pii.estimate_votes(patterns)
+    for kind in patterns:
+        mine = [c for c in spans if c["votes"].startswith(kind + "|")]
+        yes = sum(p[c["votes"]] for c in mine)
+        no = len(mine) - yes
+        assert abs(model.bias[kind] - math.log((yes + 0.5) / (no + 0.5))) < 1e-6
+        for f in {f for c in mine for f in c["features"]}:
+            have = [p[c["votes"]] for c in mine if f in c["features"]]
+            pull = pii.PULL * len(have) / len(mine)
+            want = (math.log((sum(have) + pull) / (yes + pii.PULL))
+                    - math.log((len(have) - sum(have) + pull) / (no + pii.PULL)))
+            assert abs(model.weights[f] - want) < 1e-6, f
+        assert not any("vote" in f for c in mine for f in c["features"])
+
+
+def test_every_labeler_votes(spark):
+    from triploom.llm.queries import table
+    found = pii.find_candidates(table(spark, "/root/testdata/sf0.01", "documents"))
+    votes = [r["v"] for r in found.select(F.explode("_p_found.votes").alias("v")).collect()]
+    for kind in pii.KINDS:
+        mine = [v.split("|")[1] for v in votes if v.startswith(kind + "|")]
+        # the usual form abstains on hexadecimal values, all that secrets are here
+        assert mine and all(any(v[j] != "0" for v in mine)
+                            for j in range(kind == "secret", 3)), kind
+
+
+def test_secrets_are_redacted(spark):
+    secret = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    texts = [f'in words token = "{secret[i:] + secret[:i]}" and more words' for i in range(30)]
+    got = [r["text"] for r in pii.redact(docs(spark, texts)).collect()]
+    assert got == ['in words token = "<SECRET>" and more words'] * 30
+
+
 # -------------------------------------------------------- quality rules ---
 
 def statistics_by_force(text):

@@ -159,7 +159,7 @@ def _votes(kind: str, m: Column, before: Column, after: Column) -> list[Column]:
                               | (m.contains(":") & m.rlike("[A-Fa-f]"))),
                      ~sound | m.rlike(r"(?:^|\.)0[0-9]"))
         known = _vote(F.when(m.contains(":"), m.rlike(LONG_BLOCKS)).otherwise(
-            ~m.rlike(NO_HOST)), m.rlike(NO_HOST) | m.contains(":"))
+            sound & ~m.rlike(NO_HOST)), F.lit(True))
     elif kind == "card":
         form = _vote(sound & m.rlike(r"^(?:[0-9]{13,16}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}"
                              r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})$"),
@@ -167,13 +167,14 @@ def _votes(kind: str, m: Column, before: Column, after: Column) -> list[Column]:
         known = _vote(digits.rlike(ISSUERS), ~digits.rlike(ISSUERS))
     elif kind == "phone":
         form = _vote(m.rlike(r"^\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,5}\)?){2,5}$")
-                     | m.rlike(r"^\(?[0-9]{3}\)?([ .-])[0-9]{3}[.-]?\x20?[0-9]{4}$"),
-                     m.rlike(r"[ .()-]{3}|[0-9]{12}"))
+                     | m.rlike(r"^\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}$"),
+                     m.rlike(r"^\(?[01]|[ .()-]{3}|[0-9]{12}"))
         known = _vote(F.when(m.startswith("+"), digits.rlike(COUNTRIES)).otherwise(
             digits.rlike("^[2-9][0-9]{2}[2-9]")), F.lit(True))
     else:
         both = m.rlike("[0-9]") & m.rlike("[A-Za-z]")
-        form = _vote(both & (m.rlike(r"^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$") | m.rlike(KEY_HEADS)
+        # hexadecimal values may be digests as well: no vote
+        form = _vote(both & (m.rlike(KEY_HEADS)
                              | m.rlike(r"^(?=[^A-Z]*[A-Z])(?=[^a-z]*[a-z]).{20,}$")),
                      ~both | m.rlike(r"^/|[A-Za-z]{3,}[_/-][A-Za-z]{3,}"))
         known = _vote(before.rlike(SECRET_NAMES) | m.rlike(KEY_HEADS), before.rlike(PLAIN_NAMES))
