@@ -12,6 +12,7 @@ FAST = ["clean_trips", "time_range_assign", "range_bucket_join", "region_dim",
         "weekly_avg_by_region_iso_year", "endpoint_points", "weekly_avg_bbox",
         "weekly_avg_bbox_star", "weekly_avg_bbox_star_trips", "coord_time_fanout_audit",
         "by_region_json", "line_point_dim", "weekly_avg_by_region_star", "batch_ingest",
+        "compacted_ingest",
         "quarantine_ingest", "ingest_progress", "stream_weekly_counts"]
 
 

@@ -215,10 +215,10 @@ def test_failed_batch_is_invisible_and_replaced(spark, workdir, monkeypatch):
     ingest(spark, first, root)
     real = I.write_batch
 
-    def failing(df, root_, name, batch_id):
+    def failing(df, root_, name, batch_id, **kw):
         if name == "trip":
             raise RuntimeError("executor lost while writing the fact")
-        return real(df, root_, name, batch_id)
+        return real(df, root_, name, batch_id, **kw)
 
     second = spark.createDataFrame([("B", pt(5, 6), pt(7, 8), T, "t")], RAW_COLS)
     monkeypatch.setattr(I, "write_batch", failing)
@@ -288,10 +288,10 @@ def _fail_at(monkeypatch, table):
 
     real = I.write_batch
 
-    def failing(df, root_, name, batch_id):
+    def failing(df, root_, name, batch_id, **kw):
         if name == table:
             raise RuntimeError("executor lost")
-        return real(df, root_, name, batch_id)
+        return real(df, root_, name, batch_id, **kw)
 
     monkeypatch.setattr(I, "write_batch", failing)
     return lambda: monkeypatch.setattr(I, "write_batch", real)
@@ -550,3 +550,125 @@ def test_live_boxes_are_limited_and_named(spark, workdir):
     assert [tuple(r) for r in nothing.collect()] == [("a", 0.0)]
     with pytest.raises(ValueError):
         weekly_live.start_weekly_boxes(spark, workdir, few.limit(0), workdir, workdir)
+
+
+def test_equal_lines_of_a_file_are_spread_over_the_salts(spark, workdir, conf):
+    from triploom.operators.skew import row_salt
+
+    folder, root = os.path.join(workdir, "in"), os.path.join(workdir, "wh")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write("region,origin_coord,destination_coord,datetime,datasource\n")
+        f.write(f"A,{pt(1, 2)},{pt(3, 4)},{T},s\n" * 4000 + f"B,{pt(5, 6)},{pt(3, 4)},{T},s\n")
+    rows = read_trips(spark, folder, with_file=True, with_place=True)
+    spread = rows.groupBy(row_salt(rows, F.lit(8)).alias("salt")).count().collect()
+    assert len(spread) == 8 and max(r["count"] for r in spread) < 700
+    same = read_trips(spark, folder)
+    assert same.filter("region = 'A'").select(row_salt(same, F.lit(8))).distinct().count() == 1
+    conf("triploom.dim.broadcastMaxRows", 0)
+    conf("triploom.skew.hotKeyRows", 500)
+    ingest(spark, folder, root)
+    assert read_table(spark, root, "trip").groupBy("region_id").count().collect() and metric(
+        spark, root) == {"A": 4000.0, "B": 1.0}
+    assert read_table(spark, root, "trip").columns[-1] == "batch_id"
+
+
+def test_compaction_changes_no_read(spark, workdir, monkeypatch):
+    from triploom.operators.rollup import weekly_avg_by_region_rollup
+    from triploom.sources import runs as R
+    from triploom.sources import warehouse as W
+
+    root = os.path.join(workdir, "wh")
+
+    def load(i, **kw):
+        return ingest(spark, spark.createDataFrame(
+            [(f"R{i % 3}", pt(i, 2), pt(3, i), T, "s"), (None, pt(1, 2), pt(9, 9), T, f"s{i}"),
+             ("R0", "bad", pt(1, 1), T, "s")], RAW_COLS), root, on_error="quarantine", **kw)
+
+    def everything():
+        return {n: sorted(map(tuple, read_table(spark, root, n).collect()), key=repr)
+                for n in W.MERGED}
+
+    def files(name="trip"):
+        return sum(f.endswith(".parquet") for r in R.current(spark, root)
+                   for _, _, fs in os.walk(os.path.join(r.path, name)) for f in fs) + sum(
+            f.endswith(".parquet") for _, _, fs in os.walk(os.path.join(root, name)) for f in fs)
+
+    assert W.merged_through(spark, root) == -1 and W.vacuum(spark, root) == 0
+    load(0)
+    assert W.compact(spark, root) == -1          # the only batch may be replayed
+    for i in range(1, 4):
+        load(i)
+    before, open_reader = everything(), read_table(spark, root, "trip")
+    with monkeypatch.context() as m:             # dies before the run counts
+        m.setattr(R, "finish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            W.compact(spark, root)
+    assert W.merged_through(spark, root) == -1 and everything() == before
+    assert W.compact(spark, root) == 2 and W.compact(spark, root) == 2
+    assert everything() == before
+    assert sorted(map(tuple, open_reader.collect()), key=repr) == before["trip"]
+    assert W.vacuum(spark, root) == 0            # within the age
+    assert W.vacuum(spark, root, older_than=0) > 0
+    assert everything() == before and files() <= 8
+    assert not os.path.exists(W.batch_path(root, "trip", 2))
+    assert len(os.listdir(os.path.join(root, "_runs"))) == 2   # the lost run is gone
+    # the last batch can be replaced, merged ones can't, also when they are last again
+    load(3, batch_id=3)
+    assert {k: len(v) for k, v in everything().items()} == {k: len(v) for k, v in before.items()}
+    W.clear_batch(spark, root, "ingest_log", 3)
+    with pytest.raises(ValueError):
+        load(2, batch_id=2)
+    assert load(3) == 3 and everything()["coord"] == before["coord"]
+    # later runs take in earlier ones that are no wider
+    for i, spans in ((4, ["0-2", "3-3"]), (5, ["0-2", "3-4"]), (6, ["0-2", "3-4", "5-5"])):
+        load(i)
+        before = everything()
+        W.compact(spark, root)
+        assert everything() == before
+        W.vacuum(spark, root, older_than=0)
+        assert everything() == before
+        assert [f"{r.first}-{r.last}" for r in sorted(
+            R.finished(spark, root), key=lambda r: r.first)] == spans
+    assert ingest_progress(spark, root).count() == 7
+    weeks, region = read_table(spark, root, "trip_weeks"), read_table(spark, root, "region")
+    assert weekly_avg_by_region_rollup(weeks, region).collect() == weekly_avg_by_region_star(
+        read_table(spark, root, "trip"), region).collect()
+
+
+def test_next_span_keeps_few_runs():
+    from triploom.sources import runs as R
+
+    runs, most, rewritten = [], 0, 0
+    for n in range(300):
+        first, last = R.next_span(R.cover(runs), n)
+        runs.append(R.Run(first, last, f"{first}-{last}", 0))
+        got = R.cover(runs)
+        assert got[0].first == 0 and got[-1].last == n
+        assert all(b.first == a.last + 1 for a, b in zip(got, got[1:]))
+        most, rewritten = max(most, len(got)), rewritten + last - first + 1
+    assert most <= 9 and rewritten <= 300 * 9
+    assert R.next_span(R.cover(runs), 299) is None
+    assert R.cover([R.Run(0, 1, "a", 0), R.Run(3, 4, "b", 0)])[-1].last == 1   # a gap
+
+
+def test_merged_changelog_gives_the_same_view(spark, workdir):
+    from triploom.streaming import weekly_live as L
+
+    landing, out, ckpt = (os.path.join(workdir, n) for n in ("landing", "out", "ckpt"))
+    os.makedirs(landing)
+    assert L.compact_changes(spark, out) == -1 and L.vacuum_changes(spark, out) == 0
+    for i in range(4):
+        with open(os.path.join(landing, f"{i}.csv"), "w") as f:
+            f.write("region,origin_coord,destination_coord,datetime,datasource\n")
+            f.write(f"R{i % 2},{pt(1, 2)},{pt(3, 4)},{T},s\n" * (i + 1))
+        q = L.start_weekly_counts(spark, landing, out, ckpt, state_partitions=2)
+        q.awaitTermination()
+        view = sorted(map(tuple, L.current_weekly_counts(spark, out).collect()))
+        L.compact_changes(spark, out)
+        assert sorted(map(tuple, L.current_weekly_counts(spark, out).collect())) == view
+        L.vacuum_changes(spark, out, older_than=0)
+        assert sorted(map(tuple, L.current_weekly_counts(spark, out).collect())) == view
+    assert {r[0]: r[2] for r in view} == {"R0": 4, "R1": 6}
+    left = [n for n in os.listdir(os.path.join(out, f"query={q.id}")) if n.startswith("epoch=")]
+    assert len(left) <= 2

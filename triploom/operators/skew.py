@@ -20,18 +20,18 @@ what makes that list safe to broadcast. AQE's own skew-join split remains
 on as a second line.
 
 The salt is a hash of the whole row, so that a retried task sends every
-row to the same salt again. Rows that are identical in every column (same
-key, same time to the second, same source) therefore share one salt; a
-random salt would spread them, at the price of a nondeterministic shuffle
-that Spark can only recover by re-running whole stages. Such duplicates
-are left to AQE's skew split.
+row to the same salt again. Trips read from files carry the number of their
+line (``read_trips(with_place=True)``), so trips that are equal in every other
+column are spread, too. Equal rows of other frames share one salt: a random
+one would spread them, at the price of a nondeterministic shuffle that Spark
+can only recover by re-running whole stages. They are left to AQE's skew split.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triploom.operators.dense_ids import Numbered
@@ -59,6 +59,11 @@ def hot_keys(key_counts: DataFrame, keys: list[str], total_rows: int) -> DataFra
             .select(*keys, F.ceil(F.col("rows_in") / threshold).cast("int").alias("_salts")))
 
 
+def row_salt(rows: DataFrame, salts) -> Column:
+    """A salt from 0 to ``salts`` - 1, from all columns of the row."""
+    return F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), salts)
+
+
 def lookup_join(big: DataFrame, lookup: Numbered, keys: list[str],
                 key_counts: DataFrame | None = None, total_rows: int | None = None,
                 how: str = "left") -> DataFrame:
@@ -78,11 +83,10 @@ def lookup_join(big: DataFrame, lookup: Numbered, keys: list[str],
     # threshold: a proven bound, so the list is broadcast
     hot = F.broadcast(hot_keys(key_counts, keys, total_rows))
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
     salted_big = (big.join(hot, keys, "left")
-                  .withColumn("_salt", F.when(any_null, F.pmod(row_hash, F.lit(NULL_SPREAD)))
+                  .withColumn("_salt", F.when(any_null, row_salt(big, F.lit(NULL_SPREAD)))
                               .when(F.col("_salts").isNotNull(),
-                                    F.pmod(row_hash, F.col("_salts")))
+                                    row_salt(big, F.col("_salts")))
                               .otherwise(F.lit(0)).cast("int"))
                   .drop("_salts"))
     salted_lookup = (lookup.df.join(hot, keys, "left")

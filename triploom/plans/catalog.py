@@ -187,7 +187,7 @@ def q_by_region_json(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     from triploom.plans.ingest_checks import (
-        q_batch_ingest, q_ingest_progress, q_quarantine_ingest, q_stream_ingest,
+        q_batch_ingest, q_compacted_ingest, q_ingest_progress, q_quarantine_ingest, q_stream_ingest,
         q_stream_delete, q_stream_weekly_bbox, q_stream_weekly_counts,
         q_weekly_avg_bbox_rollup, q_weekly_avg_by_region_rollup,
     )
@@ -218,6 +218,7 @@ def queries() -> dict[str, Query]:
         "by_region_json": q_by_region_json,
         "weekly_avg_bbox_text": q_weekly_avg_bbox_text,
         "batch_ingest": q_batch_ingest,
+        "compacted_ingest": q_compacted_ingest,
         "stream_ingest": q_stream_ingest,
         "quarantine_ingest": q_quarantine_ingest,
         "ingest_progress": q_ingest_progress,

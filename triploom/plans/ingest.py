@@ -30,10 +30,10 @@ from triploom.operators.fact import trip_fact
 from triploom.operators.rollup import weekly_rollup
 from triploom.schema import DIM_KEYS
 from triploom.session import materialize, scratch_scope
-from triploom.sources.csv_trips import check_only_csv, list_files, read_trips
+from triploom.sources.csv_trips import PLACE, check_only_csv, list_files, read_trips
 from triploom.sources.warehouse import (
-    GROWING, INGEST_LOG, LogHead, batch_path, clear_batch, init_warehouse, log_head, path_exists,
-    read_batch, read_dims, read_table, table_path, write_batch,
+    GROWING, LogHead, batch_path, clear_batch, init_warehouse, log_head, merged_through,
+    path_exists, read_batch, read_dims, read_table, table_path, write_batch,
 )
 
 # How far a file is when its batch has come so far (landing_progress).
@@ -58,7 +58,8 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
         if strict:
             check_only_csv(spark, source)
         files = list_files(spark, source)
-        raw = read_trips(spark, source, with_file=True, keep_malformed=on_error == "quarantine")
+        raw = read_trips(spark, source, with_file=True, with_place=True,
+                         keep_malformed=on_error == "quarantine")
     else:
         raw = source
     if "source_file" not in raw.columns:
@@ -67,6 +68,8 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
         batch_id = head.batch_id + 1
     if not head.batch_id <= batch_id <= head.batch_id + 1 or batch_id < 0:
         raise ValueError(f"batch {batch_id} can't be written: the last one is {head.batch_id}")
+    if batch_id <= merged_through(spark, root):
+        raise ValueError(f"batch {batch_id} can't be written: it is merged into a run")
     if batch_id == head.batch_id:
         clear_batch(spark, root, "ingest_log", batch_id)   # takes the commit back
         head = log_head(spark, root)
@@ -82,7 +85,9 @@ def ingest(spark: SparkSession, source, root: str, on_error: str = "fail",
             write_batch(_reject_rows(rejected), root, "rejects", batch_id)
         m = read_members(cleaned)
         conformed = _grow(spark, root, batch_id, head, m)
-        write_batch(trip_fact(accepted, conformed), root, "trip", batch_id)
+        place = (PLACE,) if files is not None else ()
+        write_batch(trip_fact(accepted, conformed, keep=place).drop(*place), root, "trip",
+                    batch_id)
         write_weeks(spark, root, batch_id)
         log = _log_rows(m, conformed, files, origin,
                         batch_id if origin_batch is None else origin_batch)
@@ -100,7 +105,8 @@ def complete_weeks(spark: SparkSession, root: str) -> list[int]:
     """Add the weekly totals of committed batches that have none, because they
     were loaded before totals were kept. Returns their ids."""
     init_warehouse(spark, root)
-    lacking = [b for b in range(log_head(spark, root).batch_id + 1)
+    lacking = [b for b in range(merged_through(spark, root) + 1,
+                                log_head(spark, root).batch_id + 1)
                if not path_exists(spark, batch_path(root, "trip_weeks", b))]
     for b in lacking:
         write_weeks(spark, root, b)
@@ -221,7 +227,7 @@ def landing_progress(spark: SparkSession, landing: str, root: str) -> DataFrame:
     log, percent = spark.createDataFrame([], none), F.lit(0)
     loading = spark.createDataFrame([], "source_file string")
     if path_exists(spark, table_path(root, "ingest_log")):
-        log = spark.read.schema(INGEST_LOG).parquet(table_path(root, "ingest_log")).select(
+        log = read_table(spark, root, "ingest_log").select(
             "source_file", "batch_id", "rows_in", "rows_rejected")
         now = log_head(spark, root).batch_id + 1
         if path_exists(spark, f"{table_path(root, 'pending')}/batch_id={now}"):

@@ -19,7 +19,7 @@ from triploom.plans.oracle_sql import BOX, LIVE_BOXES, SECOND_LOAD_FROM
 from triploom.session import scratch_path
 from triploom.sources.csv_trips import list_files
 from triploom.sources.fixture import trips_from_tables
-from triploom.sources.warehouse import read_table
+from triploom.sources.warehouse import compact, read_table, vacuum
 from triploom.streaming.ingest import stream_ingest
 from triploom.streaming.weekly_live import (
     current_weekly_bbox, current_weekly_counts, register_boxes, start_weekly_boxes,
@@ -93,6 +93,24 @@ def q_batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_by_name(spark, two_loads(spark, sf_dir))
 
 
+def q_compacted_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stored trip after four loads (the days of a month by turns), with
+    a compaction after the third and the fourth and the old folders removed."""
+    work = scratch_path(spark, "compacted-ingest")
+    files, root = os.path.join(work, "files"), os.path.join(work, "warehouse")
+    raw = trips_from_tables(spark, sf_dir)
+    (raw.select("region", "origin_coord", "destination_coord",
+                F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
+                "datasource", (F.dayofmonth("datetime") % 4).alias("load"))
+     .write.partitionBy("load").option("header", True).csv(files))
+    for i in range(4):
+        ingest(spark, os.path.join(files, f"load={i}"), root)
+        if i >= 2:
+            compact(spark, root)
+            vacuum(spark, root, older_than=0)
+    return fact_by_name(spark, root)
+
+
 def q_weekly_avg_by_region_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The region metric from the weekly totals of two loads."""
     root = two_loads(spark, sf_dir)

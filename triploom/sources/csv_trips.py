@@ -20,7 +20,7 @@ CSV_OPTIONS = {
 
 
 CORRUPT = "_corrupt_record"
-
+PLACE = "_place"
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -34,7 +34,8 @@ def list_files(spark: SparkSession, path) -> DataFrame:
 
 
 def read_trips(spark: SparkSession, path, with_file: bool = False,
-               strict: bool = False, keep_malformed: bool = False) -> DataFrame:
+               strict: bool = False, keep_malformed: bool = False,
+               with_place: bool = False) -> DataFrame:
     """Read every ``*.csv`` under ``path`` (a folder, file or list of them).
 
     Files are split into ``spark.sql.files.maxPartitionBytes`` pieces and
@@ -42,6 +43,9 @@ def read_trips(spark: SparkSession, path, with_file: bool = False,
     file metadata. ``strict`` fails when the folder holds non-CSV files.
     A malformed line fails the read, unless ``keep_malformed``: then it is
     kept with its text in ``_corrupt_record`` (for the reject table).
+    ``with_place`` adds a number per line, from its piece and its place in the
+    piece: a task that is repeated reads the same piece in the same order, so
+    every line gets its number again.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if strict:
@@ -55,6 +59,8 @@ def read_trips(spark: SparkSession, path, with_file: bool = False,
     df = reader.schema(schema).csv(paths)
     if with_file:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
+    if with_place:
+        df = df.withColumn(PLACE, F.monotonically_increasing_id())
     return df
 
 

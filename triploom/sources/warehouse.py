@@ -7,6 +7,9 @@ is written last: it is the commit record. Batch ids are handed out in
 order and a failed batch's id is used again, so the committed batches are
 exactly those up to the log's largest id, and a read keeps the partitions up
 to that one number: no join, and nothing of other partitions is scanned.
+:func:`compact` merges the folders of old batches into runs
+(:mod:`triploom.sources.runs`); a read then takes the runs, whose rows carry
+their batch's id, and the folders after them.
 One writer at a time is assumed. ``time_range`` is seeded once,
 unpartitioned.
 """
@@ -24,6 +27,7 @@ from triploom import schema as S
 from triploom.operators.dense_ids import Numbered
 from triploom.operators.dims import StarDims
 from triploom.operators.time_range import time_range_dim
+from triploom.sources import runs as R
 
 BATCHED = ("region", "datasource", "coord", "coord_time", "trip")
 GROWING = ("region", "datasource", "coord", "coord_time")
@@ -69,6 +73,9 @@ SCHEMAS = {**{n: _with_batch(S.STAR_TABLES[n]) for n in BATCHED},
            "rejects": _with_batch(REJECTS), "trip_weeks": _with_batch(TRIP_WEEKS),
            "ingest_log": INGEST_LOG, "pending": PENDING}
 
+# what a run holds of its batches
+MERGED = (*BATCHED, "rejects", "trip_weeks", "ingest_log")
+
 
 def table_path(root: str, name: str) -> str:
     return os.path.join(root, name)
@@ -78,21 +85,15 @@ def batch_path(root: str, name: str, batch_id: int) -> str:
     return os.path.join(root, name, f"batch_id={batch_id}")
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, on whatever file system it names."""
-    fs, hpath = _fs(spark, path)
+    fs, hpath = R.file_system(spark, path)
     return fs.exists(hpath)
 
 
 def _create_empty(spark: SparkSession, path: str) -> None:
     """An empty table is an empty folder; every read passes its schema."""
-    fs, hpath = _fs(spark, path)
+    fs, hpath = R.file_system(spark, path)
     fs.mkdirs(hpath)
 
 
@@ -113,8 +114,16 @@ def init_warehouse(spark: SparkSession, root: str) -> dict[str, bool]:
     return out
 
 
-def _log(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(INGEST_LOG).parquet(table_path(root, "ingest_log"))
+def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """All rows of a table by batch, from runs as far as there are any."""
+    read = spark.read.schema(SCHEMAS[name])
+    merged = R.current(spark, root)
+    df = read.parquet(table_path(root, name))
+    if not merged:
+        return df
+    old = read.parquet(*[os.path.join(r.path, name) for r in merged])
+    return old.select(*df.columns).unionByName(
+        df.filter(F.col("batch_id") > merged[-1].last))
 
 
 @dataclass(frozen=True)
@@ -127,7 +136,7 @@ class LogHead:
 
 def log_head(spark: SparkSession, root: str) -> LogHead:
     totals = [f"total_{n}s" for n in GROWING]
-    head = _log(spark, root).agg(F.max(F.struct("batch_id", *totals)).alias("h")).first()["h"]
+    head = _stored(spark, root, "ingest_log").agg(F.max(F.struct("batch_id", *totals)).alias("h")).first()["h"]
     if head is None:
         return LogHead(-1, dict.fromkeys(GROWING, 0))
     return LogHead(head["batch_id"], {n: head[f"total_{n}s"] or 0 for n in GROWING})
@@ -139,7 +148,7 @@ def read_table(spark: SparkSession, root: str, name: str, before_batch: int | No
     ``before_batch``, only of earlier ones. ``head`` saves reading the log."""
     if name == "time_range":
         return spark.read.schema(S.TIME_RANGE).parquet(table_path(root, name))
-    df = spark.read.schema(SCHEMAS[name]).parquet(table_path(root, name))
+    df = _stored(spark, root, name)
     if before_batch is not None:
         df = df.filter(F.col("batch_id") < before_batch)
     if committed_only and name != "ingest_log":
@@ -173,9 +182,57 @@ def read_batch(spark: SparkSession, root: str, name: str, batch_id: int) -> Data
 
 def clear_batch(spark: SparkSession, root: str, name: str, batch_id: int) -> None:
     """Remove what a table has of a batch."""
-    fs, hpath = _fs(spark, batch_path(root, name, batch_id))
+    fs, hpath = R.file_system(spark, batch_path(root, name, batch_id))
     fs.delete(hpath, True)
 
 
 def next_batch_id(spark: SparkSession, root: str) -> int:
     return log_head(spark, root).batch_id + 1
+
+
+def merged_through(spark: SparkSession, root: str) -> int:
+    """The last batch that runs hold (-1: none). Runs are final: no batch up
+    to this one can be written again."""
+    merged = R.current(spark, root)
+    return merged[-1].last if merged else -1
+
+
+def compact(spark: SparkSession, root: str, target_bytes: int = R.TARGET_BYTES) -> int:
+    """Merge the folders of all committed batches but the last, which a replay
+    may still replace, into runs of few files. Returns the last merged batch.
+
+    The folders stay until :func:`vacuum`, so readers that have listed them
+    can go on. A crash leaves a run that no reader sees. Batches without
+    weekly totals must get them before (``plans.ingest.complete_weeks``).
+    """
+    merged = R.current(spark, root)
+    head = log_head(spark, root)
+    span = R.next_span(merged, head.batch_id - 1)
+    if span is None:
+        return merged[-1].last if merged else -1
+    lacking = [b for b in range(max(span[0], merged[-1].last + 1 if merged else 0), span[1] + 1)
+               if not path_exists(spark, batch_path(root, "trip_weeks", b))]
+    if lacking:
+        raise ValueError(f"batches {lacking[:5]} have no weekly totals yet")
+    path = R.new_path(root, span)
+    taken = [r.path for r in merged if r.first >= span[0]]
+    for name in MERGED:
+        rows = read_table(spark, root, name, before_batch=span[1] + 1, head=head).filter(
+            F.col("batch_id") >= span[0])
+        folders = [batch_path(root, name, b) for b in range(span[0], span[1] + 1)]
+        size = R.files_for(spark, [os.path.join(p, name) for p in taken] + [
+            f for f in folders if not taken or int(f.rsplit("=", 1)[1]) > merged[-1].last],
+            target_bytes)
+        rows = rows.coalesce(size)
+        if name == "trip_weeks":   # a column here, no folder: row groups hold one grain
+            rows = rows.sortWithinPartitions("grain")
+        rows.write.parquet(os.path.join(path, name))
+    R.finish(spark, path)
+    return span[1]
+
+
+def vacuum(spark: SparkSession, root: str, older_than: float = R.KEEP_SECONDS) -> int:
+    """Remove the folders that runs have replaced ``older_than`` seconds ago,
+    and the file lists of their batches. Returns how many folders went."""
+    return R.vacuum(spark, root, [(table_path(root, n), "batch_id=")
+                                  for n in (*MERGED, "pending")], older_than)

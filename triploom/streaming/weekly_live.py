@@ -14,7 +14,8 @@ Results go out in ``update`` mode: each micro-batch writes the changed
 ``query=<id>/epoch=<n>`` of a changelog, which a replay replaces. The id is
 the query's, kept in its checkpoint, so a new checkpoint starts a changelog
 of its own. The current view is the latest row per group of the query that
-wrote last.
+wrote last. :func:`compact_changes` merges old epochs into runs
+(:mod:`triploom.sources.runs`).
 
 :func:`start_weekly_boxes` does the same for boxes that were registered
 before: a trip adds its hits to each box that it touches, and the box metric
@@ -34,6 +35,7 @@ from triploom.functions import Box, week_key
 from triploom.operators.clean import clean_trips
 from triploom.operators.metrics import endpoint_contribution
 from triploom.sources.csv_trips import stream_trips
+from triploom.sources import runs as R
 from triploom.sources.warehouse import path_exists
 
 WEEK = "7 days"
@@ -177,8 +179,60 @@ def current_weekly_counts(spark: SparkSession, out: str, key: str = "region") ->
     changes = CHANGES.format(key=key)
     if not path_exists(spark, out):
         return spark.createDataFrame([], changes).drop("written_at")
-    log = spark.read.schema(changes + ", query string, epoch long").parquet(out)
-    # queries over this changelog: one per checkpoint
-    last = log.agg(F.max_by("query", "written_at")).first()[0]
-    return (log.filter(F.col("query") == F.lit(last)).groupBy(key, "week_start")
+    last = _last_query(spark, out)
+    return (_changes(spark, out, last, key).groupBy(key, "week_start")
             .agg(F.max_by("num_trips", "epoch").alias("num_trips")))
+
+
+def _last_query(spark: SparkSession, out: str) -> str | None:
+    """The query (one per checkpoint) that wrote last. Its last epoch is
+    never removed, so the folders alone tell."""
+    log = spark.read.schema("written_at timestamp, query string, epoch long").parquet(out)
+    return log.agg(F.max_by("query", "written_at")).first()[0]
+
+
+def _changes(spark: SparkSession, out: str, query: str | None, key: str) -> DataFrame:
+    """A query's changes by epoch, from runs as far as there are any."""
+    schema = CHANGES.format(key=key) + ", query string, epoch long"
+    df = spark.read.schema(schema).parquet(out).filter(F.col("query") == F.lit(query))
+    merged = R.current(spark, _query_path(out, query)) if query else []
+    if not merged:
+        return df
+    old = spark.read.schema(schema).parquet(*[r.path for r in merged])
+    return old.unionByName(df.filter(F.col("epoch") > merged[-1].last))
+
+
+def _query_path(out: str, query: str) -> str:
+    return os.path.join(out, f"query={query}")
+
+
+def compact_changes(spark: SparkSession, out: str, key: str = "region") -> int:
+    """Merge the epochs of the changelog's last query, but for the last one,
+    which a replay may still replace, into runs with one row per group: its
+    latest count. Returns the last merged epoch (-1: none). The folders stay
+    until :func:`vacuum_changes`."""
+    query = _last_query(spark, out) if path_exists(spark, out) else None
+    if query is None:
+        return -1
+    home = _query_path(out, query)
+    merged = R.current(spark, home)
+    changes = _changes(spark, out, query, key)
+    last = changes.agg(F.max("epoch")).first()[0] - 1
+    span = R.next_span(merged, last)
+    if span is None:
+        return merged[-1].last if merged else -1
+    newest = changes.filter(F.col("epoch").between(*span)).groupBy(key, "week_start").agg(
+        F.max_by(F.struct("num_trips", "written_at", "query", "epoch"), "epoch").alias("_c"))
+    path = R.new_path(home, span)
+    newest.select(key, "week_start", "_c.*").coalesce(1).write.parquet(path)
+    R.finish(spark, path)
+    return span[1]
+
+
+def vacuum_changes(spark: SparkSession, out: str, older_than: float = R.KEEP_SECONDS) -> int:
+    """Remove the epochs that runs have replaced ``older_than`` seconds ago."""
+    query = _last_query(spark, out) if path_exists(spark, out) else None
+    if query is None:
+        return 0
+    home = _query_path(out, query)
+    return R.vacuum(spark, home, [(home, "epoch=")], older_than)
