@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from triploom.operators.dense_ids import Numbered
 from triploom.operators.first_range import NoRangeError, first_range_join, range_blocks
+from triploom.operators.skew import lookup_join
 from triploom.operators.time_range import range_bucket_join, time_range_dim
 
 
@@ -92,6 +94,23 @@ def test_first_range_matches_brute_force_by_every_path(spark, conf):
         assert [r["rid"] for r in got.collect()] == want
 
 
+def test_lookups_over_the_limit_are_not_broadcast_by_file_size(spark, conf):
+    conf("triploom.dim.broadcastMaxRows", 0)     # as if there were over a million rows
+    got = _first(spark, list(range(500)), [(i, i, i + 40, i % 7) for i in range(500)],
+                 order=["place"])
+    assert got.count() == 500
+    big = spark.range(500).selectExpr("id % 50 as k", "explode(sequence(1, 12)) as n")
+    counts = big.groupBy("k").agg(F.count(F.lit(1)).alias("rows_in"))
+    few = spark.range(50).selectExpr("id as k", "id as v")
+    for how in ("left", "inner"):
+        met = lookup_join(big, Numbered(few, 50), ["k"], counts, 6000, how)
+        assert met.count() == 6000
+        for df in (met, got):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            joins = [row for row in plan.splitlines() if "_salt#" in row and "Join" in row]
+            assert joins and all("SortMergeJoin" in row for row in joins)
+
+
 def test_blocks_are_few_and_unique_however_ranges_overlap(spark):
     r = spark.range(1000).selectExpr("id", "id as lo", "id + 100000 as hi")
     blocks = range_blocks(r, "lo", "hi", "id", [])

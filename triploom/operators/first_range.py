@@ -93,7 +93,8 @@ def first_range_join(df: DataFrame, value: str, ranges: DataFrame, lo: str = "ti
     first = materialize(met.groupBy("_value").agg(F.min("_first").alias("_first")).select(
         "_value", F.col("_first._id").alias("_range_id")), "first-ranges")
     if on_missing == "error":
-        lost = values.join(first, "_value", "left").filter(F.col("_range_id").isNull()).select(
+        # not broadcast by the size of its files: there may be a row a value
+        lost = values.join(first.hint("merge"), "_value", "left").filter(F.col("_range_id").isNull()).select(
             "_value", "rows_in").orderBy("_value").limit(SHOWN).collect()
         if lost:
             raise NoRangeError("in no range: " + ", ".join(

@@ -12,6 +12,9 @@ joined to the fact:
     only that key's lookup row is repeated once per salt;
   - fact rows with a NULL key (they can never match) are spread over many
     salt values instead of all hashing to one partition.
+  The join is marked as a sort-merge join: Spark would otherwise go by the
+  size of the files, and a side that is small as compressed Parquet (or before
+  it is exploded) may be too large for the driver as a broadcast table.
 
 The hot threshold is ``triploom.skew.hotKeyRows`` (default 5M rows), raised
 when needed so that the hot-key list — at most total rows / threshold keys —
@@ -93,4 +96,4 @@ def lookup_join(big: DataFrame, lookup: Numbered, keys: list[str],
                      .withColumn("_salt", F.explode(F.sequence(
                          F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
                      .drop("_salts"))
-    return salted_big.join(salted_lookup, keys + ["_salt"], how).drop("_salt")
+    return salted_big.join(salted_lookup.hint("merge"), keys + ["_salt"], how).drop("_salt")
