@@ -262,3 +262,31 @@ def test_scores_beyond_64_bits_are_exact(spark):
                                   "grp string, phrase string, n long")
     got = collocations._cut(rows, parts, 1, 2).first()["score"]
     assert got == 10 ** 6 * big * big // ((big + 7) * (big + 11))
+
+
+def test_phrases_are_summed_by_number_in_each_task(monkeypatch):
+    """Groups, chunk ends and equal words of several batches stay apart."""
+    import pyarrow as pa
+
+    names = ["grp", "chunk", "last", "n"]
+    rows = [("en", "a b c", False, 2), ("fr", "a b c", True, 5), ("en", "a a a a", True, 3),
+            ("en", "é", True, 1), ("fr", "b c", True, 7)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in part], pa.schema(
+        [("grp", pa.string()), ("chunk", pa.string()), ("last", pa.bool_()), ("n", pa.int64())]))
+        for part in (rows[:2], [], rows[2:])]
+    ((words, held),) = collocations.held_words(iter(batches))
+    assert len(held) == 2
+    monkeypatch.setattr(collocations, "SENT", 2)
+
+    def counted(begins, size):
+        sent = list(words.counted(np.flatnonzero(begins), size))
+        assert all(b.num_rows <= 2 for b in sent)
+        return Counter({(r["grp"], r["phrase"]): r["n"] for b in sent for r in b.to_pylist()})
+
+    assert counted(words.left > 0, 1) == {("en", "a"): 14, ("en", "b"): 2, ("en", "c"): 2,
+                                          ("fr", "a"): 5, ("fr", "b"): 12, ("fr", "c"): 12,
+                                          ("en", "é"): 1}
+    assert counted(words.left > 1, 2) == {("en", "a b"): 2, ("en", "b c"): 2, ("en", "a a"): 9,
+                                          ("fr", "a b"): 5, ("fr", "b c"): 12}
+    assert counted(words.left > 2, 3) == {("en", "a b c"): 2, ("en", "a a a"): 6,
+                                          ("fr", "a b c"): 5}

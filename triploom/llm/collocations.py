@@ -7,7 +7,8 @@ with a trigger, two words of which the first has a hash that is 0 modulo
 stretches of text give equal chunks wherever they stand. The dictionary of
 distinct chunks with their frequencies stands for the texts from then on:
 copies, repeated lines and passages cost one entry. n-grams are counted
-inside distinct chunks, weighted by frequency. A phrase that begins in the
+inside distinct chunks, weighted by frequency: a task numbers the words that
+it holds and sums up phrases as numbers before it sends them as text. A phrase that begins in the
 two words that a chunk shares with the next belongs to the next, so each
 occurrence counts once; phrases of more words than three would need longer
 triggers (``TRIGGER`` is one word less than ``LONGEST``).
@@ -25,13 +26,13 @@ count ** 2`` is below ``10**38``.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,10 +42,12 @@ from triploom.session import materialize
 LONGEST = 3                 # words of a phrase at most
 TRIGGER = LONGEST - 1       # words that chunks overlap by
 PERIOD = 12                 # about one in so many word pairs is a trigger
-PIECES = re.compile(rb"[.,;:!?\x0A-\x0D]")
-WORDS = re.compile(rb"[^\x20\x09]+")
+# A-Z in lower case, what ends a piece as a line break
+PIECES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0B\x0C\x0D",
+                         b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9)
 BIT_TABLE = 1 << 26         # bits of the table of frequent phrases (8 MB)
-HELD = 200_000              # distinct entries that a task counts before it sends them on
+HELD = 200_000              # distinct chunks that a task counts before it sends them on
+SENT = 50_000               # phrases in a batch that a task sends
 SALTS = 64                  # parts of a group that are ranked before the group
 UNKNOWN = "und"
 
@@ -52,13 +55,12 @@ UNKNOWN = "und"
 def parse(text: bytes) -> Iterator[tuple[bytes, bool]]:
     """The chunks of a text (words joined by blanks), each with whether its
     piece ends with it."""
-    for piece in PIECES.split(text.lower()):    # bytes: only A-Z change
-        words = WORDS.findall(piece)
+    for piece in text.translate(PIECES).split(b"\n"):
+        words = piece.split()    # bytes, no line breaks: at blanks and tabs only
         begin = 0
-        for i, w in enumerate(words[1:-TRIGGER], 1):
-            if crc32(w) % PERIOD == 0:
-                yield b" ".join(words[begin:i + TRIGGER]), False
-                begin = i
+        for i in [i for i, h in enumerate(map(crc32, words[1:-TRIGGER]), 1) if not h % PERIOD]:
+            yield b" ".join(words[begin:i + TRIGGER]), False
+            begin = i
         if words:
             yield b" ".join(words[begin:]), True
 
@@ -94,15 +96,66 @@ def dictionary(docs: DataFrame, text: str = "text", group: str = "lang") -> Data
         "grp", "chunk", "last").agg(F.sum("n").alias("n"))
 
 
-def _pair_places(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The place in the bit table of every word with its next one, over all
-    chunks in one array, and where each chunk's words begin in it. The last
-    word of a chunk has no pair; its place means nothing."""
-    words, counts = flat_hashes(chunks)
-    first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+class Words:
+    """The words of many chunks as numbers into ``known``, the distinct ones;
+    for each its group's number, its chunk's count and how many words are left
+    in the chunk, itself included."""
+
+    def __init__(self, batches: list[pa.RecordBatch], lists: list[pa.ListArray]):
+        words = pa.concat_arrays([x.flatten() for x in lists]).dictionary_encode()
+        group = pa.concat_arrays([b["grp"] for b in batches]).dictionary_encode()
+        self.known, self.groups = words.dictionary, group.dictionary
+        self.word = words.indices.to_numpy()
+        sizes = np.concatenate([pc.list_value_length(x).to_numpy() for x in lists])
+        self.sizes = sizes.astype(np.int64)
+        ends = np.cumsum(self.sizes)
+        self.group = self.each(group.indices.to_numpy())
+        self.times = self.each(np.concatenate([b["n"].to_numpy() for b in batches]))
+        self.left = self.each(ends) - np.arange(len(self.word))
+
+    def each(self, of_chunks: np.ndarray) -> np.ndarray:
+        """A value of every chunk, for each of its words."""
+        return np.repeat(of_chunks, self.sizes)
+
+    def counted(self, begins: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+        """(grp, phrase, n) of the phrases of ``size`` words that begin at
+        ``begins``, summed."""
+        keys = ["grp", *map(str, range(size))]
+        columns = [self.group[begins], *(self.word[begins + k] for k in range(size)),
+                   self.times[begins]]
+        got = pa.table(columns, [*keys, "n"]).group_by(keys, use_threads=False).aggregate(
+            [("n", "sum")])
+        for part in got.to_batches(max_chunksize=SENT):
+            words = [self.known.take(part[k]) for k in keys[1:]]
+            phrase = pc.binary_join_element_wise(*words, " ") if size > 1 else words[0]
+            yield pa.RecordBatch.from_arrays(
+                [self.groups.take(part["grp"]), phrase, part["n_sum"]], ["grp", "phrase", "n"])
+
+
+def held_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[pa.RecordBatch]]]:
+    """The words of all batches, as many at a time as ``HELD`` chunks have or
+    so, with the batches they are of."""
+    held: list[pa.RecordBatch] = []
+    lists: list[pa.ListArray] = []
+    size = 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            lists.append(pc.split_pattern(b["chunk"], " "))
+            size += len(lists[-1].flatten())
+        if size >= HELD * PERIOD:
+            yield Words(held, lists), held
+            held, lists, size = [], [], 0
+    if held:
+        yield Words(held, lists), held
+
+
+def _places(words: np.ndarray) -> np.ndarray:
+    """The place in the bit table of every word (a hash) with its next one;
+    that of the last word means nothing."""
     places = np.zeros(len(words), np.int64)
     places[:-1] = window_hashes(words, 2) % np.uint64(BIT_TABLE)
-    return places, first
+    return places
 
 
 def bit_table(pairs: DataFrame) -> bytes:
@@ -110,8 +163,9 @@ def bit_table(pairs: DataFrame) -> bytes:
     numbers reach the driver, whatever there is."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            places, first = _pair_places(b["phrase"].cast(pa.binary()).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(places[first[:-1]])], ["at"])
+            words, counts = flat_hashes(b["phrase"].cast(pa.binary()).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_places(words)[np.cumsum(counts) - counts])], ["at"])
 
     words = (pairs.select("phrase").mapInArrow(work, "at long")
              .groupBy(F.expr("cast(at div 64 as int)").alias("w"))
@@ -125,49 +179,32 @@ def short_counts(chunks: DataFrame) -> DataFrame:
     """(grp, phrase, n): occurrences of every word and word pair. What begins
     in the two last words of a chunk is the next chunk's, unless its piece
     ends there."""
-    words = F.split("chunk", " ")
-    n = F.size("_w")
-    begins = n - F.when(F.col("last"), 0).otherwise(TRIGGER)
-    first = lambda k: F.slice("_w", F.lit(1), F.greatest(k, F.lit(0)))
-    pairs = F.transform(first(F.least(begins, n - 1)), lambda w, i: F.concat(
-        w, F.lit(" "), F.get("_w", i + 1)))
-    both = F.concat(first(begins), pairs)
-    return (chunks.select("grp", words.alias("_w"), "last", "n")
-            .select("grp", F.explode(both).alias("phrase"), "n")
-            .groupBy("grp", "phrase").agg(F.sum("n").alias("n")))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words, held in held_words(batches):
+            last = np.concatenate([b["last"].to_numpy(zero_copy_only=False) for b in held])
+            own = words.left > words.each(np.where(last, 0, TRIGGER))
+            yield from words.counted(np.flatnonzero(own), 1)
+            yield from words.counted(np.flatnonzero(own & (words.left > 1)), 2)
+
+    return chunks.mapInArrow(work, "grp string, phrase string, n long").groupBy(
+        "grp", "phrase").agg(F.sum("n").alias("n"))
 
 
 def triple_counts(chunks: DataFrame, frequent_pairs: bytes) -> DataFrame:
     """(grp, phrase, n): occurrences of every phrase of three words both of
     whose pairs are in the table of frequent ones."""
-    names = ["grp", "phrase", "n"]
-    held = chunks.sparkSession.sparkContext.broadcast(frequent_pairs)
+    held_table = chunks.sparkSession.sparkContext.broadcast(frequent_pairs)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(held.value, np.uint8)
-        counts: Counter = Counter()
-        for b in batches:
-            chunk = b["chunk"].cast(pa.binary()).to_pylist()
-            group, times = b["grp"].to_pylist(), b["n"].to_pylist()
-            places, first = _pair_places(chunk)
+        table = np.frombuffer(held_table.value, np.uint8)
+        for words, _ in held_words(batches):
+            hashes, _ = flat_hashes(words.known.cast(pa.binary()).to_pylist())
+            places = _places(hashes[words.word])
             known = (table[places >> 3] >> (places & 7).astype(np.uint8)) & 1 > 0
             # two pairs of one chunk, so not from its last two words on
-            both = np.zeros(len(known), bool)
-            both[:-1] = known[:-1] & known[1:]
-            for back in (1, 2):
-                end = first[1:] - back
-                both[end[end >= first[:-1]]] = False
-            hits = np.flatnonzero(both)
-            owner = np.searchsorted(first, hits, "right") - 1
-            before, words = -1, []
-            for o, i in zip(owner.tolist(), (hits - first[owner]).tolist(), strict=True):
-                if o != before:
-                    before, words = o, chunk[o].split(b" ")
-                counts[group[o], b" ".join(words[i:i + LONGEST])] += times[o]
-            if len(counts) >= HELD:
-                yield _sent(counts, names)
-                counts.clear()
-        yield _sent(counts, names)
+            both = known & (words.left >= LONGEST)
+            both[:-1] &= known[1:]
+            yield from words.counted(np.flatnonzero(both), LONGEST)
 
     return chunks.select("grp", "chunk", "n").mapInArrow(
         work, "grp string, phrase string, n long").groupBy("grp", "phrase").agg(
