@@ -8,10 +8,10 @@ stretches of text give equal chunks wherever they stand. The dictionary of
 distinct chunks with their frequencies stands for the texts from then on:
 copies, repeated lines and passages cost one entry. n-grams are counted
 inside distinct chunks, weighted by frequency: a task numbers the words that
-it holds and sums up phrases as numbers before it sends them as text. A phrase that begins in the
-two words that a chunk shares with the next belongs to the next, so each
-occurrence counts once; phrases of more words than three would need longer
-triggers (``TRIGGER`` is one word less than ``LONGEST``).
+it holds and sums up phrases as numbers before it sends them as text. A phrase
+that begins in the two words that a chunk shares with the next belongs to the
+next, so each occurrence counts once; phrases of more words than three would
+need longer triggers (``TRIGGER`` is one word less than ``LONGEST``).
 
 A phrase of three words is only counted if both word pairs in it are
 frequent. Which they are is looked up in a table of bits of a fixed size (a
