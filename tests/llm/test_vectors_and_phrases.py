@@ -1,6 +1,7 @@
 """Operators 11 to 13 against brute force on small, awkward tables."""
 
 import math
+import time
 from collections import Counter
 from fractions import Fraction
 
@@ -240,6 +241,41 @@ def test_collocations_of_nothing(spark):
     assert collocations.collocations(docs.limit(0)).count() == 0
 
 
+def test_collocations_leave_no_shuffle_files_of_their_tables(spark):
+    """The shuffles of words and triples start on a disk without the ones before."""
+    from triploom.session import FREE_SHUFFLES
+
+    def shuffles():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = manager.getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+    rows = phrase_docs()
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    before = shuffles()
+    got = collocations.collocations(docs)
+    for _ in range(100):    # files go a moment after their query
+        left = shuffles() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(FREE_SHUFFLES, None) is None
+    for _ in range(2):
+        assert sorted(tuple(r) for r in got.collect()) == phrases_by_force(rows)
+
+
+def test_freed_shuffles_restore_the_setting(spark, conf):
+    from triploom.session import FREE_SHUFFLES, shuffles_freed
+
+    conf(FREE_SHUFFLES, "false")
+    with pytest.raises(ValueError), shuffles_freed(spark):
+        assert spark.conf.get(FREE_SHUFFLES) == "true"
+        raise ValueError
+    assert spark.conf.get(FREE_SHUFFLES) == "false"
+
+
 def test_parse_covers_every_phrase_once():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 3, 5, 400):

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from triploom.llm.hashing import flat_hashes, window_hashes
-from triploom.session import materialize
+from triploom.session import materialize, shuffles_freed
 
 LONGEST = 3                 # words of a phrase at most
 TRIGGER = LONGEST - 1       # words that chunks overlap by
@@ -231,14 +231,16 @@ def collocations(docs: DataFrame, text: str = "text", group: str = "lang", least
     of 2 to ``LONGEST`` words with at least ``least`` occurrences, by score
     (of the lowest-scoring cut), occurrences and text. A phrase of which a
     longer one covers at least ``covered`` percent is left out."""
-    chunks = materialize(dictionary(docs, text, group), "chunks")
+    is_pair = F.instr("phrase", " ") > 0
+    # the shuffles of two tables need not be on disk together
+    with shuffles_freed(docs.sparkSession):
+        chunks = materialize(dictionary(docs, text, group), "chunks")
+        parts = materialize(short_counts(chunks).filter(F.col("n") >= least), "phrases")
+        table = bit_table(parts.filter(is_pair))
+        triples = materialize(triple_counts(chunks, table).filter(F.col("n") >= least), "triples")
     own_words = F.size(F.split("chunk", " ")) - F.when(F.col("last"), 0).otherwise(TRIGGER)
     total = chunks.groupBy("grp").agg(F.sum(F.col("n") * own_words).alias("n"))
-    parts = materialize(short_counts(chunks).filter(F.col("n") >= least), "phrases")
-    is_pair = F.instr("phrase", " ") > 0
     pairs = parts.filter(is_pair)
-    triples = materialize(triple_counts(chunks, bit_table(pairs)).filter(F.col("n") >= least),
-                          "triples")
     frequent = [parts.filter(~is_pair), pairs, triples]
     cuts = None
     for size, rows in enumerate(frequent[1:], 2):

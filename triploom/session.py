@@ -25,6 +25,8 @@ SESSION_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# removes the shuffle files of a query that has ended (Spark 4.1 and later)
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Starting points for a large cluster (hundreds of executors, ~100 TB of
 # input). Input splits of 256 MB keep scan tasks in the tens of thousands;
@@ -113,6 +115,23 @@ def scratch_scope(spark: SparkSession):
             hpath.getFileSystem(conf).delete(hpath, True)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """What the session runs inside the block removes its shuffle files when
+    it ends, instead of whenever the driver's garbage collector finds them
+    unused. For writes and collects: a DataFrame made inside the block and run
+    again would have to shuffle again."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     read it back: the lineage is cut, later reuse reads stored rows (not a
